@@ -41,6 +41,7 @@ class DigestIndex:
             .repartitionByRange("digest")
             .sortWithinPartitions("digest")
             .write.option("parquet.bloom.filter.enabled#digest", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")  # as large as a file's digests ask for
             .parquet(run)
         )
         return run
