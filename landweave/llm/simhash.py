@@ -60,16 +60,24 @@ def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
     return rows.mapInArrow(_fingerprints(width, seed), "doc_id long, fp long")
 
 
-def block_keys(fp: Column, distance: int) -> Column:
-    """array<long>: for each pair of the `distance + 2` blocks its number and the two blocks' bits."""
-    n = distance + 2
+def block_keys(fp: Column, distance: int, blocks: int | None = None, agree: int = 2) -> Column:
+    """array<long>: for each `agree` of the blocks a number and those blocks' bits.
+
+    Fingerprints within `distance` share a key for certain if there are at least distance + agree blocks, as there are by default.
+    """
+    n = blocks or distance + agree
     cuts = [round(64 * i / n) for i in range(n + 1)]
-    blocks = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(cuts, cuts[1:], strict=False)]
-    keys = []
-    for number, (i, j) in enumerate(combinations(range(n), 2)):
-        wide = cuts[j + 1] - cuts[j]
-        keys.append((F.lit(number).cast("long") * F.lit(1 << 56)).bitwiseOR(F.shiftleft(blocks[i], wide)).bitwiseOR(blocks[j]))
-    return F.array(*keys)
+    parts = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    wide = F.array(*[F.lit(b - a) for a, b in zip(cuts, cuts[1:], strict=False)])
+    chosen = F.array(*[F.array(*map(F.lit, c)) for c in combinations(range(n), agree)])
+
+    def key(bits: Column, pick: Column, number: Column) -> Column:
+        start = F.shiftleft(number.cast("long"), 48)
+        joined = F.aggregate(pick, F.lit(0).cast("long"), lambda k, i: F.call_function("shiftleft", k, F.get(wide, i)).bitwiseOR(F.get(bits, i)))
+        return start.bitwiseOR(joined)
+
+    # The outer transform has one element: it works the blocks out once for all keys.
+    return F.flatten(F.transform(F.array(F.array(*parts)), lambda bits: F.transform(chosen, lambda pick, number: key(bits, pick, number))))
 
 
 def _links_of_run(fp: np.ndarray, node: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -132,12 +140,12 @@ def _search(distance: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def near_links(nodes: DataFrame, distance: int = 4, tile: int = TILE) -> DataFrame:
+def near_links(nodes: DataFrame, distance: int = 4, tile: int = TILE, blocks: int | None = None, agree: int = 2) -> DataFrame:
     """Links (a > b) between nodes whose fingerprints differ in at most `distance` bits; they connect what all such links would.
 
     `nodes` is a written table of node and fp, one row for each distinct fingerprint.
     """
-    keyed = nodes.select("node", "fp", F.explode(block_keys(F.col("fp"), distance)).alias("key"))
+    keyed = nodes.select("node", "fp", F.explode(block_keys(F.col("fp"), distance, blocks, agree)).alias("key"))
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     shared = written(counts.where("n > 1"), "shared-keys")
     hot = small_enough(shared.where(F.col("n") > tile).select("key", F.ceil(F.col("n") / tile).cast("int").alias("k")))
@@ -190,13 +198,43 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, seed: in
     )
 
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 4) -> DataFrame:
-    """The documents' columns, for one row of each component: the one with the smallest doc_id.
+def _shingle_sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for text in batch.column("text"):
+                words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
+                sets.append(np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + width])) for i in range(max(1, len(words) - width + 1))], np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "shingles": pa.array(sets, pa.list_(pa.int64()))})
 
-    Of rows that repeat that doc_id, the one whose text is first in order stays.
+    return run
+
+
+def similar(links: DataFrame, docs: DataFrame, width: int, least: float) -> DataFrame:
+    """The links (a, b) whose documents' sets of word shingles have a Jaccard similarity of `least` or more."""
+    ends = links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(ends, "doc_id", "left_semi")
+    sets = texts.mapInArrow(_shingle_sets(width), "doc_id long, shingles array<long>")
+    sets = written(sets, "shingles").dropDuplicates(["doc_id"])
+    a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
+    b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
+    both = links.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
+    return both.where(F.col("common") >= least * (F.size("of_a") + F.size("of_b") - F.col("common"))).select("a", "b")
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 10, blocks: int = 11, agree: int = 3, least: float = 0.8) -> DataFrame:
+    """The documents' columns, for one row of each group of near duplicates: the one with the smallest doc_id.
+
+    A link joins documents whose fingerprints differ in at most `distance` bits and whose shingle sets have a Jaccard similarity of
+    `least` or more; equal fingerprints are one. Up to `blocks - agree` bits every pair shares a key; beyond, most do. Of rows that
+    repeat the doc_id that stays, the one whose text is first in order does. Null texts count as empty.
     """
-    found = near_duplicates(docs, width, distance)
-    stays = found.groupBy("component_id").agg(F.lit(1).alias("one")).select(F.col("component_id").alias("stay_id"))
+    prints = written(fingerprints(docs, width), "fingerprints")
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    links = written(near_links(nodes, distance, blocks=blocks, agree=agree), "near-links")
+    roots = components(similar(links, docs, width, least))
+    # Those that go: all of a fingerprint's documents but its first, and firsts that have a smaller root.
+    stays = nodes.join(roots, "node", "left").where(F.coalesce("root", "node") == F.col("node")).select(F.col("node").alias("stay_id"))
     kept = docs.join(stays, F.col("doc_id") == F.col("stay_id"), "left_semi")
     turn = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
