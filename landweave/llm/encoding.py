@@ -35,7 +35,7 @@ class _Units(dict):
 class Encoder:
     """Encodes batches of texts. `most` bounds the units held; beyond it those met once are forgotten."""
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -166,6 +166,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def release() -> None:
+    """Forget this worker's encoders: workers are reused, and other operators' tasks need the memory."""
+    _encoders.clear()
+
+
 def in_slices(texts: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """(first, last) of slices of texts of about so many bytes, or of one longer text: bounds what is encoded at once."""
     sums = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .encoding import release
+
 PROFILE = 300
 #: Fitting takes about so many documents of each language at most.
 SAMPLE = 1000
@@ -108,6 +110,7 @@ def out_of_place(ranked: np.ndarray, place: np.ndarray, most: int = PROFILE) ->
 def _classifier(profiles: dict[str, list[int]], most: int):
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release()
         langs = list(profiles)
         places = np.full((len(langs), CODES), most, np.int32)
         for row, codes in zip(places, profiles.values(), strict=True):

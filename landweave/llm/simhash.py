@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import small_enough, text_of, written
+from .encoding import release
 
 #: Fingerprints of one key that a tile's side may hold; keys with more are cut into tiles.
 TILE = 8192
@@ -47,6 +48,7 @@ def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
 
 def _fingerprints(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             prints = np.array([fingerprint(x.as_py(), width, seed) for x in batch.column("text")], np.uint64)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": prints.view(np.int64)})
