@@ -83,8 +83,13 @@ def block_keys(fp: Column, distance: int, blocks: int | None = None, agree: int
 
 
 def _links_of_run(fp: np.ndarray, node: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links that connect all fingerprints of a run that are connected: a tree for each component."""
-    left = np.arange(len(fp))
+    """Links that connect all fingerprints of a run that are connected: a tree for each component.
+
+    The first tree grows from the fingerprint nearest to the run's majority bits: where copies differ from one text, from that text.
+    """
+    bits = np.unpackbits(fp.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    central = np.argmin(np.bitwise_count(fp ^ np.packbits(2 * bits > len(fp)).view(np.uint64)))
+    left = np.concatenate([[central], np.delete(np.arange(len(fp)), central)])
     while len(left) > 1:
         frontier, left = left[:1], left[1:]
         while len(frontier) and len(left):
@@ -158,7 +163,7 @@ def near_links(nodes: DataFrame, distance: int = 4, tile: int = TILE, blocks: in
         keyed.join(hot, "key", "left")
         .select("key", "fp", "node", F.explode(tiles).alias("tile"))
         .repartition("key", "tile")
-        .sortWithinPartitions("key", "tile")
+        .sortWithinPartitions("key", "tile", "fp")  # by fp too, so that reruns find the same trees
     )
     return rows.select("key", "tile", "fp", "node").mapInArrow(_search(distance), "a long, b long").distinct()
 
