@@ -152,10 +152,11 @@ def near_links(nodes: DataFrame, distance: int = 4, tile: int = TILE, blocks: in
 
     `nodes` is a written table of node and fp, one row for each distinct fingerprint.
     """
-    keyed = nodes.select("node", "fp", F.explode(block_keys(F.col("fp"), distance, blocks, agree)).alias("key"))
+    # Nodes are few bytes but many keys each: as many tasks as a shuffle has, not as many as their files fill.
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = nodes.repartition(parts, "node").select("node", "fp", F.explode(block_keys(F.col("fp"), distance, blocks, agree)).alias("key"))
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    shared = written(counts.where("n > 1"), "shared-keys")
-    hot = small_enough(shared.where(F.col("n") > tile).select("key", F.ceil(F.col("n") / tile).cast("int").alias("k")))
+    hot = small_enough(written(counts.where(F.col("n") > tile).select("key", F.ceil(F.col("n") / tile).cast("int").alias("k")), "hot-keys"))
     part = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
     lows = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.least(part, j) * F.col("k") + F.greatest(part, j))
     tiles = F.when(F.col("k").isNull(), F.array(F.lit(0))).otherwise(lows)
