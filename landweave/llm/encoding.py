@@ -33,9 +33,9 @@ class _Units(dict):
 
 
 class Encoder:
-    """Encodes batches of texts. `most` bounds the units held; beyond it those met once are forgotten."""
+    """Encodes batches of texts. `most` bounds the units held; beyond it those met least are forgotten."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -54,10 +54,12 @@ class Encoder:
         self.used = 0
 
     def _forget(self) -> None:
-        """Keep the units met more than once, or none if they are too many."""
-        kept = [u for u, number in self.units.items() if self.met[number] > 1]
-        kept = kept if len(kept) < self.most // 2 else []
-        old = np.fromiter((self.units[u] for u in kept), np.int64, len(kept))
+        """Keep the units met most often, half of the bound at most, of those met more than once."""
+        met = self.met[: len(self.units)]
+        old = np.argpartition(met, len(met) - self.most // 2)[len(met) - self.most // 2 :]
+        old = np.sort(old[met[old] > 1])
+        units = list(self.units)  # in the order of their numbers
+        kept = [units[number] for number in old]
         self.units = _Units()
         self.units.update(zip(kept, range(len(kept)), strict=True))
         counts = self.counts[old]
@@ -66,7 +68,9 @@ class Encoder:
         self.ids[: len(flat)] = flat
         self.used = len(flat)
         self.counts[: len(kept)], self.starts[: len(kept)] = counts, ends - counts
+        met = self.met[old] // 2
         self.met[:] = 0
+        self.met[: len(kept)] = met
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
