@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landweave.functions import catalog as FC
 from landweave.functions import geometry as G
 from landweave.functions import raster as R
-from landweave.operators import accuracy, change, cube, regions, scenes, spatial
+from landweave.operators import accuracy, change, cube, models, regions, scenes, segments, spatial
 from landweave.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -332,3 +332,34 @@ def pack_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = V.table(spark, sf_dir, "events").select("event_id", R.pack_labels(F.col("user_id") % 256, F.col("event_id") % 256).alias("packed"))
     pre, post = R.unpack_labels(F.col("packed"))
     return packed.select("event_id", pre.alias("pre"), post.alias("post"), "packed")
+
+
+_BANDS = ("pre1", "pre2", "pre3", "post1", "post2", "post3")
+
+
+@registered()
+def predict_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A random forest of the cells' codes, applied to every cell."""
+    p = V.pair(spark, sf_dir)
+    return rounded(models.predict(models.fit_rf(p, _BANDS, "code"), p).select("cell", "code", "prediction", "confidence"), 6)
+
+
+@registered()
+def remove_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.remove_outliers(V.pair(spark, sf_dir), _BANDS, "code", "cell").select("cell", "code")
+
+
+@registered("""SELECT code, CAST(floor(count(*) * 0.3) AS BIGINT) AS n FROM pair GROUP BY code""")
+def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.sample_exact(V.pair(spark, sf_dir).select("cell", "code"), 0.3, ["code"], "cell").groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registered()
+def segment_slic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.segment_slic(V.pair(spark, sf_dir).select("row", "col", "pre1", "pre2", "pre3"), ("pre1", "pre2", "pre3"), 5).select("row", "col", "segment")
+
+
+@registered("""SELECT code, count(*) AS edges FROM (SELECT p.code, p."row", p.col, d.i, d.j FROM pair p CROSS JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(i, j)) s
+  WHERE NOT EXISTS (SELECT 1 FROM pair q WHERE q.code = s.code AND q."row" = s."row" + s.i AND q.col = s.col + s.j) GROUP BY code""")
+def region_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.region_edges(V.pair(spark, sf_dir).select("row", "col", "code"), "code").groupBy("code").agg(F.count(F.lit(1)).alias("edges"))
