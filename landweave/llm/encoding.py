@@ -163,10 +163,10 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """This worker's encoder of a file."""
+def encoder(path: str, most: int = 600_000) -> Encoder:
+    """This worker's encoder of a file, with room for so many units."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, most)
     return _encoders[path]
 
 

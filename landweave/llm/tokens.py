@@ -28,6 +28,8 @@ from .encoding import encoder, in_slices
 BLOCK = "part int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, payload binary"
 
 STEP = 512  # bits between two counts of a rank directory
+#: Distinct units that a worker's encoder holds; this operator holds little else.
+UNITS = 1_000_000
 _HEAD = struct.Struct("<4sII")
 _MAGIC = b"DAC1"
 
@@ -123,7 +125,7 @@ def _block_writer(path: str, end_id: int | None, block_tokens: int) -> Callable[
     schema = pa.schema([("block", pa.int32()), *[(c, pa.int64()) for c in ("first_doc", "last_doc", "n_docs", "n_tokens")], ("payload", pa.binary())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, made = encoder(path), 0
+        enc, made = encoder(path, UNITS), 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
