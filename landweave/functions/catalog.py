@@ -41,7 +41,7 @@ def scene_good_surface(cloud: Column, mission: Column, acquired: Column) -> Colu
 
 def mid_date(begin: Column, end: Column) -> Column:
     """The middle of a period."""
-    return F.timestamp_micros(F.floor((F.unix_micros(begin) + F.unix_micros(end)) / 2).cast("long"))
+    return F.timestamp_micros(F.floor((F.unix_micros(begin.cast("timestamp")) + F.unix_micros(end.cast("timestamp"))) / 2).cast("long"))
 
 
 def dataset_uuid(path: Column, namespace: uuid.UUID = uuid.NAMESPACE_URL) -> Column:

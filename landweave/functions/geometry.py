@@ -145,6 +145,64 @@ def transverse_mercator(lon: Column, lat: Column, zone: int, south: bool = False
     return F.struct((F.lit(500_000.0) + 0.9996 * big_a * x).alias("x"), (F.lit(10_000_000.0 if south else 0.0) + 0.9996 * big_a * y).alias("y"))
 
 
+def transverse_mercator_inverse(x: Column, y: Column, zone: Column, south: Column, a: float = 6378137.0, f: float = 1 / 298.257223563) -> Column:
+    """struct(x, y): longitude and latitude in degrees of coordinates in a UTM zone."""
+    n = f / (2 - f)
+    big_a = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    xi = (y - F.when(south, 10_000_000.0).otherwise(0.0)) / (0.9996 * big_a)
+    eta = (x - 500_000.0) / (0.9996 * big_a)
+    p, q = xi, eta
+    for j, k in enumerate(beta, 1):
+        p = p - k * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+        q = q - k * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
+    chi = F.asin(F.sin(p) / F.cosh(q))
+    lat = chi
+    for j, k in enumerate(delta, 1):
+        lat = lat + k * F.sin(2 * j * chi)
+    lon = F.degrees(F.atan2(F.sinh(q), F.cos(p))) + zone * 6.0 - 183.0
+    return F.struct(lon.alias("x"), F.degrees(lat).alias("y"))
+
+
+def flat_edges(geom: Column) -> Column:
+    """All edges of a geometry as one array of doubles, four to an edge."""
+    edges = F.flatten(F.transform(F.flatten(geom), ring_edges))
+    return F.flatten(F.transform(edges, lambda e: F.array(e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"])))
+
+
+def _edges_meet(e: Column, f: Column) -> Column:
+    def side(p: Column, q: Column, r: Column) -> Column:
+        return F.signum((q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"]))
+
+    near = F.lit(True)
+    for k in ("x", "y"):
+        near = near & (F.least(e["a"][k], e["b"][k]) <= F.greatest(f["a"][k], f["b"][k])) & (F.least(f["a"][k], f["b"][k]) <= F.greatest(e["a"][k], e["b"][k]))
+    return near & (side(e["a"], e["b"], f["a"]) * side(e["a"], e["b"], f["b"]) <= 0) & (side(f["a"], f["b"], e["a"]) * side(f["a"], f["b"], e["b"]) <= 0)
+
+
+def intersects(a: Column, b: Column) -> Column:
+    """Whether two geometries share a point, borders included: edges meet, or one has a ring's start inside the other."""
+    ea, eb = (F.flatten(F.transform(F.flatten(g), ring_edges)) for g in (a, b))
+    meet = F.exists(ea, lambda e: F.exists(eb, lambda f: _edges_meet(e, f)))
+    starts = lambda inner, outer: F.exists(F.flatten(inner), lambda r: contains_point(outer, F.get(r, F.lit(0))["x"], F.get(r, F.lit(0))["y"]))
+    return meet | starts(a, b) | starts(b, a)
+
+
+def feature_geometry(text: Column) -> Column:
+    """The geometry of a GeoJSON feature of a polygon or multipolygon, rings without their closing point; null for others."""
+    kind, points = F.get_json_object(text, "$.geometry.type"), F.get_json_object(text, "$.geometry.coordinates")
+    one, many = F.from_json(points, "array<array<array<double>>>"), F.from_json(points, "array<array<array<array<double>>>>")
+    geom = F.when(kind == "Polygon", F.array(one)).when(kind == "MultiPolygon", many)
+
+    def opened(ring: Column) -> Column:
+        closed = (F.size(ring) > 1) & (F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1))
+        kept = F.slice(ring, F.lit(1), F.size(ring) - F.when(closed, 1).otherwise(0))
+        return F.transform(kept, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+
+    return F.transform(geom, lambda rings: F.transform(rings, opened))
+
+
 def reproject(geom: Column, project) -> Column:
     """Every point of a geometry projected, holes kept; `project` takes and gives coordinates."""
     return F.transform(geom, lambda rings: F.transform(rings, lambda ring: F.transform(ring, lambda p: project(p["x"], p["y"]))))

@@ -42,3 +42,40 @@ def region_edges(cells: DataFrame, region: str = "region") -> DataFrame:
     edges = cells.select(region, F.explode(F.array(*[edge(a, b) for a, b in sides])).alias("e")).select(region, "e.*")
     back = edges.select(region, F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
     return edges.join(back, [region, "x1", "y1", "x2", "y2"], "left_anti")
+
+
+def region_rings(cells: DataFrame, region: str = "region") -> DataFrame:
+    """Outline rings of regions as rows: region, ring, seq, x, y (the start of each edge; y downwards), the region on the right hand.
+
+    Where two cells of a region touch at a corner only, the outline stays with its cell. Edges are chained by pointer doubling, so
+    that a ring of n edges takes about 2 log2 n joins and no task holds a ring. `ring` is the least edge number in it.
+    """
+    sides = [((0, 0), (1, 0)), ((1, 0), (1, 1)), ((1, 1), (0, 1)), ((0, 1), (0, 0))]
+    side = lambda i, a, b: F.struct(F.lit(i).alias("side"), (F.col("col") + a[0]).alias("x1"), (F.col("row") + a[1]).alias("y1"), (F.col("col") + b[0]).alias("x2"), (F.col("row") + b[1]).alias("y2"))
+    edges = cells.select(region, "row", "col", F.explode(F.array(*[side(i, a, b) for i, (a, b) in enumerate(sides)])).alias("e")).select(region, "row", "col", "e.*")
+    back = edges.select(region, F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))
+    number = F.shiftleft(F.col("row").cast("long"), 34) + F.col("col").cast("long") * 4 + F.col("side")
+    edges = written(edges.join(back, [region, "x1", "y1", "x2", "y2"], "left_anti").withColumn("id", number), "edges")
+
+    starts = edges.select(region, F.col("x1").alias("x2"), F.col("y1").alias("y2"), F.col("id").alias("to"), F.col("side").alias("turn"))
+    same_cell = F.col("turn") == (F.col("side") + 1) % 4
+    state = edges.join(starts, [region, "x2", "y2"]).groupBy("id").agg(F.min_by("to", F.struct(~same_cell, "to")).alias("to"))
+    follow = written(state, "follow")
+    state = written(follow.select("id", "to", F.least("id", "to").alias("ring")), "ring")
+    while True:  # the least edge number within 2, 4, 8 ... edges ahead
+        ahead = state.select(F.col("id").alias("to"), F.col("to").alias("after"), F.col("ring").alias("theirs"))
+        new = written(state.join(ahead, "to").select("id", F.col("after").alias("to"), F.least("ring", "theirs").alias("ring"), (F.col("theirs") < F.col("ring")).alias("moved")), "ring")
+        state = new.drop("moved")
+        if new.where("moved").isEmpty():
+            break
+    rings = state.select("id", "ring")
+    # edges left until the one before the ring's first, again by doubling
+    steps = follow.join(rings, "id").select("id", "ring", F.when(F.col("to") != F.col("ring"), F.col("to")).alias("to"), F.when(F.col("to") != F.col("ring"), 1).otherwise(0).cast("long").alias("left"))
+    steps = written(steps, "steps")
+    while not steps.where("to is not null").isEmpty():
+        ahead = steps.select(F.col("id").alias("__to"), F.col("to").alias("after"), F.col("left").alias("more"))
+        new = steps.join(ahead, F.col("to") == F.col("__to"), "left")
+        steps = written(new.select("id", "ring", F.col("after").alias("to"), (F.col("left") + F.coalesce("more", F.lit(0))).alias("left")), "steps")
+    lengths = steps.where(F.col("id") == F.col("ring")).select("ring", F.col("left").alias("whole"))
+    found = steps.join(lengths, "ring").select("id", "ring", (F.col("whole") - F.col("left")).alias("seq"))
+    return edges.join(found, "id").select(region, "ring", "seq", F.col("x1").alias("x"), F.col("y1").alias("y"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -89,6 +91,57 @@ def box_overlap_area(left: DataFrame, right: DataFrame, size: float, scale: floa
     return pairs.withColumn("weight", wide * high * scale).where("weight > 0")
 
 
+def spatial_semi_join(objects: DataFrame, shapes: DataFrame, size: float) -> DataFrame:
+    """The objects (id, geom, ...) that share a point with any shape (geom)."""
+    pairs = candidate_pairs(objects.select("id", "geom"), shapes.select("geom"), size)
+    met = pairs.where(G.intersects(F.col("l_geom"), F.col("r_geom"))).select(F.col("l_id").alias("id")).distinct()
+    return objects.join(met, "id", "left_semi")
+
+
+def _crossing_heights(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The y at which edges (x1, y1, x2, y2) of one polygon cross edges of another."""
+    d, e = a[:, 2:] - a[:, :2], b[:, 2:] - b[:, :2]
+    across = d[:, None, 0] * e[None, :, 1] - d[:, None, 1] * e[None, :, 0]
+    gap = b[None, :, :2] - a[:, None, :2]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        s = (gap[..., 0] * e[None, :, 1] - gap[..., 1] * e[None, :, 0]) / across
+        t = (gap[..., 0] * d[:, None, 1] - gap[..., 1] * d[:, None, 0]) / across
+    hit = (across != 0) & (s >= 0) & (s <= 1) & (t >= 0) & (t <= 1)
+    return (a[:, None, 1] + np.where(hit, s, 0) * d[:, None, 1])[hit]
+
+
+def _common_area(a: np.ndarray, b: np.ndarray) -> float:
+    """Area in both polygons, by the even-odd rule: between the heights of corners and crossings it is a row of trapezoids."""
+    low, high = max(a[:, [1, 3]].min(), b[:, [1, 3]].min()), min(a[:, [1, 3]].max(), b[:, [1, 3]].max())
+    ys = np.unique(np.concatenate([a[:, 1], b[:, 1], _crossing_heights(a, b), [low, high]]))
+    ys = ys[(ys >= low) & (ys <= high)]
+
+    def at(edges: np.ndarray, y: float) -> np.ndarray:
+        e = edges[(edges[:, 1] > y) != (edges[:, 3] > y)]
+        return np.sort(e[:, 0] + (y - e[:, 1]) * (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1]))
+
+    total = 0.0
+    for y0, y1 in zip(ys[:-1], ys[1:], strict=True):
+        xa, xb = at(a, (y0 + y1) / 2), at(b, (y0 + y1) / 2)
+        cuts = np.sort(np.concatenate([xa, xb]))
+        middle = (cuts[:-1] + cuts[1:]) / 2
+        both = (np.searchsorted(xa, middle) % 2 == 1) & (np.searchsorted(xb, middle) % 2 == 1)
+        total += float((cuts[1:] - cuts[:-1])[both].sum()) * (y1 - y0)
+    return total
+
+
+def overlap_area(left: DataFrame, right: DataFrame, size: float, scale: float = 1.0) -> DataFrame:
+    """Pairs of polygons of any form, concave or with holes, that overlap, with their common area times `scale` as weight."""
+
+    @F.pandas_udf("double")
+    def common(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([_common_area(np.reshape(p, (-1, 4)), np.reshape(q, (-1, 4))) if len(p) and len(q) else 0.0 for p, q in zip(a, b, strict=True)])
+
+    pairs = candidate_pairs(left, right, size)
+    area = common(G.flat_edges(F.col("l_geom")), G.flat_edges(F.col("r_geom"))) * scale
+    return pairs.withColumn("weight", area).where("weight > 0")
+
+
 def overlap_quality(region_area: Column, truth_area: Column, common: Column) -> dict[str, Column]:
     """underseg, overseg and their distance."""
     under, over = 1 - F.try_divide(common, region_area), 1 - F.try_divide(common, truth_area)
