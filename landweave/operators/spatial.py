@@ -137,7 +137,10 @@ def overlap_area(left: DataFrame, right: DataFrame, size: float, scale: float =
     def common(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([_common_area(np.reshape(p, (-1, 4)), np.reshape(q, (-1, 4))) if len(p) and len(q) else 0.0 for p, q in zip(a, b, strict=True)])
 
+    # few bytes and much work: pairs are spread over all shuffle partitions, which would else be merged by their size
     pairs = candidate_pairs(left, right, size)
+    pairs = pairs.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(c) for c in pairs.columns if c in ("l_id", "r_id")])
+    common = common.asNondeterministic()  # else the filter below would be pushed under it and compute it again
     area = common(G.flat_edges(F.col("l_geom")), G.flat_edges(F.col("r_geom"))) * scale
     return pairs.withColumn("weight", area).where("weight > 0")
 

@@ -86,14 +86,21 @@ def _split(df: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame]:
     return df.where(whole).drop("n_metadata"), df.where(~whole).select("folder", reason.alias("reason"))
 
 
+def _parsed(files: DataFrame, xml: Column, schema: str, *aggs: Column) -> DataFrame:
+    """folder, n_metadata and `m`, the fields of its (first) metadata file: each is parsed once, before the shuffle, which carries no text."""
+    fields = F.when(xml, F.from_xml(F.col("content").cast("string"), schema, {"ignoreNamespace": "true"}))
+    read = files.select("folder", "path", fields.alias("m"), xml.alias("__xml"))
+    return read.groupBy("folder").agg(F.count_if("__xml").alias("n_metadata"), F.min_by("m", F.when(F.col("__xml"), F.col("path"))).alias("m"), *aggs)
+
+
 def scene_metadata_landsat(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(scenes, rejects) of folders of scene files: id, folder, acquired, instrument, platform, zone, corners, a path for each band and `qual`.
 
     A folder has exactly one metadata file of the scene pattern; otherwise, or if a field is missing, it is a reject.
     """
     xml = F.col("path").rlike(LANDSAT_XML)
-    by = files.withColumn("folder", folder_of(F.col("path"))).groupBy("folder").agg(F.count_if(xml).alias("n_metadata"), F.min(F.when(xml, F.col("content").cast("string"))).alias("xml"))
-    by = by.withColumn("m", F.from_xml("xml", _LANDSAT_SCHEMA, {"ignoreNamespace": "true"})).select("folder", "n_metadata", "m.global_metadata", F.col("m.bands.band").alias("bands"))
+    by = _parsed(files.withColumn("folder", folder_of(F.col("path"))), xml, _LANDSAT_SCHEMA)
+    by = by.select("folder", "n_metadata", "m.global_metadata", F.col("m.bands.band").alias("bands"))
     place = F.col("global_metadata.projection_information")
     corner = lambda where, axis: F.get(F.filter(place["corner_point"], lambda p: p["_location"] == where), F.lit(0))[f"_{axis}"]
     band = lambda name: F.concat(F.col("folder"), F.lit("/"), F.get(F.filter("bands", lambda b: b["_name"] == name), F.lit(0))["file_name"])
@@ -118,8 +125,7 @@ def scene_metadata_s2(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     files = files.withColumn("folder", F.regexp_extract("path", "^(.*?)/GRANULE/", 1)).where("folder <> ''")
     image = path.rlike(r"GRANULE/.*/IMG_DATA/R20m/")
     aggs = [F.min(F.when(image & name.rlike(rf"{s}_20m\.jp2$"), path)).alias(b) for b, s in GRANULE_BANDS.items()]
-    by = files.groupBy("folder").agg(F.count_if(xml).alias("n_metadata"), F.min(F.when(xml, F.col("content").cast("string"))).alias("xml"), *aggs)
-    by = by.withColumn("m", F.from_xml("xml", _GRANULE_SCHEMA, {"ignoreNamespace": "true"}))
+    by = _parsed(files, xml, _GRANULE_SCHEMA, *aggs)
     grid = F.col("m.Geometric_Info.Tile_Geocoding")
     at20 = lambda part, field: F.get(F.filter(grid[part], lambda g: g["_resolution"] == "20"), F.lit(0))[field]
     code = grid["HORIZONTAL_CS_CODE"]
@@ -129,7 +135,7 @@ def scene_metadata_s2(files: DataFrame) -> tuple[DataFrame, DataFrame]:
         "instrument": F.lit("MSI"), "platform": F.lit("sentinel2"), "zone": F.when(code.rlike(r"327\d\d$"), -zone).otherwise(zone), "ulx": at20("Geoposition", "ULX"), "uly": at20("Geoposition", "ULY"),
     })
     rows = rows.withColumns({"lrx": F.col("ulx") + at20("Size", "NCOLS") * 20, "lry": F.col("uly") - at20("Size", "NROWS") * 20}).drop("m")
-    return _split(_corners(rows.drop("xml")), ["acquired", "zone", "lrx", "lry", *GRANULE_BANDS])
+    return _split(_corners(rows), ["acquired", "zone", "lrx", "lry", *GRANULE_BANDS])
 
 
 def prepare_metadata(files: DataFrame, kind: str, path: str) -> DataFrame:
