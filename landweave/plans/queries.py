@@ -253,7 +253,11 @@ def ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(change.ecdf(V.table(spark, sf_dir, "lineitem"), "l_quantity"), 6)
 
 
-@registered()
+_ECDF = "SELECT value, sum(n) OVER (ORDER BY value) / sum(n) OVER () AS share FROM (SELECT {0} AS value, count(*) AS n FROM obs GROUP BY ALL)"
+
+
+@registered(f""", s AS ({_ECDF.format("red")}), t AS ({_ECDF.format("nir")}) SELECT s.value, round(CASE WHEN lo.value IS NULL THEN hi.value WHEN hi.value IS NULL OR lo.share = hi.share THEN lo.value
+  ELSE lo.value + (s.share - lo.share) / (hi.share - lo.share) * (hi.value - lo.value) END, 4) AS matched FROM s ASOF LEFT JOIN t lo ON s.share >= lo.share ASOF LEFT JOIN t hi ON s.share <= hi.share""")
 def hist_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = V.obs(spark, sf_dir)
     return rounded(change.hist_match(o.select(F.col("red").alias("v")), o.select(F.col("nir").alias("v")), "v"))
