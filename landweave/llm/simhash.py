@@ -9,7 +9,7 @@ tile by tile. Alternating star contraction joins the links to components.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -25,27 +25,42 @@ from .encoding import release
 #: Fingerprints of one key that a tile's side may hold; keys with more are cut into tiles.
 TILE = 8192
 
+#: Shingles (and a few for each row) of one group that a tile's side may hold.
+VOLUME = 1 << 20
 
-def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
-    """The SimHash of a text: A-Z lower-cased, words cut at ASCII white space, every shingle counted as often as it occurs."""
+
+def _hashes(text: str, width: int, seed: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles in order: A-Z lower-cased, words cut at ASCII white space."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_intdigest
     if len(words) <= width:
-        return digest(joined, seed)
-    counts, total = np.zeros(64, np.int64), len(words) - width + 1
+        yield np.array([digest(joined, seed)], "<u8")
+        return
+    total = len(words) - width + 1
     for at in range(0, total, 65536):  # a long text's hashes in parts
         upto = min(at + 65536, total)
         spans = zip(starts[at:upto].tolist(), ends[at + width - 1 : upto + width - 1].tolist(), strict=True)
-        h = np.array([digest(joined[a:b], seed) for a, b in spans], "<u8")
+        yield np.array([digest(joined[a:b], seed) for a, b in spans], "<u8")
+
+
+def _majority(parts: Iterable[np.ndarray]) -> int:
+    counts, total = np.zeros(64, np.int64), 0
+    for h in parts:
         counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        total += len(h)
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str, width: int = 4, seed: int = 42) -> int:
+    """The SimHash of a text: A-Z lower-cased, words cut at ASCII white space, every shingle counted as often as it occurs."""
+    return _majority(_hashes(text, width, seed))
+
+
 def _fingerprints(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
@@ -206,44 +221,175 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, seed: in
     )
 
 
-def _shingle_sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _set(parts: list[np.ndarray], seed: int) -> np.ndarray:
+    """The sorted set of a text's shingle hashes; a text without words has one, of nothing."""
+    return np.unique(np.concatenate(parts)) if parts else np.array([xxhash.xxh64_intdigest(b"", seed)], "<u8")
+
+
+def _described(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            sets = []
-            for text in batch.column("text"):
-                words = text.as_py().encode("utf-8", "surrogatepass").lower().split()
-                sets.append(np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + width])) for i in range(max(1, len(words) - width + 1))], np.uint64)).view(np.int64))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "shingles": pa.array(sets, pa.list_(pa.int64()))})
+            prints, nodes, sizes = np.zeros(len(batch), np.uint64), [], []
+            for i, text in enumerate(batch.column("text")):
+                parts = list(_hashes(text.as_py(), width, seed))
+                prints[i], shingles = _majority(parts), _set(parts, seed)
+                nodes.append(xxhash.xxh3_128_digest(prints[i].tobytes()))
+                sizes.append(len(shingles))
+            own = {c: batch.column(c) for c in ("doc_id", "own")}
+            yield pa.RecordBatch.from_pydict({**own, "fp": prints.view(np.int64), "node": pa.array(nodes, pa.binary()), "size": pa.array(sizes, pa.int64())})
 
     return run
 
 
-def similar(links: DataFrame, docs: DataFrame, width: int, least: float) -> DataFrame:
-    """The links (a, b) whose documents' sets of word shingles have a Jaccard similarity of `least` or more."""
-    ends = links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(ends, "doc_id", "left_semi")
-    sets = texts.mapInArrow(_shingle_sets(width), "doc_id long, shingles array<long>")
-    sets = written(sets, "shingles").dropDuplicates(["doc_id"])
-    a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b"))
-    both = links.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
-    return both.where(F.col("common") >= least * (F.size("of_a") + F.size("of_b") - F.col("common"))).select("a", "b")
+def _with_sets(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_set(list(_hashes(x.as_py(), width, seed)), seed).view(np.int64) for x in batch.column("text")]
+            yield pa.RecordBatch.from_pydict(
+                {**{c: batch.column(c) for c in ("group", "ways", "fp", "node")}, "shingles": pa.array(sets, pa.list_(pa.int64()))}
+            )
+
+    return run
+
 
+def _similar_of_run(fp: np.ndarray, flat: np.ndarray, bounds: np.ndarray, distance: int, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Links (at, others) that connect all members of a run that are connected by links within `distance` and at `least` or more.
 
-def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 10, blocks: int = 11, agree: int = 3, least: float = 0.8) -> DataFrame:
+    Every link is verified while it is searched for. Sets of that similarity share one of their rarest shingles: of n, one of the first
+    n - ceil(least * n) + 1. These are compared before the whole sets.
+    """
+    _, token, often = np.unique(flat, return_inverse=True, return_counts=True)
+    sizes = np.diff(bounds)
+    owner = np.repeat(np.arange(len(fp)), sizes)
+    token = token[np.lexsort((token, often[token], owner))]
+    heads = sizes - np.ceil(least * sizes - 1e-9).astype(np.int64) + 1
+    marked = np.zeros(len(often), bool)
+
+    def common(at: int, others: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """How many of the first shingles of each of the others are among the first of this one."""
+        own, n = token[bounds[at] : bounds[at] + lengths[at]], lengths[others]
+        marked[own] = True
+        ends = np.cumsum(n)
+        places = np.arange(ends[-1]) + np.repeat(bounds[others] - (ends - n), n)
+        out = np.add.reduceat(marked[token[places]], ends - n, dtype=np.int64)
+        marked[own] = False
+        return out
+
+    left, free = np.arange(len(fp)), np.ones(len(fp), bool)
+    while len(left) > 1:
+        frontier, left = [left[0]], left[1:]
+        while frontier and len(left):
+            at = frontier.pop()
+            near = left[np.bitwise_count(fp[left] ^ fp[at]) <= distance]
+            near = near[(sizes[near] >= least * sizes[at]) & (sizes[at] >= least * sizes[near])]
+            near = near[common(at, near, heads) > 0] if len(near) else near
+            if not len(near):
+                continue
+            both = common(at, near, sizes)
+            found = near[both >= least * (sizes[near] + sizes[at] - both)]
+            if len(found):
+                yield at, found
+                frontier.extend(found.tolist())
+                free[found] = False
+                left = left[free[left]]
+
+
+def _search_similar(distance: int, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held).combine_chunks()
+        shingles = whole.column("shingles").combine_chunks()
+        sizes = shingles.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        found = _similar_of_run(whole.column("fp").to_numpy().view(np.uint64), shingles.flatten().to_numpy(), bounds, distance, least)
+        node, a, b = whole.column("node").to_pylist(), [], []
+        for at, others in found:
+            for x in others.tolist():
+                a.append(max(node[at], node[x]))
+                b.append(min(node[at], node[x]))
+        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            if not len(batch):
+                continue
+            group, tile = (batch.column(c).to_numpy() for c in ("group", "tile"))
+            first = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (tile[1:] != tile[:-1])]))
+            for x, y in zip(first.tolist(), [*first[1:].tolist(), len(batch)], strict=True):
+                if held and (group[x], tile[x]) != last:
+                    yield links(held)
+                    held = []
+                held.append(batch.slice(x, y - x))
+                last = group[x], tile[x]
+        if held:
+            yield links(held)
+
+    return run
+
+
+def _tiles(ways: Column, part: Column) -> Column:
+    """The numbers of the tiles (pairs of parts) that a row of a part goes to, so that every two rows meet in one."""
+    return F.transform(F.sequence(F.lit(0), ways - 1), lambda j: F.least(part, j) * ways + F.greatest(part, j))
+
+
+def similar(prints: DataFrame, docs: DataFrame, groups: DataFrame, width: int, distance: int, least: float, seed: int = 42, volume: int = VOLUME) -> DataFrame:
+    """Links (a > b) between nodes of `prints` that connect what all links do: fingerprints within `distance` and sets alike to `least`.
+
+    `groups` has node (a fingerprint) and root: links are looked for among all nodes whose fingerprints have one root, whatever
+    links within the distance led to it. A group of more than `volume` shingles is searched tile by tile.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("first")
+    nodes = written(
+        prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), first)
+        .join(groups.select(F.col("node").alias("fp"), "root"), "fp", "left")
+        .select("node", "fp", "size", F.coalesce("root", "fp").alias("group"), "first.doc_id", "first.own"),
+        "nodes",
+    )
+    ways = F.ceil(F.sum(F.col("size") + 16) / volume).cast("int").alias("ways")
+    many = nodes.groupBy("group").agg(F.count(F.lit(1)).alias("n"), ways).where("n > 1").select("group", "ways")
+    firsts = nodes.join(small_enough(written(many, "groups")), "group").select("group", "ways", "fp", "node", F.col("doc_id").alias("id"), F.col("own").alias("key"))
+    texts = docs.select("doc_id", text_of().alias("text"), _own().alias("own"))
+    texts = texts.join(firsts, (F.col("own") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("group", "ways", "fp", "node", "text")
+    schema = "group long, ways int, fp long, node binary, shingles array<long>"
+    sets = written(texts.mapInArrow(_with_sets(width, seed), schema).dropDuplicates(["node"]), "shingles")
+    part = F.pmod(F.xxhash64("node"), F.col("ways")).cast("int")
+    rows = (
+        sets.select("group", "fp", "node", "shingles", F.explode(_tiles(F.col("ways"), part)).alias("tile"))
+        .repartition("group", "tile")
+        .sortWithinPartitions("group", "tile", "node")
+    )
+    return rows.select("group", "tile", "fp", "node", "shingles").mapInArrow(_search_similar(distance, least), "a binary, b binary").distinct()
+
+
+def _own() -> Column:
+    """A digest of the text; null is empty."""
+    return F.unhex(F.md5(text_of()))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, width: int = 5, distance: int = 10, blocks: int = 11, agree: int = 3, least: float = 0.8, volume: int = VOLUME
+) -> DataFrame:
     """The documents' columns, for one row of each group of near duplicates: the one with the smallest doc_id.
 
     A link joins documents whose fingerprints differ in at most `distance` bits and whose shingle sets have a Jaccard similarity of
-    `least` or more; equal fingerprints are one. Up to `blocks - agree` bits every pair shares a key; beyond, most do. Of rows that
-    repeat the doc_id that stays, the one whose text is first in order does. Null texts count as empty.
+    `least` or more; equal fingerprints are one. Links are looked for among all documents whose
+    fingerprints hang together. Up to `blocks - agree` bits every pair shares a key; beyond, most do. Of rows
+    that repeat the doc_id that stays, the one whose text is first in order does. Null texts count as empty.
     """
-    prints = written(fingerprints(docs, width), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    links = written(near_links(nodes, distance, blocks=blocks, agree=agree), "near-links")
-    roots = components(similar(links, docs, width, least))
-    # Those that go: all of a fingerprint's documents but its first, and firsts that have a smaller root.
-    stays = nodes.join(roots, "node", "left").where(F.coalesce("root", "node") == F.col("node")).select(F.col("node").alias("stay_id"))
-    kept = docs.join(stays, F.col("doc_id") == F.col("stay_id"), "left_semi")
+    rows = docs.select("doc_id", _own().alias("own"), text_of().alias("text"))
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, own binary, fp long, node binary, size long"
+    prints = written(rows.mapInArrow(_described(width, 42), schema), "fingerprints")
+    fps = written(prints.select(F.col("fp").alias("node"), "fp").distinct(), "fingerprint-nodes")
+    groups = components(near_links(fps, distance, blocks=blocks, agree=agree))
+    roots = components(similar(prints, docs, groups, width, distance, least, volume=volume))
+    rooted = prints.join(roots, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("root"))
+    rooted = written(rooted.distinct(), "roots")
+    # The smallest doc_id of each group.
+    stays = rooted.groupBy("root").agg(F.min("doc_id").alias("id")).withColumnRenamed("root", "of")
+    stays = rooted.join(stays, (F.col("root") == F.col("of")) & (F.col("doc_id") == F.col("id")))
+    stays = stays.select(F.col("root").alias("__root"), F.col("id").alias("__id"), F.col("own").alias("__own"))
+    kept = docs.join(stays, (_own() == F.col("__own")) & (F.col("doc_id") == F.col("__id")))
     turn = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return kept.select(*columns, turn.alias("__turn")).where("__turn = 1").select(*columns)

@@ -197,6 +197,43 @@ def test_near_copies_go_and_others_stay(spark):
     assert gone <= near and len(gone) >= 0.9 * len(near)
 
 
+def plain_groups(texts, width=5, distance=10, least=0.8):
+    """The groups of drop_near_duplicates by comparing all pairs: the smallest position of each text's group."""
+    words = [(t or "").lower().split() for t in texts]
+    sets = [{tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} for w in words]
+    prints, root = [simhash.fingerprint(t or "", width) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= distance and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(texts))]
+
+
+def test_copies_within_a_template_go(spark):
+    rng = np.random.default_rng(11)
+    words = np.array([f"w{i}" for i in range(4000)])
+    common_part, texts = words[rng.integers(0, 4000, 300)], [" ".join(words[rng.integers(0, 4000, 300)])]
+    for _ in range(60):
+        own = words[rng.integers(0, 4000, 110)]
+        copy = own.copy()
+        copy[50] = "new"
+        texts += [" ".join([*common_part, *x]) for x in (own, copy)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # With keys of one bit all runs are long, and every text is near the central one.
+    for distance, more in ((24, {"blocks": 64, "agree": 1}), (10, {"volume": 4000})):
+        want = plain_groups(texts, distance=distance)
+        assert len(set(want)) < 0.6 * len(texts)
+        more["distance"] = distance
+        assert sorted(r.doc_id for r in simhash.drop_near_duplicates(df, **more).collect()) == sorted(set(want))
+
+
 def test_links_of_hot_keys_connect(spark):
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 2**63))
