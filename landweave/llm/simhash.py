@@ -234,7 +234,7 @@ def _described(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], It
             for i, text in enumerate(batch.column("text")):
                 parts = list(_hashes(text.as_py(), width, seed))
                 prints[i], shingles = _majority(parts), _set(parts, seed)
-                nodes.append(xxhash.xxh3_128_digest(prints[i].tobytes()))
+                nodes.append(xxhash.xxh3_128_digest(shingles.tobytes() + prints[i].tobytes()))
                 sizes.append(len(shingles))
             own = {c: batch.column(c) for c in ("doc_id", "own")}
             yield pa.RecordBatch.from_pydict({**own, "fp": prints.view(np.int64), "node": pa.array(nodes, pa.binary()), "size": pa.array(sizes, pa.int64())})
@@ -373,7 +373,7 @@ def drop_near_duplicates(
     """The documents' columns, for one row of each group of near duplicates: the one with the smallest doc_id.
 
     A link joins documents whose fingerprints differ in at most `distance` bits and whose shingle sets have a Jaccard similarity of
-    `least` or more; equal fingerprints are one. Links are looked for among all documents whose
+    `least` or more; documents of equal fingerprint and shingle set are one. Links are looked for among all documents whose
     fingerprints hang together. Up to `blocks - agree` bits every pair shares a key; beyond, most do. Of rows
     that repeat the doc_id that stays, the one whose text is first in order does. Null texts count as empty.
     """

@@ -234,6 +234,14 @@ def test_copies_within_a_template_go(spark):
         assert sorted(r.doc_id for r in simhash.drop_near_duplicates(df, **more).collect()) == sorted(set(want))
 
 
+def test_equal_fingerprints_of_unlike_texts_stay(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(100)) + " -" * 130 for c in "ab"]
+    assert simhash.fingerprint(texts[0], 5) == simhash.fingerprint(texts[1], 5)
+    rows = [(1, texts[0]), (2, texts[1]), (3, texts[1]), (4, texts[1].replace("b50", "new"))]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
 def test_links_of_hot_keys_connect(spark):
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 2**63))
