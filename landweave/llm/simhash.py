@@ -375,7 +375,7 @@ def drop_near_duplicates(
     A link joins documents whose fingerprints differ in at most `distance` bits and whose shingle sets have a Jaccard similarity of
     `least` or more; documents of equal fingerprint and shingle set are one. Links are looked for among all documents whose
     fingerprints hang together. Up to `blocks - agree` bits every pair shares a key; beyond, most do. Of rows
-    that repeat the doc_id that stays, the one whose text is first in order does. Null texts count as empty.
+    that share the doc_id that stays, the one whose text is first in order does. A null doc_id comes last; null texts count as empty.
     """
     rows = docs.select("doc_id", _own().alias("own"), text_of().alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, own binary, fp long, node binary, size long"
@@ -385,11 +385,11 @@ def drop_near_duplicates(
     roots = components(similar(prints, docs, groups, width, distance, least, volume=volume))
     rooted = prints.join(roots, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("root"))
     rooted = written(rooted.distinct(), "roots")
-    # The smallest doc_id of each group.
+    # The smallest doc_id of each group; a null only where there is no other.
     stays = rooted.groupBy("root").agg(F.min("doc_id").alias("id")).withColumnRenamed("root", "of")
-    stays = rooted.join(stays, (F.col("root") == F.col("of")) & (F.col("doc_id") == F.col("id")))
+    stays = rooted.join(stays, (F.col("root") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
     stays = stays.select(F.col("root").alias("__root"), F.col("id").alias("__id"), F.col("own").alias("__own"))
-    kept = docs.join(stays, (_own() == F.col("__own")) & (F.col("doc_id") == F.col("__id")))
-    turn = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
+    kept = docs.join(stays, (_own() == F.col("__own")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+    turn = F.row_number().over(W.partitionBy("__root").orderBy("text"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return kept.select(*columns, turn.alias("__turn")).where("__turn = 1").select(*columns)

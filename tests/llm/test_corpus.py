@@ -242,6 +242,13 @@ def test_equal_fingerprints_of_unlike_texts_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
 
 
+def test_null_and_shared_doc_ids_keep_unlike_texts(spark):
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcd"}
+    rows = [(None, text["a"]), (None, text["a"]), (None, text["b"]), (5, text["b"]), (7, text["c"]), (7, text["d"]), (7, text["d"])]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter([(None, text["a"]), (5, text["b"]), (7, text["c"]), (7, text["d"])])
+
+
 def test_links_of_hot_keys_connect(spark):
     rng = np.random.default_rng(3)
     base = int(rng.integers(0, 2**63))
