@@ -31,7 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose shingles of five words are alike to 0.8 or more."""
-    return simhash.drop_near_duplicates(docs, width=5, distance=10, least=0.8)
+    return simhash.drop_near_duplicates(docs, width=5, distance=28, least=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,19 +1,22 @@
 """SimHash near-dedup by pigeonhole blocks.
 
-A fingerprint has 64 bits over the XXH64 hashes of word shingles. It is cut into `distance + 2` blocks; two
-fingerprints within the distance agree on at least two of them, so that they share one of the pairs of
-blocks, the join key. Within a key only links that connect are kept (a breadth-first search over the
-fingerprints not reached yet), never all pairs of a group; keys with many fingerprints are searched
-tile by tile. Alternating star contraction joins the links to components.
+A fingerprint has 64 bits over the XXH64 hashes of word shingles, or more words of 64 bits. It is cut into blocks;
+fingerprints that are close agree on some of them, and some blocks together are a join key. With at least
+`distance + agree` blocks every pair within the distance shares a key for certain. Within a key only links
+that connect are kept (a breadth-first search over the fingerprints not reached yet), never all pairs of a
+group; keys with many fingerprints are searched tile by tile. Alternating star contraction joins the links
+to components.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,6 +31,12 @@ TILE = 8192
 #: Shingles (and a few for each row) of one group that a tile's side may hold.
 VOLUME = 1 << 20
 
+#: Fingerprints that a key should hold on average: keys get wider as the table grows.
+CROWD = 64
+
+#: The words of a wide fingerprint, its blocks' width in bits, and how many keys of four blocks each it has.
+WIDE, BLOCK_BITS, KEYS = ("fp", "fp2"), 4, 96
+
 
 def _hashes(text: str, width: int, seed: int) -> Iterator[np.ndarray]:
     """The hashes of a text's shingles in order: A-Z lower-cased, words cut at ASCII white space."""
@@ -77,16 +86,11 @@ def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
     return rows.mapInArrow(_fingerprints(width, seed), "doc_id long, fp long")
 
 
-def block_keys(fp: Column, distance: int, blocks: int | None = None, agree: int = 2) -> Column:
-    """array<long>: for each `agree` of the blocks a number and those blocks' bits.
-
-    Fingerprints within `distance` share a key for certain if there are at least distance + agree blocks, as there are by default.
-    """
-    n = blocks or distance + agree
-    cuts = [round(64 * i / n) for i in range(n + 1)]
-    parts = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(cuts, cuts[1:], strict=False)]
-    wide = F.array(*[F.lit(b - a) for a, b in zip(cuts, cuts[1:], strict=False)])
-    chosen = F.array(*[F.array(*map(F.lit, c)) for c in combinations(range(n), agree)])
+def block_keys(words: Sequence[Column], cuts: Sequence[tuple[int, int, int]], chosen: Sequence[Sequence[int]]) -> Column:
+    """array<long>: for each choice of blocks its number and those blocks' bits. A block is (word, first bit, end)."""
+    parts = [F.shiftrightunsigned(words[w], a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for w, a, b in cuts]
+    wide = F.array(*[F.lit(b - a) for _, a, b in cuts])
+    picks = F.array(*[F.array(*map(F.lit, c)) for c in chosen])
 
     def key(bits: Column, pick: Column, number: Column) -> Column:
         start = F.shiftleft(number.cast("long"), 48)
@@ -94,7 +98,39 @@ def block_keys(fp: Column, distance: int, blocks: int | None = None, agree: int
         return start.bitwiseOR(joined)
 
     # The outer transform has one element: it works the blocks out once for all keys.
-    return F.flatten(F.transform(F.array(F.array(*parts)), lambda bits: F.transform(chosen, lambda pick, number: key(bits, pick, number))))
+    return F.flatten(F.transform(F.array(F.array(*parts)), lambda bits: F.transform(picks, lambda pick, number: key(bits, pick, number))))
+
+
+def certain_keys(count: int, distance: int, fp: Column) -> Column:
+    """Keys of a 64-bit fingerprint of which all within `distance` share one: `agree` of distance + agree blocks.
+
+    More blocks make wider keys; `agree` is the least at which a key holds about CROWD of `count` fingerprints. Results don't depend on it.
+    """
+    agree = next((a for a in range(2, 6) if 64 * a / (distance + a) >= math.log2(max(count, 1) / CROWD + 1)), 6)
+    ends = [round(64 * i / (distance + agree)) for i in range(distance + agree + 1)]
+    cuts = [(0, a, b) for a, b in zip(ends, ends[1:], strict=False)]
+    return block_keys([fp], cuts, list(combinations(range(len(cuts)), agree)))
+
+
+def likely_keys(count: int, words: Sequence[Column], keys: int = KEYS, seed: int = 1) -> Column:
+    """Keys of a wide fingerprint of which close ones share one with high probability: fixed choices among its blocks of four bits.
+
+    A key has four blocks, or more where the `count` of fingerprints asks for wider keys; there are more keys then, as many as keep the
+    probability at a shingle similarity of 0.8 (two such texts differ in 15 of 100 bits) the same or better.
+    """
+    bits = max(16, math.ceil(math.log2(max(count, 1) / CROWD + 1)))
+    agree = -(-bits // BLOCK_BITS)
+    total = math.ceil(keys / (0.8485**BLOCK_BITS) ** (agree - 4))
+    cuts = [(w, a, a + BLOCK_BITS) for w in range(len(words)) for a in range(0, 64, BLOCK_BITS)]
+    random, chosen = np.random.default_rng(seed), set()
+    while len(chosen) < total:
+        chosen.add(tuple(sorted(random.choice(len(cuts), agree, replace=False).tolist())))
+    return block_keys(words, cuts, sorted(chosen))
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The number of bits in which fingerprints (rows of words) differ."""
+    return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
 
 
 def _links_of_run(fp: np.ndarray, node: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -102,32 +138,32 @@ def _links_of_run(fp: np.ndarray, node: np.ndarray, distance: int) -> Iterator[t
 
     The first tree grows from the fingerprint nearest to the run's majority bits: where copies differ from one text, from that text.
     """
-    bits = np.unpackbits(fp.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    central = np.argmin(np.bitwise_count(fp ^ np.packbits(2 * bits > len(fp)).view(np.uint64)))
+    bits = np.unpackbits(np.ascontiguousarray(fp).view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    central = np.argmin(_apart(fp, np.packbits(2 * bits > len(fp)).view(np.uint64)))
     left = np.concatenate([[central], np.delete(np.arange(len(fp)), central)])
     while len(left) > 1:
         frontier, left = left[:1], left[1:]
         while len(frontier) and len(left):
             at, frontier = frontier[0], frontier[1:]
-            near = np.bitwise_count(fp[left] ^ fp[at]) <= distance
+            near = _apart(fp[left], fp[at]) <= distance
             if near.any():
                 found = left[near]
-                yield np.full(len(found), node[at]), node[found]
+                yield np.repeat(node[at : at + 1], len(found), axis=0), node[found]
                 frontier, left = np.concatenate([frontier, found]), left[~near]
 
 
 def _links_of_runs(key: np.ndarray, fp: np.ndarray, node: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within runs of equal keys: short runs all at once, by shifts; long ones each by a search."""
+    """Links that connect the runs of equal keys: short runs all at once, by shifts; long ones each by a search. Both connect the same."""
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.concatenate([first, [len(key)]]))
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    a, b = [node[:0]], [node[:0]]
     short = 8
     size_of = np.repeat(sizes, sizes)
     for shift in range(1, short):
         here = np.flatnonzero((key[shift:] == key[:-shift]) & (size_of[shift:] <= short)) if len(key) > shift else []
         if not len(here):
             break
-        near = here[np.bitwise_count(fp[here] ^ fp[here + shift]) <= distance]
+        near = here[_apart(fp[here], fp[here + shift]) <= distance]
         a.append(node[near])
         b.append(node[near + shift])
     for k in np.flatnonzero(sizes > short):
@@ -138,19 +174,21 @@ def _links_of_runs(key: np.ndarray, fp: np.ndarray, node: np.ndarray, distance:
     return np.concatenate(a), np.concatenate(b)
 
 
-def _search(distance: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _search(distance: int, words: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 4
+        names = ["key", "tile", *words]
+        held = [np.zeros(0, np.int64)] * len(names)
 
         def links(cols: list[np.ndarray]) -> pa.RecordBatch:
-            key, tile, fp, node = cols
+            key, tile, *fp = cols
+            fps = np.ascontiguousarray(np.stack(fp, axis=1)).view(np.uint64)
             # Runs are of one key and tile; the numbers of the runs stand for both.
             number = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])])) if len(key) else key
-            a, b = _links_of_runs(number, fp.view(np.uint64), node, distance)
-            return pa.RecordBatch.from_pydict({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+            a, b = _links_of_runs(number, fps, fps, distance)
+            return pa.RecordBatch.from_pydict({name: _named(x) for name, x in (("a", a), ("b", b))})
 
         for batch in batches:
-            cols = [np.concatenate([h, batch.column(c).to_numpy(zero_copy_only=False)]) for h, c in zip(held, ("key", "tile", "fp", "node"), strict=True)]
+            cols = [np.concatenate([h, batch.column(c).to_numpy(zero_copy_only=False)]) for h, c in zip(held, names, strict=True)]
             if not len(cols[0]):
                 continue
             last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
@@ -162,26 +200,37 @@ def _search(distance: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def near_links(nodes: DataFrame, distance: int = 4, tile: int = TILE, blocks: int | None = None, agree: int = 2) -> DataFrame:
-    """Links (a > b) between nodes whose fingerprints differ in at most `distance` bits; they connect what all such links would.
+def _named(fps: np.ndarray) -> pa.Array:
+    """Fingerprints as binaries of their words, the highest byte first."""
+    raw = np.ascontiguousarray(fps).astype(">u8")
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * fps.shape[1]), len(fps), [None, pa.py_buffer(raw.tobytes())]).cast(pa.binary())
+
+
+def name_of(*words: Column) -> Column:
+    """The binary that names a fingerprint in links."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(w), 16, "0") for w in words]))
 
-    `nodes` is a written table of node and fp, one row for each distinct fingerprint.
+
+def near_links(nodes: DataFrame, distance: int, keys: Column, words: Sequence[str] = ("fp",), tile: int = TILE) -> DataFrame:
+    """Links (a > b, `name_of` each) between fingerprints that differ in at most `distance` bits and share one of `keys`.
+
+    They connect what all such links would. `nodes` is a written table of the words, one row for each distinct fingerprint.
     """
     # Nodes are few bytes but many keys each: as many tasks as a shuffle has, not as many as their files fill.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = nodes.repartition(parts, "node").select("node", "fp", F.explode(block_keys(F.col("fp"), distance, blocks, agree)).alias("key"))
+    keyed = nodes.repartition(parts, *words).select(*words, F.explode(keys).alias("key"))
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     hot = small_enough(written(counts.where(F.col("n") > tile).select("key", F.ceil(F.col("n") / tile).cast("int").alias("k")), "hot-keys"))
-    part = F.pmod(F.xxhash64("fp"), F.col("k")).cast("int")
-    lows = F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.least(part, j) * F.col("k") + F.greatest(part, j))
-    tiles = F.when(F.col("k").isNull(), F.array(F.lit(0))).otherwise(lows)
+    part = F.pmod(F.xxhash64(*words), F.col("k")).cast("int")
+    tiles = F.when(F.col("k").isNull(), F.array(F.lit(0))).otherwise(_tiles(F.col("k"), part))
     rows = (
         keyed.join(hot, "key", "left")
-        .select("key", "fp", "node", F.explode(tiles).alias("tile"))
+        .select("key", *words, F.explode(tiles).alias("tile"))
         .repartition("key", "tile")
-        .sortWithinPartitions("key", "tile", "fp")  # by fp too, so that reruns find the same trees
+        .sortWithinPartitions("key", "tile", *words)  # by fingerprint too, so that reruns find the same trees
     )
-    return rows.select("key", "tile", "fp", "node").mapInArrow(_search(distance), "a long, b long").distinct()
+    links = rows.select("key", "tile", *words).mapInArrow(_search(distance, words), "a binary, b binary")
+    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -208,17 +257,19 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, seed: in
     """doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id reachable by links) of every row.
 
     Documents whose fingerprints differ in at most `distance` bits are linked. Null, empty and white-space texts have
-    fingerprint zero and link like any other. Rows that repeat a doc_id get a row each. An empty table gives no rows.
-    Other columns are not read.
+    fingerprint zero and link like any other. Rows that repeat a doc_id get a row each. A null doc_id comes last: it names a
+    component only where there is no other. An empty table gives no rows. Other columns are not read.
     """
     prints = written(fingerprints(docs, width, seed), "fingerprints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    roots = components(near_links(nodes, distance))
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    links = near_links(nodes.select("fp"), distance, certain_keys(nodes.count(), distance, F.col("fp")))
+    roots = components(links)
+    named = nodes.withColumn("node", name_of(F.col("fp"))).join(roots, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
+    named = written(named, "rooted")
+    least = named.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
+    named = named.join(least, F.col("root") == F.col("of")).select("fp", "component_id")
     # A text with very many copies makes one fingerprint hot; its rows are a few bytes each, and Spark splits such a side.
-    return prints.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def _set(parts: list[np.ndarray], seed: int) -> np.ndarray:
@@ -226,18 +277,27 @@ def _set(parts: list[np.ndarray], seed: int) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.array([xxhash.xxh64_intdigest(b"", seed)], "<u8")
 
 
+def wide_fingerprint(shingles: np.ndarray) -> np.ndarray:
+    """The SimHash words of a set of shingle hashes: the majority of the hashes' own bits, and that of their mixed bits."""
+    mixed = (shingles ^ (shingles >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    return np.array([_majority(np.split(h, range(65536, len(h), 65536))) for h in (shingles, mixed)], np.uint64)
+
+
 def _described(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            prints, nodes, sizes = np.zeros(len(batch), np.uint64), [], []
+            prints, nodes, sizes = np.zeros((len(batch), len(WIDE)), np.uint64), [], []
             for i, text in enumerate(batch.column("text")):
-                parts = list(_hashes(text.as_py(), width, seed))
-                prints[i], shingles = _majority(parts), _set(parts, seed)
-                nodes.append(xxhash.xxh3_128_digest(shingles.tobytes() + prints[i].tobytes()))
+                shingles = _set(list(_hashes(text.as_py(), width, seed)), seed)
+                prints[i] = wide_fingerprint(shingles)
+                nodes.append(xxhash.xxh3_128_digest(shingles.tobytes()))
                 sizes.append(len(shingles))
             own = {c: batch.column(c) for c in ("doc_id", "own")}
-            yield pa.RecordBatch.from_pydict({**own, "fp": prints.view(np.int64), "node": pa.array(nodes, pa.binary()), "size": pa.array(sizes, pa.int64())})
+            words = dict(zip(WIDE, prints.view(np.int64).T, strict=True))
+            yield pa.RecordBatch.from_pydict({**own, **words, "node": pa.array(nodes, pa.binary()), "size": pa.array(sizes, pa.int64())})
 
     return run
 
@@ -247,7 +307,7 @@ def _with_sets(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], It
         for batch in batches:
             sets = [_set(list(_hashes(x.as_py(), width, seed)), seed).view(np.int64) for x in batch.column("text")]
             yield pa.RecordBatch.from_pydict(
-                {**{c: batch.column(c) for c in ("group", "ways", "fp", "node")}, "shingles": pa.array(sets, pa.list_(pa.int64()))}
+                {**{c: batch.column(c) for c in ("group", "ways", *WIDE, "node")}, "shingles": pa.array(sets, pa.list_(pa.int64()))}
             )
 
     return run
@@ -281,7 +341,7 @@ def _similar_of_run(fp: np.ndarray, flat: np.ndarray, bounds: np.ndarray, distan
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             at = frontier.pop()
-            near = left[np.bitwise_count(fp[left] ^ fp[at]) <= distance]
+            near = left[_apart(fp[left], fp[at]) <= distance]
             near = near[(sizes[near] >= least * sizes[at]) & (sizes[at] >= least * sizes[near])]
             near = near[common(at, near, heads) > 0] if len(near) else near
             if not len(near):
@@ -301,7 +361,8 @@ def _search_similar(distance: int, least: float) -> Callable[[Iterator[pa.Record
         shingles = whole.column("shingles").combine_chunks()
         sizes = shingles.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        found = _similar_of_run(whole.column("fp").to_numpy().view(np.uint64), shingles.flatten().to_numpy(), bounds, distance, least)
+        fps = np.ascontiguousarray(np.stack([whole.column(w).to_numpy() for w in WIDE], axis=1)).view(np.uint64)
+        found = _similar_of_run(fps, shingles.flatten().to_numpy(), bounds, distance, least)
         node, a, b = whole.column("node").to_pylist(), [], []
         for at, others in found:
             for x in others.tolist():
@@ -314,14 +375,16 @@ def _search_similar(distance: int, least: float) -> Callable[[Iterator[pa.Record
         for batch in batches:
             if not len(batch):
                 continue
-            group, tile = (batch.column(c).to_numpy() for c in ("group", "tile"))
-            first = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (tile[1:] != tile[:-1])]))
+            group, tile = batch.column("group"), batch.column("tile").to_numpy()
+            same = pc.equal(group.slice(1), group.slice(0, len(group) - 1)).to_numpy(zero_copy_only=False)
+            first = np.flatnonzero(np.concatenate([[True], ~same.astype(bool) | (tile[1:] != tile[:-1])]))
             for x, y in zip(first.tolist(), [*first[1:].tolist(), len(batch)], strict=True):
-                if held and (group[x], tile[x]) != last:
+                now = group[x].as_py(), tile[x]
+                if held and now != last:
                     yield links(held)
                     held = []
                 held.append(batch.slice(x, y - x))
-                last = group[x], tile[x]
+                last = now
         if held:
             yield links(held)
 
@@ -336,30 +399,33 @@ def _tiles(ways: Column, part: Column) -> Column:
 def similar(prints: DataFrame, docs: DataFrame, groups: DataFrame, width: int, distance: int, least: float, seed: int = 42, volume: int = VOLUME) -> DataFrame:
     """Links (a > b) between nodes of `prints` that connect what all links do: fingerprints within `distance` and sets alike to `least`.
 
-    `groups` has node (a fingerprint) and root: links are looked for among all nodes whose fingerprints have one root, whatever
+    `groups` has node (a fingerprint's name) and root: links are looked for among all nodes whose fingerprints have one root, whatever
     links within the distance led to it. A group of more than `volume` shingles is searched tile by tile.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("first")
-    nodes = written(
-        prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), first)
-        .join(groups.select(F.col("node").alias("fp"), "root"), "fp", "left")
-        .select("node", "fp", "size", F.coalesce("root", "fp").alias("group"), "first.doc_id", "first.own"),
-        "nodes",
+    named = groups.select(F.col("node").alias("name"), F.col("root").alias("group"))
+    nodes = (
+        prints.groupBy("node").agg(*[F.first(w).alias(w) for w in WIDE], F.first("size").alias("size"), first)
+        .withColumn("name", name_of(*map(F.col, WIDE)))
+        .join(named, "name", "left")
+        .select("node", *WIDE, "size", F.coalesce("group", "name").alias("group"), "first.doc_id", "first.own")
     )
+    nodes = written(nodes, "nodes")
     ways = F.ceil(F.sum(F.col("size") + 16) / volume).cast("int").alias("ways")
     many = nodes.groupBy("group").agg(F.count(F.lit(1)).alias("n"), ways).where("n > 1").select("group", "ways")
-    firsts = nodes.join(small_enough(written(many, "groups")), "group").select("group", "ways", "fp", "node", F.col("doc_id").alias("id"), F.col("own").alias("key"))
+    firsts = nodes.join(small_enough(written(many, "groups")), "group").select("group", "ways", *WIDE, "node", F.col("doc_id").alias("id"), F.col("own").alias("key"))
     texts = docs.select("doc_id", text_of().alias("text"), _own().alias("own"))
-    texts = texts.join(firsts, (F.col("own") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("group", "ways", "fp", "node", "text")
-    schema = "group long, ways int, fp long, node binary, shingles array<long>"
+    texts = texts.join(firsts, (F.col("own") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("group", "ways", *WIDE, "node", "text")
+    words = ", ".join(f"{w} long" for w in WIDE)
+    schema = f"group binary, ways int, {words}, node binary, shingles array<long>"
     sets = written(texts.mapInArrow(_with_sets(width, seed), schema).dropDuplicates(["node"]), "shingles")
     part = F.pmod(F.xxhash64("node"), F.col("ways")).cast("int")
     rows = (
-        sets.select("group", "fp", "node", "shingles", F.explode(_tiles(F.col("ways"), part)).alias("tile"))
+        sets.select("group", *WIDE, "node", "shingles", F.explode(_tiles(F.col("ways"), part)).alias("tile"))
         .repartition("group", "tile")
         .sortWithinPartitions("group", "tile", "node")
     )
-    return rows.select("group", "tile", "fp", "node", "shingles").mapInArrow(_search_similar(distance, least), "a binary, b binary").distinct()
+    return rows.select("group", "tile", *WIDE, "node", "shingles").mapInArrow(_search_similar(distance, least), "a binary, b binary").distinct()
 
 
 def _own() -> Column:
@@ -367,21 +433,21 @@ def _own() -> Column:
     return F.unhex(F.md5(text_of()))
 
 
-def drop_near_duplicates(
-    docs: DataFrame, width: int = 5, distance: int = 10, blocks: int = 11, agree: int = 3, least: float = 0.8, volume: int = VOLUME
-) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 28, keys: int = KEYS, least: float = 0.8, volume: int = VOLUME) -> DataFrame:
     """The documents' columns, for one row of each group of near duplicates: the one with the smallest doc_id.
 
-    A link joins documents whose fingerprints differ in at most `distance` bits and whose shingle sets have a Jaccard similarity of
-    `least` or more; documents of equal fingerprint and shingle set are one. Links are looked for among all documents whose
-    fingerprints hang together. Up to `blocks - agree` bits every pair shares a key; beyond, most do. Of rows
-    that share the doc_id that stays, the one whose text is first in order does. A null doc_id comes last; null texts count as empty.
+    Fingerprints have 128 bits, over a text's set of shingles. A link joins documents whose fingerprints differ in at most `distance`
+    bits and whose shingle sets have a Jaccard similarity of `least` or more; documents of equal shingle sets are one. Links are looked
+    for among all documents whose fingerprints hang together by links of at most `distance` bits; of two such fingerprints most share one
+    of the `keys` (README has the recall against all pairs). Of rows that share the doc_id that stays, the one whose text is first
+    in order does. A null doc_id comes last; null texts count as empty.
     """
     rows = docs.select("doc_id", _own().alias("own"), text_of().alias("text"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, own binary, fp long, node binary, size long"
+    words = ", ".join(f"{w} long" for w in WIDE)
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, own binary, {words}, node binary, size long"
     prints = written(rows.mapInArrow(_described(width, 42), schema), "fingerprints")
-    fps = written(prints.select(F.col("fp").alias("node"), "fp").distinct(), "fingerprint-nodes")
-    groups = components(near_links(fps, distance, blocks=blocks, agree=agree))
+    fps = written(prints.select(*WIDE).distinct(), "fingerprint-nodes")
+    groups = components(near_links(fps, distance, likely_keys(fps.count(), [F.col(w) for w in WIDE], keys), WIDE))
     roots = components(similar(prints, docs, groups, width, distance, least, volume=volume))
     rooted = prints.join(roots, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("root"))
     rooted = written(rooted.distinct(), "roots")

@@ -197,11 +197,15 @@ def test_near_copies_go_and_others_stay(spark):
     assert gone <= near and len(gone) >= 0.9 * len(near)
 
 
-def plain_groups(texts, width=5, distance=10, least=0.8):
-    """The groups of drop_near_duplicates by comparing all pairs: the smallest position of each text's group."""
-    words = [(t or "").lower().split() for t in texts]
-    sets = [{tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} for w in words]
-    prints, root = [simhash.fingerprint(t or "", width) for t in texts], list(range(len(texts)))
+def plain_shingles(text, width=5):
+    words = re.findall(WS, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))}
+
+
+def plain_groups(texts, least=0.8, apart=None, distance=28):
+    """The groups of near duplicates by comparing all pairs: the smallest position of each text's group. `apart` collects the pairs."""
+    sets, root = [plain_shingles(t) for t in texts], list(range(len(texts)))
+    prints = [simhash.wide_fingerprint(np.unique(np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in s], np.uint64))) for s in sets]
 
     def find(x):
         while root[x] != x:
@@ -210,9 +214,13 @@ def plain_groups(texts, width=5, distance=10, least=0.8):
 
     for i in range(len(texts)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= distance and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
-                a, b = sorted((find(i), find(j)))
-                root[b] = a
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                bits = int(np.bitwise_count(prints[i] ^ prints[j]).sum())
+                if apart is not None:
+                    apart.append((j, i, bits))
+                if bits <= distance:
+                    a, b = sorted((find(i), find(j)))
+                    root[b] = a
     return [find(i) for i in range(len(texts))]
 
 
@@ -226,17 +234,35 @@ def test_copies_within_a_template_go(spark):
         copy[50] = "new"
         texts += [" ".join([*common_part, *x]) for x in (own, copy)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    # With keys of one bit all runs are long, and every text is near the central one.
-    for distance, more in ((24, {"blocks": 64, "agree": 1}), (10, {"volume": 4000})):
-        want = plain_groups(texts, distance=distance)
+    for more in ({}, {"volume": 4000}, {"distance": 60}):
+        want = plain_groups(texts, distance=more.get("distance", 28))
         assert len(set(want)) < 0.6 * len(texts)
-        more["distance"] = distance
         assert sorted(r.doc_id for r in simhash.drop_near_duplicates(df, **more).collect()) == sorted(set(want))
 
 
+def test_recall_of_links_within_one_family(spark):
+    """Over 500 texts of one family: pairs at a similarity of 0.8 or more that the operator puts in one group, of all such pairs."""
+    rng = np.random.default_rng(23)
+    words = np.array([f"w{i}" for i in range(4000)])
+    base, texts = words[rng.integers(0, 4000, 250)], []
+    for _ in range(260):
+        own = base.copy()
+        own[rng.choice(250, 14, replace=False)] = words[rng.integers(0, 4000, 14)]  # to the base about 0.6
+        copy = own.copy()
+        copy[rng.choice(250, int(rng.integers(1, 6)), replace=False)] = "new"  # 0.8 to 0.98
+        texts += [" ".join(own), " ".join(copy)]
+    pairs: list = []
+    want = plain_groups(texts, apart=pairs, distance=128)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(df).collect()}
+    assert kept >= set(want)  # no text goes that is not in a group with a smaller one
+    lost = len(kept) - len(set(want))
+    assert len(pairs) >= 200 and lost <= 0.1 * (len(texts) - len(set(want)))
+
+
 def test_equal_fingerprints_of_unlike_texts_stay(spark):
     texts = [" ".join(f"{c}{i}" for i in range(100)) + " -" * 130 for c in "ab"]
-    assert simhash.fingerprint(texts[0], 5) == simhash.fingerprint(texts[1], 5)
+    assert simhash.fingerprint(texts[0], 5) == simhash.fingerprint(texts[1], 5)  # of repeated shingles; sets have others
     rows = [(1, texts[0]), (2, texts[1]), (3, texts[1]), (4, texts[1].replace("b50", "new"))]
     kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
@@ -260,15 +286,17 @@ def test_links_of_hot_keys_connect(spark):
         fps.add(f)
     fps = sorted(fps)
     prints = dict(enumerate(fps))
-    rows = [(i, int(np.uint64(f).astype(np.int64))) for i, f in prints.items()]
-    nodes = common.written(spark.createDataFrame(rows, "node long, fp long"), "n")
+    rows = [(int(np.uint64(f).astype(np.int64)), 0) for f in fps]
+    nodes = common.written(spark.createDataFrame(rows, "fp long, fp2 long"), "n")
     want = plain_components(prints)
+    number = {f"{f:016x}": i for i, f in prints.items()}
     for tile in (20, 100_000):
-        links = simhash.near_links(nodes, 4, tile=tile)
-        for r in links.collect():
-            assert (prints[r.a] ^ prints[r.b]).bit_count() <= 4 and r.a > r.b
-        roots = {r.node: r.root for r in simhash.components(links).collect()}
-        assert {i: roots.get(i, i) for i in prints} == want
+        for count in (300, 1 << 36):  # wider keys find the same
+            links = simhash.near_links(nodes.select("fp"), 4, simhash.certain_keys(count, 4, F.col("fp")), tile=tile)
+            for r in links.collect():
+                assert (prints[number[r.a.hex()]] ^ prints[number[r.b.hex()]]).bit_count() <= 4 and r.a > r.b
+            roots = {number[r.node.hex()]: number[r.root.hex()] for r in simhash.components(links).collect()}
+            assert {i: roots.get(i, i) for i in prints} == want
 
 
 def check_exact(df, keep, **more):
