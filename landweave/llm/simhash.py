@@ -35,7 +35,7 @@ VOLUME = 1 << 20
 CROWD = 64
 
 #: The words of a wide fingerprint, its blocks' width in bits, and how many keys of four blocks each it has.
-WIDE, BLOCK_BITS, KEYS = ("fp", "fp2"), 4, 96
+WIDE, BLOCK_BITS, KEYS = ("fp", "fp2"), 4, 128
 
 
 def _hashes(text: str, width: int, seed: int) -> Iterator[np.ndarray]:

@@ -6,9 +6,11 @@ d(q, x)^2 = |q|^2 + M^2 - 2 q.x. Each vector is keyed by its nearest pivot and i
 vectors of one pivot are kept sorted by distance, in blocks: annuli around the pivot.
 
 A query knows its distance to each pivot; by the triangle inequality an annulus [lo, hi] holds nothing
-nearer than max(dq - hi, lo - dq). The annuli nearest to the query are searched first and give a bound
-on its k-th score; then those that the bound doesn't rule out, and no others. Scores are integers, so that
-the results are exact; the bounds only decide what is looked at, with a margin for rounding.
+nearer than max(dq - hi, lo - dq). A pivot's annuli are held in order of distance. The annuli nearest to
+the query are searched first and give a bound on its k-th score; the search then expands, first to half
+the radius that the bound leaves and, with the better bound, to what is left of it. It stops there: no
+annulus beyond holds anything as good. Scores are integers, so that the results are exact; the bounds only
+decide what is looked at, with a margin for rounding.
 """
 
 from __future__ import annotations
@@ -22,13 +24,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import BROADCAST_ROWS, small_enough, written
 
-#: Vectors in an index block, queries in a batch, pivots, and vectors that the pivots are chosen from.
+#: Vectors in an index block, queries in a batch, pivots, and (about) the vectors that the pivots are chosen from.
 BLOCK, BATCH, PIVOTS, SAMPLE = 2048, 256, 32, 2000
 
-#: Components are at most so large that sums of 4096 products are exact in doubles.
-LARGEST = 1 << 20
+#: Annuli of one pivot in a row of the directory.
+SHELF = 1024
+
+#: Parts of the radius to which the search expands in turn; the last is all of it.
+EXPAND = (0.5, 1.0)
 
 VECTORS = "pivot int, dist double, id long, v array<long>"
 
@@ -40,9 +45,9 @@ def quantised(column: Column, scale: int = 64) -> Column:
     return F.when(finite, F.transform(as_double, lambda x: F.floor(F.lit(float(scale)) * x).cast("long")))
 
 
-def _matrix(column: pa.Array | pd.Series, dims: int) -> np.ndarray:
+def _matrix(column: pa.Array | pd.Series, dims: int, kind: type = np.float64) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else np.concatenate(list(column))
-    return flat.reshape(-1, dims).astype(np.float64)
+    return flat.reshape(-1, dims).astype(kind)
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -88,7 +93,7 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, top: float, block: int =
     rings = rings.select(
         F.col("pivot").alias("r_pivot"), F.col("ring").alias("r_ring"), F.expr(f"({block} + n - 1) div {block}").alias("cuts"), F.floor(before / block).alias("annulus"), "n"
     )  # at most some thousand rings for each pivot
-    rings = F.broadcast(rings)
+    rings = F.broadcast(rings)  # by the fixed number of rings, at most some thousand for each of the pivots
     placed = keyed.join(rings, (F.col("pivot") == F.col("r_pivot")) & (ring == F.col("r_ring")))
     cut = F.when(F.col("cuts") > 1, F.col("r_ring") * 4096 + F.pmod(F.xxhash64("id"), F.col("cuts"))).otherwise(F.lit(-1))
     placed = placed.select("pivot", F.col("annulus").alias("annulus"), cut.cast("long").alias("cut"), "dist", "id", "v")
@@ -96,7 +101,7 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, top: float, block: int =
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
         first = rows.iloc[0]
-        body = np.concatenate(list(rows["v"])).astype("<i4").tobytes()
+        body = np.concatenate(list(rows["v"])).astype("<i8").tobytes()
         out = {"pivot": first["pivot"], "lo": rows["dist"].min(), "hi": rows["dist"].max(), "ids": rows["id"].to_numpy().astype("<i8").tobytes(), "body": body, "n": len(rows)}
         return pd.DataFrame([out])
 
@@ -104,6 +109,21 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, top: float, block: int =
     return written(packed.withColumn("block", F.expr("uuid()")), "pivot-index")
 
 
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of rows of integers, exact: by doubles or longs where no sum can round or overflow, else by Python's integers.
+
+    What lies beyond a long becomes the nearest long.
+    """
+    most = [int(np.abs(m.astype(np.float64)).max(initial=0)) + 1 for m in (q, x)]
+    bound = most[0] * most[1] * q.shape[1]
+    if bound < 1 << 53:
+        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    if bound < 1 << 63:
+        return q @ x.T
+    exact = q.astype(object) @ x.astype(object).T
+    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+
+
 def _scores(k: int, dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The k best candidates of each query in one block, of those that reach the query's bound."""
 
@@ -111,91 +131,102 @@ def _scores(k: int, dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], "<i8")
-                x = np.frombuffer(row["body"], "<i4").reshape(len(ids), dims).astype(np.float64)
-                q_ids = np.array([q["id"] for q in row["queries"]], np.int64)
-                q = np.array([q["v"] for q in row["queries"]], np.float64)
-                least = np.array([q["bound"] for q in row["queries"]], np.float64)
-                scores = q @ x.T
-                scores[q_ids[:, None] == ids[None, :]] = -np.inf
-                scores[scores < least[:, None]] = -np.inf
-                # ids ascend, so that of equal scores the first place has the smallest id
-                key = scores * (2.0 * len(ids)) - np.arange(len(ids))
-                kept = min(k, len(ids))
-                best = np.argpartition(-key, kept - 1, axis=1)[:, :kept]
-                rows, cols = np.repeat(np.arange(len(q)), kept), best.ravel()
-                there = np.isfinite(scores[rows, cols])
-                rows, cols = rows[there], cols[there]
-                yield pa.RecordBatch.from_pydict({"query_id": q_ids[rows], "vec_id": ids[cols], "score": scores[rows, cols].astype(np.int64)})
+                x = np.frombuffer(row["body"], "<i8").reshape(len(ids), dims)
+                asked = np.array([q["asked"] for q in row["queries"]], np.int64)
+                own = np.array([q["id"] for q in row["queries"]], np.int64)
+                scores = products(np.array([q["v"] for q in row["queries"]], np.int64), x)
+                there = own[:, None] != ids[None, :]
+                for i, q in enumerate(row["queries"]):
+                    if q["bound"] is not None:
+                        there[i] &= scores[i] >= q["bound"]
+                    cols = np.flatnonzero(there[i])
+                    if len(cols) > k:  # ids ascend, so that of equal scores the smallest ids stay
+                        least = np.partition(scores[i, cols], len(cols) - k)[len(cols) - k]
+                        above, equal = cols[scores[i, cols] > least], cols[scores[i, cols] == least]
+                        cols = np.concatenate([above, equal[: k - len(above)]])
+                    yield pa.RecordBatch.from_pydict({"asked": np.full(len(cols), asked[i]), "vec_id": ids[cols], "score": scores[i, cols]})
 
     return run
 
 
 def _search(queries: DataFrame, pairs: DataFrame, index: DataFrame, k: int, dims: int) -> DataFrame:
-    """Candidates (query_id, vec_id, score) from pairs of query and block, each block's queries in batches."""
-    rows = pairs.join(queries.select("id", "v", "bound"), "id")
-    number = F.floor((F.row_number().over(W.partitionBy("block").orderBy("id")) - 1) / BATCH)
-    batches = rows.withColumn("batch", number).groupBy("block", "batch").agg(F.collect_list(F.struct("id", "v", "bound")).alias("queries"))
+    """Candidates (asked, vec_id, score) from pairs (asked, block), each block's queries in batches."""
+    rows = pairs.join(queries.select("asked", "id", "v", "bound"), "asked")
+    number = F.floor((F.row_number().over(W.partitionBy("block").orderBy("asked")) - 1) / BATCH)
+    batches = rows.withColumn("batch", number).groupBy("block", "batch").agg(F.collect_list(F.struct("asked", "id", "v", "bound")).alias("queries"))
     work = batches.join(index.select("block", "ids", "body"), "block").select("queries", "ids", "body")
-    return work.mapInArrow(_scores(k, dims), "query_id long, vec_id long, score long")
+    return work.mapInArrow(_scores(k, dims), "asked long, vec_id long, score long")
 
 
 def _best(candidates: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _directory(index: DataFrame) -> DataFrame:
+    """A pivot's annuli in order of distance, SHELF to a row: pivot, annuli (lo, hi, block)."""
+    turn = F.row_number().over(W.partitionBy("pivot").orderBy("lo", "hi", "block"))  # a row for some thousand vectors
+    shelved = index.select("pivot", "lo", "hi", "block", F.floor((turn - 1) / SHELF).alias("shelf"))
+    return written(shelved.groupBy("pivot", "shelf").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "block"))).alias("annuli")).drop("shelf"), "directory")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS, seeds: int = 4) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest inner products with all other vectors, ties to smaller ids.
 
-    `vectors` has id (unique) and v (array of long, null for vectors that take no part); rows of `is_query` are the queries.
-    Repeated ids never match each other and are otherwise rows of their own. Components beyond 2^20 are an error; so are vectors of
-    unlike lengths. An empty table gives no rows, a query with fewer than k others gets all of them.
+    `vectors` has id and v (array of long, null for vectors that take no part); rows of `is_query` are the queries. A vector with
+    a null id can be neither asked nor named and takes no part. Rows of one id never match each other and are otherwise rows of their own;
+    two queries of one id are answered each. Of vectors of unlike lengths the shorter one counts as ended by zeros, an empty one as
+    all zeros. Scores are exact for components of any size; those beyond a long become the nearest long. An empty table
+    gives no rows, a query with fewer than k others gets all of them.
     """
     spark: SparkSession = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    usable = written(vectors.where(F.col("v").isNotNull()).select(F.col("id").cast("long").alias("id"), "v"), "vectors")
+    usable = written(vectors.where(F.col("v").isNotNull() & F.col("id").isNotNull()).select(F.col("id").cast("long").alias("id"), "v", is_query.alias("asks")), "vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    size = F.size("v")
-    large = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    facts = usable.agg(F.max(norm).alias("top"), F.min(size).alias("least"), F.max(size).alias("dims"), F.max(large).alias("large")).first()
+    facts = usable.agg(F.max(norm).alias("top"), F.max(F.size("v")).alias("dims"), F.count(F.lit(1)).alias("n")).first()
     if facts.dims is None:
         return empty
-    if facts.least != facts.dims or (facts.large or 0) > LARGEST or facts.dims > 4096:
-        raise ValueError("vectors must have one length, up to 4096, and components up to 2^20")
-    dims, top = facts.dims, facts.top
-    if not dims:
-        raise ValueError("vectors have no components")
-
-    # Pivots come from a bounded sample; every vector is indexed.
-    sample = np.array([r.v for r in usable.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()], np.float64)
+    dims, top = max(facts.dims, 1), facts.top
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(dims) - F.size("v"))
+    usable = usable.select("id", F.concat("v", zeros).alias("v"), "asks")
+
+    # Pivots come from a bounded sample, by hash; every vector is indexed.
+    share = -(-(SAMPLE << 30) // facts.n)
+    drawn = usable.where(F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) < share).select("v").collect()
+    sample = np.array(sorted(r.v for r in drawn or usable.select("v").limit(1).collect()), np.float64)
     whole = np.column_stack([sample, np.sqrt(np.maximum(top - (sample**2).sum(1), 0))])
     points = choose_pivots(whole, pivots)
-    index = build_index(usable, points, top)
-
-    asked = usable.where(is_query)
-    summary = index.select("block", "pivot", "lo", "hi", "n")  # a row for each block
+    index = build_index(usable.select("id", "v"), points, top)
 
     @F.pandas_udf("array<double>")
     def to_pivots(v: pd.Series) -> pd.Series:
         x = _matrix(v, dims)
         return pd.Series(list(_distances(x, np.zeros(len(x)), points)))
 
-    queries = written(asked.select("id", "v", norm.alias("norm"), to_pivots("v").alias("d")), "queries")
-    gap = F.greatest(F.get("d", F.col("pivot")) - F.col("hi"), F.col("lo") - F.get("d", F.col("pivot")), F.lit(0.0))
-    # The stated set of queries meets the blocks' summaries, a row for some thousand vectors, not the vectors.
-    met = queries.join(summary, F.lit(True)).select("id", "norm", "block", "n", gap.alias("gap"))
-
-    order = W.partitionBy("id").orderBy("gap", "block")
-    ahead = F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1))
-    ranked = met.withColumn("turn", F.row_number().over(order)).withColumn("ahead", F.coalesce(ahead, F.lit(0)))
-    near = (F.col("turn") <= seeds) | (F.col("ahead") <= k)
-    lowest = queries.withColumn("bound", F.lit(float("-inf")))
-    first = written(_best(_search(lowest, ranked.where(near).select("id", "block"), index, k, dims), k), "first-annuli")
-    bound = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
-    bounded = queries.join(bound, F.col("id") == F.col("query_id"), "left").withColumn("bound", F.coalesce(F.col("kth").cast("double"), F.lit(float("-inf"))))
-    bounded = bounded.select("id", "v", "bound")
-    # An annulus is reached as long as its nearest possible point is no farther than the k-th best, with room for rounding.
-    reach = F.sqrt(F.greatest(F.col("norm") + F.lit(top) - 2 * F.col("bound"), F.lit(0.0))) * (1 + 1e-9) + 1e-6
-    rest = ranked.where(~near).join(bounded.select("id", "bound"), "id").where(F.col("gap") <= reach).select("id", "block")
-    second = _search(bounded, rest, index, k, dims)
-    return _best(first.select("query_id", "vec_id", "score").unionByName(second), k).select("query_id", "rank", "vec_id", "score")
+    asked = usable.where("asks").select(F.monotonically_increasing_id().alias("asked"), "id", "v", norm.alias("norm"), to_pivots("v").alias("d"))
+    queries = written(asked, "queries")
+    # Each query meets its pivots' directories by the pivot; the annuli that it must look at are picked out of them in place.
+    met = queries.select("asked", "norm", F.posexplode("d").alias("pivot", "dq")).join(small_enough(_directory(index), BROADCAST_ROWS // SHELF), "pivot")
+    nearest = F.transform("annuli", lambda a: F.struct(F.greatest(F.col("dq") - a["hi"], a["lo"] - F.col("dq"), F.lit(0.0)).alias("gap"), a["block"].alias("block")))
+    turn = F.row_number().over(W.partitionBy("asked").orderBy("gap", "block"))
+    ahead = met.select("asked", F.explode(F.slice(F.array_sort(nearest), 1, seeds)).alias("near")).select("asked", "near.gap", "near.block")
+    ahead = written(ahead.withColumn("turn", turn).where(F.col("turn") <= seeds), "first-annuli")
+
+    lowest = queries.select("asked", "id", "v", F.lit(None).cast("long").alias("bound"))
+    found = written(_best(_search(lowest, ahead.select("asked", "block"), index, k, dims), k), "found")
+    done = ahead.groupBy("asked").agg(F.max(F.struct("gap", "block")).alias("done"))
+    for part in EXPAND:
+        kth = found.groupBy("asked").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
+        now = queries.join(kth, "asked", "left").join(done, "asked")
+        # No point farther than the k-th best counts, with room for rounding; without k of them all do.
+        room = F.lit(1e-6 * max(1.0, dims / 64) ** 0.5 * max(top, 1.0) ** 0.5)
+        reach = F.sqrt(F.greatest(F.col("norm") + F.lit(top) - 2 * F.col("bound").cast("double"), F.lit(0.0))) * (1 + 1e-9) + room
+        limit = F.when(F.col("bound").isNull(), F.lit(float("inf"))).otherwise(reach * part)
+        now = written(now.select("asked", "id", "v", "bound", limit.alias("limit"), "done"), "bounds")
+        open_ = F.filter(nearest, lambda a: (a > F.col("done")) & (a["gap"] <= F.col("limit")))
+        pairs = met.join(now.select("asked", "limit", "done"), "asked").select("asked", F.explode(open_).alias("next")).select("asked", "next.block")
+        new = _search(now, pairs, index, k, dims)
+        found = written(_best(found.select("asked", "vec_id", "score").unionByName(new), k), "found")
+        # All annuli up to the limit are done.
+        done = now.select("asked", F.greatest(F.col("done"), F.struct(F.col("limit").alias("gap"), F.lit("~").alias("block"))).alias("done"))
+    return found.join(queries.select("asked", F.col("id").alias("query_id")), "asked").select("query_id", "rank", "vec_id", "score")

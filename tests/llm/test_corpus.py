@@ -305,7 +305,8 @@ def check_exact(df, keep, **more):
     for r in rows:
         groups[r.text or ""].append(r.doc_id)
     best = max if keep == "largest" else min
-    want = Counter((r.doc_id, best(groups[r.text or ""]), len(groups[r.text or ""]), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in rows)
+    kept = {t: best([x for x in own if x is not None], default=None) for t, own in groups.items()}
+    want = Counter((r.doc_id, kept[r.text or ""], len(groups[r.text or ""]), hashlib.sha256((r.text or "").encode()).hexdigest()) for r in rows)
     got = exact.exact_duplicates(df, keep=keep, **more).collect()
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
     assert all(r.kept == (r.doc_id == r.keep_id) for r in got)
@@ -316,13 +317,25 @@ def test_exact(docs, odd, empty):
     check_exact(odd, "smallest")
     check_exact(odd, "largest", digest_chars=1)  # colliding keys
     check_exact(empty, "largest")
+    nulls = [(None, "a"), (None, "a"), (3, "b"), (None, "b"), (None, None), (7, ""), (7, "c"), (8, "c"), (8, "d")]
+    for keep in ("smallest", "largest"):
+        check_exact(docs.sparkSession.createDataFrame(nulls, "doc_id long, text string"), keep)
+
+
+def test_filter_of_digests(spark):
+    digests = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(4000)]
+    df = spark.createDataFrame([(d,) for d in digests], "digest string")
+    for count in (100, 200_000):  # one segment, several
+        held = exact.build_filter(df.limit(1000), count)
+        got = {r.digest for r in df.where(exact.may_hold(F.col("digest"), held)).collect()}
+        assert {r.digest for r in df.limit(1000).collect()} <= got and len(got) < 1100
 
 
 def test_digest_index(spark):
     index = exact.DigestIndex(spark, fan_in=3)
     for batch in ([(5, "a"), (3, "a"), (9, "b")], [(1, "b"), (4, "c")], [(2, "c")]):
         index.flush(spark.createDataFrame(batch, "doc_id long, digest string"))
-    assert len(index.runs) == 1
+    assert len(index.runs) == 1 and len(index.levels) == 2
     assert sorted(map(tuple, index.lookup(["a", "b", "x"]).collect())) == [("a", 3, 2), ("b", 1, 2)]
     with pytest.raises(ValueError):
         exact.DigestIndex(spark, keep="first")
@@ -490,6 +503,13 @@ def test_topk(spark):
         scores = sorted(((-int(np.dot(vecs[q], v)), i) for i, v in vecs.items() if i != q))[:20]
         assert got[q] == [(i, -s) for s, i in scores]
     few = spark.createDataFrame(rows[:3], "id long, v array<long>")
+    odd = [(20, [1, 2]), (40, []), (1, [3]), (2, [1 << 40, -(1 << 40), 5]), (None, [9, 9]), (20, [7, 7]), (60, [1 << 62, 1 << 62]), (3, None)]
+    found = topk.top_k(spark.createDataFrame(odd, "id long, v array<long>"), F.col("id") % 20 == 0, k=9).collect()
+    at = lambda v, i: v[i] if i < len(v) else 0
+    dot = lambda a, b: max(-(1 << 63), min((1 << 63) - 1, sum(at(a, i) * at(b, i) for i in range(3))))
+    there = [(i, v) for i, v in odd if i is not None and v is not None]
+    want = Counter((q, i, dot(v, x)) for q, v in there if q % 20 == 0 for i, x in there if i != q)
+    assert Counter((r.query_id, r.vec_id, r.score) for r in found) == want
     assert topk.top_k(few, F.col("id") == 0).count() == 2
     assert topk.top_k(few.limit(0), F.col("id") == 0).count() == 0
     bad = spark.createDataFrame([(1, [1.0, float("nan")]), (2, [1.0, None]), (3, [0.5, -0.01]), (4, None)], "id long, e array<float>")
