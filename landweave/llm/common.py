@@ -18,10 +18,12 @@ SALTS = 16
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that driver and executors share.
 
-    The folder is `spark.checkpoint.dir`. Only where that is unset (local tests) is one made.
+    The folder is `spark.checkpoint.dir`. Where that is unset one is made, if the executors are local; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="landweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

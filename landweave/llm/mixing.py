@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from landweave.operators.numbering import sequential
+
+from .common import small_enough, text_of, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -55,41 +57,37 @@ def training_time(share: Column, knots: Sequence[tuple[float, float]]) -> Column
 def source_targets(
     sizes: DataFrame, schedules: list[list[tuple[float, float]]], max_passes: int
 ) -> DataFrame:
-    """source, source_size, target and schedule of each source (a configured, small set of rows).
+    """source, source_size, target and schedule of each source, written. Sources may be many: none of this is done in one task.
 
-    Filling from the source whose limit a share reaches first, targets at their limit are found with running sums: the same
-    fixed point that sharing the excess again and again ends in.
+    Sources are numbered in code point order by range partitions. Shares are settled in rounds: what the sources at their limit
+    leave is shared by weight among the others, until no share is above its source's limit.
     """
     weights = [_integrals(k)[-1] for k in schedules]
-    turn = W.orderBy(F.col("source").cast("binary").asc_nulls_last())
-    each = (
-        sizes.groupBy("source")
-        .agg(F.sum("size").alias("source_size"))
-        .withColumn("schedule", F.pmod(F.row_number().over(turn) - 1, F.lit(len(schedules))))
+    order = F.concat(F.col("source").isNull().cast("int").cast("string"), F.coalesce(F.hex(F.col("source").cast("binary")), F.lit("")))
+    each = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("order", order)
+    each = written(
+        sequential(each, "order", "turn")
+        .withColumn("schedule", F.pmod(F.col("turn"), F.lit(len(schedules))).cast("int"))
         .withColumn("weight", _pick(F.col("schedule"), weights))
-        .withColumn("limit", (F.col("source_size") * max_passes).cast("long"))
-    )
-    fill = W.orderBy(F.col("limit") / F.col("weight"), F.col("source").cast("binary").asc_nulls_last())
-    every = W.partitionBy()
-    each = (
-        each.withColumn("before", F.coalesce(F.sum("limit").over(fill.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("weight_left", F.sum("weight").over(fill.rowsBetween(W.currentRow, W.unboundedFollowing)))
-        .withColumn("total", F.sum("source_size").over(every))
-        .withColumn("level", (F.col("total") - F.col("before")) / F.col("weight_left"))
-    )
-    # The level at the first source that stays under its limit holds for all after it.
-    level = F.min(F.when(F.col("limit") > F.col("weight") * F.col("level"), F.struct(F.col("before"), F.col("level")))).over(every)
-    return each.withColumn("open", level).select(
-        "source",
-        "source_size",
-        "schedule",
-        F.when(
-            F.col("open").isNull() | (F.col("limit") <= F.col("weight") * F.col("open.level")),
-            F.col("limit").cast("double"),
-        )
-        .otherwise(F.col("weight") * F.col("open.level"))
-        .alias("target"),
+        .select("source", "source_size", "schedule", "weight", (F.col("source_size") * max_passes).cast("long").alias("limit")),
+        "sources",
     )
+    total = each.agg(F.sum("source_size")).first()[0] or 0
+    level, full = 0.0, -1
+    while True:
+        # Those at their limit: at first none, then the ones that the last level brought there.
+        capped = F.lit(False) if full < 0 else F.col("limit") <= F.col("weight") * F.lit(level)
+        row = each.agg(
+            F.coalesce(F.sum(F.when(capped, F.col("limit"))), F.lit(0)).alias("held"),
+            F.sum(F.when(~capped, F.col("weight"))).alias("open"),
+            F.count_if(capped).alias("full"),
+        ).first()
+        if row.full == full or not row.open:
+            level = level if row.open else float("inf")
+            break
+        level, full = (total - row.held) / row.open, row.full
+    share = F.when(F.col("limit") <= F.col("weight") * F.lit(level), F.col("limit").cast("double")).otherwise(F.col("weight") * F.lit(level))
+    return each.select("source", "source_size", "schedule", share.alias("target"))
 
 
 def mix(
@@ -101,16 +99,22 @@ def mix(
     """The documents' columns and `mix`: size, source_size, target, taken, passes (array of pass, words, position).
 
     Words are `[^\\x20\\x09-\\x0D]+`; a null or empty text has none, is never taken, and keeps a row. Null sources are one
-    source, last in turn. The order within a source is by md5 of doc_id, then doc_id, so reruns agree; repeated rows with
-    one doc_id share their place and so are taken alike, which can move a source's sum by their words. The last document of
-    a source's last pass is taken in part, or, with `whole_documents`, as a whole if half of it fits.
+    source, last in turn. The order within a source is by md5 of doc_id, then doc_id and size, so reruns agree; rows that share
+    doc_id, source and size are taken alike, as the first of them, which can move a source's sum by their words. The last document
+    of a source's last pass is taken in part, or, with `whole_documents`, as a whole if half of it fits.
     """
     columns = [c for c in docs.columns if c != "mix"]
-    plan = mix_plan(docs, schedules, max_passes, whole_documents).dropDuplicates(["doc_id"])
-    plan = plan.withColumnRenamed("doc_id", "plan_id").withColumnRenamed("mix", "plan_mix")
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns])
-    joined = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("plan_id")))
-    return joined.select(*[F.col(f"`{c}`") for c in columns], F.col("plan_mix").alias("mix"))
+    plan = mix_plan(docs, schedules, max_passes, whole_documents, F.col("source").alias("__plan_source"))
+    keys = [F.col("doc_id").alias("__plan_id"), "__plan_source", F.col("mix.size").alias("__plan_size")]
+    plan = plan.groupBy(*keys).agg(F.min("mix").alias("__plan_mix"))
+    own = (F.col("doc_id").eqNullSafe(F.col("__plan_id"))) & F.col("source").eqNullSafe(F.col("__plan_source")) & (_size() == F.col("__plan_size"))
+    joined = docs.select(*[F.col(f"`{c}`") for c in columns]).join(plan, own)
+    return joined.select(*[F.col(f"`{c}`") for c in columns], F.col("__plan_mix").alias("mix"))
+
+
+def _size() -> Column:
+    """The words of the text."""
+    return F.regexp_count(text_of(), F.lit(WORD)).cast("long")
 
 
 def mix_plan(
@@ -118,10 +122,10 @@ def mix_plan(
     schedules: list[list[tuple[float, float]]] = SCHEDULES,
     max_passes: int = 3,
     whole_documents: bool = False,
+    *more: Column,
 ) -> DataFrame:
-    """doc_id and mix of every row (see `mix`); texts are read once and not moved."""
-    size = F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size")
-    sizes = written(docs.select("source", F.col("doc_id").alias("id"), size), "sizes")
+    """doc_id and mix of every row (see `mix`), and columns of its source; texts are read once and not moved."""
+    sizes = written(docs.select("source", F.col("doc_id").alias("id"), _size().alias("size")), "sizes")
     targets = source_targets(sizes, schedules, max_passes)
     # Order within a source: by digest. Its first three digits deal a hot source out to 4096 windows, and the windows'
     # sums, a row for each source and digit group, are summed up first.
@@ -132,7 +136,7 @@ def mix_plan(
     before = W.partitionBy("source").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
     slots = slots.withColumn("slot_before", F.coalesce(F.sum("slot_size").over(before), F.lit(0)))
     t = targets.withColumnRenamed("source", "t_source")
-    slots = slots.join(F.broadcast(t), F.col("source").eqNullSafe(F.col("t_source"))).select(
+    slots = slots.join(small_enough(t), F.col("source").eqNullSafe(F.col("t_source"))).select(
         F.col("source").alias("s_source"), F.col("slot").alias("s_slot"), "slot_before", "source_size", "target", "schedule"
     )
     inside = W.partitionBy("source", "slot").orderBy("digest", "id", "size").rowsBetween(W.unboundedPreceding, -1)
@@ -164,7 +168,7 @@ def mix_plan(
     out = spot.withColumn("part", part).withColumn("passes", passes)
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda a, p: a + p["words"])
     report = F.struct("size", "source_size", "target", taken.alias("taken"), "passes")
-    return out.select(F.col("id").alias("doc_id"), report.alias("mix"))
+    return out.select(F.col("id").alias("doc_id"), report.alias("mix"), *more)
 
 
 def in_training_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -22,16 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import scratch_path, text_of
+from .common import scratch_path, small_enough, text_of, written
 from .encoding import encoder, in_slices
 
-BLOCK = "part int, block int, first_doc long, last_doc long, n_docs long, n_tokens long, payload binary"
+BLOCK = "part int, block int, first_doc long, last_doc long, n_docs long, before long, n_tokens long, payload binary"
 
 STEP = 512  # bits between two counts of a rank directory
 #: Distinct units that a worker's encoder holds; this operator holds little else.
 UNITS = 1_000_000
-_HEAD = struct.Struct("<4sII")
-_MAGIC = b"DAC1"
+_HEAD = struct.Struct("<4sIII")
+_MAGIC = b"DAC2"
 
 
 def _bytes(values: np.ndarray, kind: str) -> bytes:
@@ -98,19 +98,19 @@ class Codes:
         return values
 
 
-def pack_block(doc_ids: np.ndarray, bounds: np.ndarray, ids: np.ndarray) -> bytes:
-    """A block: the documents' ids, where their tokens begin, and the codes."""
-    head = _HEAD.pack(_MAGIC, len(doc_ids), len(ids))
+def pack_block(doc_ids: np.ndarray, bounds: np.ndarray, ids: np.ndarray, nulls: int = 0) -> bytes:
+    """A block: the documents' ids (the first `nulls` of them null), where their tokens begin, and the codes."""
+    head = _HEAD.pack(_MAGIC, len(doc_ids), len(ids), nulls)
     return head + _bytes(doc_ids, "<i8") + _bytes(bounds, "<u4") + pack_ids(ids)
 
 
-def open_block(data: bytes) -> tuple[np.ndarray, np.ndarray, Codes]:
+def open_block(data: bytes) -> tuple[pa.Array, np.ndarray, Codes]:
     """doc_ids, bounds (one more than documents) and codes of a block; token j of document i is codes[bounds[i] + j]."""
-    magic, docs, _ = _HEAD.unpack_from(data, 0)
+    magic, docs, _, nulls = _HEAD.unpack_from(data, 0)
     if magic != _MAGIC:
         raise ValueError("not a block of directly addressable codes")
     at = _HEAD.size
-    doc_ids = np.frombuffer(data, "<i8", docs, at)
+    doc_ids = pa.array(np.frombuffer(data, "<i8", docs, at), pa.int64(), mask=np.arange(docs) < nulls)
     bounds = np.frombuffer(data, "<u4", docs + 1, at + 8 * docs)
     return doc_ids, bounds, Codes(memoryview(data)[at + 8 * docs + 4 * (docs + 1) :])
 
@@ -122,27 +122,30 @@ def _with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int | None) -> tuple[
 
 
 def _block_writer(path: str, end_id: int | None, block_tokens: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("block", pa.int32()), *[(c, pa.int64()) for c in ("first_doc", "last_doc", "n_docs", "n_tokens")], ("payload", pa.binary())])
+    schema = pa.schema([("block", pa.int32()), *[(c, pa.int64()) for c in ("first_doc", "last_doc", "n_docs", "before", "n_tokens")], ("payload", pa.binary())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, made = encoder(path, UNITS), 0
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        enc, made, before = encoder(path, UNITS), 0, 0
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            nonlocal made
-            doc_ids = np.concatenate([d for d, _, _ in held])
+            nonlocal made, before
+            doc_ids = pa.concat_arrays([d for d, _, _ in held])
             bounds = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(b) for _, b, _ in held]))])
             ids = np.concatenate([i for _, _, i in held])
-            row = [made, doc_ids[0], doc_ids[-1], len(doc_ids), len(ids), pack_block(doc_ids, bounds, ids)]
-            made += 1
+            known = doc_ids.drop_null()  # null ids come first
+            ends = (known[0].as_py(), known[-1].as_py()) if len(known) else (None, None)
+            payload = pack_block(doc_ids.fill_null(0).to_numpy(), bounds, ids, doc_ids.null_count)
+            row = [made, *ends, len(doc_ids), before, len(ids), payload]
+            made, before = made + 1, before + len(ids)
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            texts, doc_ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
+            texts, doc_ids = batch.column("text"), batch.column("doc_id")
             for a, b in in_slices(texts):
                 ids, bounds = _with_end(*enc.encode(texts.slice(a, b - a)), end_id)
-                held.append((doc_ids[a:b], bounds, ids))
+                held.append((doc_ids.slice(a, b - a), bounds, ids))
                 if sum(len(i) for _, _, i in held) >= block_tokens:
                     yield flush()
         if held:
@@ -154,8 +157,8 @@ def _block_writer(path: str, end_id: int | None, block_tokens: int) -> Callable[
 def write_token_file(docs: DataFrame, out: str, tokenizer: str, end_id: int | None = 1, block_tokens: int = 1 << 18) -> None:
     """Encode every whole text, end each document with `end_id`, and write blocks in ascending doc_id order.
 
-    A null or empty text is the end id alone. Rows that repeat a doc_id stay beside each other, ordered by text. A null
-    doc_id is an error. An empty table gives an empty file.
+    A null or empty text is the end id alone. Rows that repeat a doc_id stay beside each other, ordered by text. Rows of
+    null doc_id come before all others. An empty table gives an empty file.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     blocks = (
@@ -167,16 +170,14 @@ def write_token_file(docs: DataFrame, out: str, tokenizer: str, end_id: int | No
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """The blocks of a token file and `base`: the tokens of all blocks before."""
+    """The blocks of a token file and `base`: the tokens of all blocks before. A block knows those of its own part; payloads stay put."""
     blocks = spark.read.schema(BLOCK).parquet(path)
     # One row for each part, however long its texts are: as many as there are tasks.
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
-    before = F.sum("part_tokens").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
-    parts = parts.select(F.col("part").alias("p"), F.coalesce(before, F.lit(0)).alias("part_base"))
-    inside = F.sum("n_tokens").over(W.partitionBy("part").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
-    bases = blocks.select("part", "block", inside.alias("inside")).join(F.broadcast(parts), F.col("part") == F.col("p"))
-    bases = bases.select(F.col("p"), F.col("block").alias("b"), (F.coalesce("inside", F.lit(0)) + F.col("part_base")).alias("base"))
-    return blocks.join(bases, (F.col("part") == F.col("p")) & (F.col("block") == F.col("b"))).drop("p", "b")
+    ahead = F.sum("part_tokens").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1))
+    parts = written(parts.select(F.col("part").alias("p"), F.coalesce(ahead, F.lit(0)).alias("part_base")), "part-bases")
+    joined = blocks.join(small_enough(parts), F.col("part") == F.col("p"))
+    return joined.withColumn("base", F.col("part_base") + F.col("before")).drop("p", "part_base")
 
 
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +201,7 @@ def tokens_at(spark: SparkSession, path: str, doc_id: int, places: list[int]) ->
     rows = spark.read.schema(BLOCK).parquet(path).where((F.col("first_doc") <= doc_id) & (F.col("last_doc") >= doc_id))
     for row in rows.select("payload").toLocalIterator():
         doc_ids, bounds, codes = open_block(bytes(row.payload))
-        own = np.flatnonzero(doc_ids == doc_id)
+        own = np.flatnonzero(np.array([x == doc_id for x in doc_ids.to_pylist()]))
         if len(own):
             begin, end = int(bounds[own[0]]), int(bounds[own[0] + 1])
             return [codes[begin + p] for p in places if 0 <= p < end - begin]

@@ -68,17 +68,18 @@ def test_codes_round_trip_and_random_access():
 
 
 def check_tokens(df, out, spark):
-    rows = sorted(((r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()))
+    rows = sorted(((r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     start, want = 0, []
     for (doc_id, _), ids in zip(rows, plain_ids("word_bpe_49k.json", [t for _, t in rows]), strict=True):
         ids = [*ids, 1]
         want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    assert sorted(tuple(r) for r in out.collect()) == sorted(want)
+    assert Counter(tuple(r) for r in out.collect()) == Counter(want)
 
 
 def test_token_file(spark, docs, odd, empty):
-    for df in (docs, odd, empty):
+    nulls = spark.createDataFrame([(None, "b c"), (3, "a"), (None, "a"), (None, None)], "doc_id long, text string").repartition(3)
+    for df in (docs, odd, empty, nulls):
         check_tokens(df, tokens.token_file(df, queries.tokenizer("word_bpe_49k.json")), spark)
     path = common.scratch_path(spark, "t")
     tokens.write_token_file(docs, path, queries.tokenizer("word_bpe_49k.json"), block_tokens=2000)
@@ -385,12 +386,18 @@ def check_mix(df, whole):
         assert abs(taken[s] - target[s]) <= (most if whole else 1)
 
 
-def test_mix(docs, odd, empty):
+def test_mix(spark, docs, odd, empty):
     for df in (docs, odd.dropDuplicates(["doc_id"]), empty):
         check_mix(df, False)
         check_mix(df, True)
     out = mixing.mix(odd)
     assert out.columns == [*odd.columns, "mix"] and out.count() == odd.count()
+    rows = [(1, "a b", "s"), (1, "a b c", "s"), (1, "a b", "s"), (None, "d", None), (None, "e f", "s"), (2, None, "t")]
+    shared = spark.createDataFrame([(*r, 0, 0) for r in rows], "doc_id long, text string, source string, plan_id int, size int")
+    got = mixing.mix(shared, whole_documents=True).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in got) == Counter(rows)
+    assert all(r.mix.size == len((r.text or "").split()) for r in got)
+    assert got == mixing.mix(shared.repartition(3), whole_documents=True).collect() or Counter(map(str, got)) == Counter(map(str, mixing.mix(shared.repartition(3), whole_documents=True).collect()))
     ordered = mixing.in_training_order(mixing.mix(docs)).select("mix.position").toPandas()["position"]
     assert ordered.is_monotonic_increasing and (ordered.value_counts() < 50).all()
 
