@@ -1,7 +1,7 @@
 """Personal data in texts: patterns propose spans, checksums confirm them, context words adjust the score.
 
 Everything is DataFrame functions. A pattern's spans are found by splitting the text at its matches: the
-lengths of the gaps and of the matches add up to code point offsets.
+lengths of the gaps and of the matches add up to code point offsets, chunk by chunk, in one pass.
 
 The patterns match what the plain ones beside them match. Possessive repetition and a look behind keep
 them from trying every start inside a long run of digits or letters.
@@ -48,23 +48,48 @@ CONTEXT_WORDS = {
 CONFIRMED, NEARBY = 0.7, 0.3
 
 
+#: Spans are gathered in chunks of so many, so that the work grows with a text's spans and not with their square.
+CHUNK = 128
+
+SPANS = "array<struct<from:int,before:string,body:string>>"
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used, inside lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _spans(text: Column, pattern: str) -> Column:
-    """array<struct<from, body>> of a pattern's matches, offsets in code points."""
+    """SPANS of a pattern's matches: offset in code points, the CONTEXT code points before it, and the match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,body:string>>").alias("out"))
-    return F.aggregate(
-        F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("body")),
-        start,
-        lambda acc, x: F.struct(
-            (acc["at"] + F.char_length(x["gap"]) + F.char_length(x["body"])).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(F.struct((acc["at"] + F.char_length(x["gap"])).alias("from"), x["body"].alias("body"))),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    pairs = _once(found, lambda f: F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(f)).alias("gap"), f.alias("body")))
+    end = lambda s: F.right(s, F.lit(CONTEXT))
+
+    def chunk(p: Column, k: Column) -> Column:
+        """struct<length, out> of a chunk, offsets from its begin. What precedes it is in the CONTEXT pairs before it at most."""
+        first = k * CHUNK
+        ahead = F.slice(p, F.greatest(first - CONTEXT, F.lit(0)) + 1, F.least(first, F.lit(CONTEXT)))
+        tail = end(F.array_join(F.transform(ahead, lambda x: F.concat(x["gap"], x["body"])), ""))
+        start = F.struct(F.lit(0).alias("at"), tail.alias("tail"), F.array().cast(SPANS).alias("out"))
+
+        def add(acc: Column, x: Column) -> Column:
+            here, before = acc["at"] + F.char_length(x["gap"]), end(F.concat(acc["tail"], x["gap"]))
+            one = F.struct(here.alias("from"), before.alias("before"), x["body"].alias("body"))
+            return F.struct((here + F.char_length(x["body"])).alias("at"), end(F.concat(before, x["body"])).alias("tail"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(F.slice(p, first + 1, F.lit(CHUNK)), start, add, lambda acc: F.struct(acc["at"].alias("length"), acc["out"].alias("out")))
+
+    def joined(chunks: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        begins = F.aggregate(chunks, zero, lambda a, c: F.struct((a["at"] + c["length"]).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        moved = lambda c, at: F.transform(c["out"], lambda s: F.struct((s["from"] + at).alias("from"), s["before"].alias("before"), s["body"].alias("body")))
+        return F.flatten(F.zip_with(chunks, begins, moved))
+
+    def whole(p: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.greatest(F.size(p), F.lit(1)) - 1) / CHUNK).cast("int"))
+        return _once(F.transform(numbers, lambda k: chunk(p, k)), joined)
+
+    return _once(pairs, whole)
 
 
 def luhn(digits: Column) -> Column:
@@ -113,7 +138,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     kinds = BASE | ADDED
     columns = [F.col(f"`{c}`") for c in docs.columns if c != "pii"]
     body = text_of(text)
-    empty = F.array().cast("array<struct<from:int,body:string>>")
+    empty = F.array().cast(SPANS)
 
     def spans(kind: str) -> Column:
         found = _spans(body, kinds[kind])
@@ -126,9 +151,7 @@ def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
         words = "|".join(CONTEXT_WORDS[kind])
 
         def one(s: Column) -> Column:
-            begin = F.greatest(s["from"] - CONTEXT, F.lit(0))
-            before = F.lower(F.substr(body, begin + 1, s["from"] - begin))
-            near = before.rlike(rf"(?:^|[^a-z])(?:{words})(?:[^a-z]|$)")
+            near = F.lower(s["before"]).rlike(rf"(?:^|[^a-z])(?:{words})(?:[^a-z]|$)")
             return F.struct(
                 F.lit(kind).alias("kind"),
                 s["from"].alias("start"),

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -425,6 +426,17 @@ def test_pii(spark, docs, odd, empty):
             base = [f"{s.kind}:{s.start}:{s.end}" for s in r.pii if s.kind in pii.BASE]
             assert base == plain_base(r.text)
             assert all(r.text[s.start : s.end] == s.body for s in r.pii)
+    # Many spans: chunks meet without a seam, and context reaches over it.
+    many = "".join(f"x{i}@y.zz " + ("call " if i % 7 == 0 else "") + f"+1234567{i % 10}0 " for i in range(700))
+    (row,) = pii.find_pii(spark.createDataFrame([(1, many)], "doc_id long, text string")).collect()
+    assert [f"{s.kind}:{s.start}:{s.end}" for s in row.pii] == plain_base(many)
+    for s in row.pii:
+        before = many[max(0, s.start - 40) : s.start].lower()
+        near = re.search(rf"(?:^|[^a-z])(?:{'|'.join(pii.CONTEXT_WORDS[s.kind])})(?:[^a-z]|$)", before)
+        assert s.score == (1.0 if near else 0.7)
+    began = time.time()
+    long = spark.createDataFrame([(1, "me@x.yz " * 20_000)], "doc_id long, text string")
+    assert pii.find_pii(long).select(F.size("pii").alias("n")).first().n == 20_000 and time.time() - began < 15
     got = {r.doc_id: r.pii for r in pii.find_pii(odd).collect()}
     assert [(s.kind, s.score) for s in got[14]] == [("ip", 1.0), ("iban", 1.0)]
     assert [(s.kind, s.score) for s in got[13]] == [("email", 1.0), ("card", 1.0), ("phone", 0.7)]
