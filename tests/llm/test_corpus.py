@@ -443,25 +443,59 @@ def test_pii(spark, docs, odd, empty):
     assert "<card>" in {r.doc_id: r.text for r in pii.masked(odd).collect()}[13]
 
 
-def test_language(docs, odd, empty):
+def test_language(spark, docs, odd, empty):
     profiles = langid.fit_profiles(docs.where(~langid.is_held_out()))
     got = langid.identify(docs, profiles).where(langid.is_held_out()).collect()
     assert sum(r.lang == r.language.lang_pred for r in got) >= 0.95 * len(got)
     for r in langid.identify(odd, profiles).collect():
         assert (r.language.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) and 0 <= r.language.score <= 1
     assert langid.identify(empty, profiles).count() == 0 and langid.fit_profiles(empty) == {}
-    text = docs.first().text
-    want = Counter()
-    codes, counts = langid.grams(text)
-    padded = [0, *langid._symbols()[[ord(c) for c in text.lower()]].tolist(), 0]
-    for i, c in enumerate(padded):
-        if c:
-            want[c] += 1
-            want[64 + 4096 + padded[i - 1] * 4096 + c * 64 + padded[i + 1]] += 1
-        if i and (c or padded[i - 1]):
-            want[64 + padded[i - 1] * 64 + c] += 1
-    assert dict(zip(codes.tolist(), counts.tolist(), strict=True)) == dict(want)
-    assert langid.top_ranked(codes, counts).tolist() == sorted(want, key=lambda x: (-want[x], x))[:300]
+    # Prediction and score of every document by a plain version, and letters beyond a-z.
+    plain = {lang: plain_profile(lang, docs) for lang in profiles}
+    for lang, codes in profiles.items():
+        assert codes == [gram_code(g) for g in plain[lang]]
+    more = spark.createDataFrame([(i, t, None, None) for i, t in enumerate(["Ünïcöde häß Ωμέγα", "привет мир", "漢字 かな", "a" * 50_000, "aa bb aa bb", ODD_TEXTS[2]])], "doc_id long, text string, lang string, source string")
+    for df in (docs, more):
+        for r in langid.identify(df, profiles).collect():
+            assert tuple(r.language) == plain_language(r.text, plain)
+    cyrillic = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([("привет мир как дела", "ru"), ("καλημέρα κόσμε τι κάνεις", "el"), ("hello there world", "en")])], "doc_id long, text string, lang string")
+    own = langid.fit_profiles(cyrillic)
+    asked = spark.createDataFrame([("дела мир",), ("κόσμε",), ("the world",)], "text string")
+    assert {r.text: r.language.lang_pred for r in langid.identify(asked, own).collect()} == {"дела мир": "ru", "κόσμε": "el", "the world": "en"}
+    tied = {"b": own["en"], "c": own["en"]}
+    assert langid.identify(asked, tied).first().language.lang_pred == "b"
+
+
+def plain_grams(text):
+    out = Counter()
+    for word in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" "):
+        if word:
+            out.update(word)
+            padded = f" {word} "
+            out.update(padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1))
+    return out
+
+
+def gram_code(g):
+    p = [0 if c == " " else ord(c) for c in g]
+    return -p[0] if len(p) == 1 else (p[0] << 42) | p[1] if len(p) == 2 else (p[0] << 42) | (p[1] << 21) | p[2]
+
+
+def plain_profile(lang, docs):
+    total = Counter()
+    for r in docs.where(~langid.is_held_out()).where(F.col("lang") == lang).collect():
+        total.update(plain_grams(r.text))
+    return sorted(total, key=lambda g: (-total[g], gram_code(g)))[:300]
+
+
+def plain_language(text, profiles):
+    counts = plain_grams(text)
+    ranked = sorted(counts, key=lambda g: (-counts[g], gram_code(g)))[:300]
+    if not ranked:
+        return ("und", 0.0)
+    far = {lang: sum(abs(own.index(g) - i) if g in own else 300 for i, g in enumerate(ranked)) / (len(ranked) * 300) for lang, own in profiles.items()}
+    best = min(sorted(far), key=far.__getitem__)
+    return (best, 1.0 - far[best])
 
 
 def test_html(spark):
