@@ -6,7 +6,7 @@ gives each its probability of being article text, so that a block is judged by w
 
 It is trained here, on a bounded sample of pages. Their labels come from semantic tags (article or main,
 less navigation and the like); each page is also set anew in other markup, with the same labels, so that
-the labeller does not hang on one template.
+the labeller does not hang on one template. Where no page has such tags, pages are set anew alone.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,13 +23,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "head", "title", "select", "button"}
+#: A tag, quoted values taken whole; and one without a look at quotes, for pages whose quotes don't close.
+TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>")
+ATTRIBUTE = re.compile(r"(?:class|id|role)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++))", re.I)
+PLAIN_ATTRIBUTE = re.compile(r"(?:class|id|role)\s*+=\s*+[\"']?()()([^\s>\"']++)", re.I)
+#: Elements whose content is no text of the page. Of the first, all up to the end tag is content; the others' ends may be missing.
+SWALLOWING = {"script", "style", "textarea", "iframe"}
+SKIPPED = SWALLOWING | {"noscript", "template", "svg", "title", "select", "option", "button"}
+#: Where another of them opens before the end tag, that end tag is the other's.
+FLAT = {"title", "select", "option", "button"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 #: An open element of the second set ends where one of the first begins.
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SPACE = {"br", "img", "input", "hr"}
 
 PATH, WORDS, FIGURES = 224, 64, 8
@@ -36,18 +44,52 @@ WIDTH = PATH + WORDS + FIGURES
 HIDDEN = 20
 
 
+class Trail:
+    """The words of a tag path, cumulated: their hash buckets as bits, how many there are, and which of them labels look at."""
+
+    __slots__ = ("bits", "length", "marks")
+
+    def __init__(self, words: Iterable[str] = (), above: Trail | None = None):
+        self.bits, self.length, self.marks = (above.bits, above.length, above.marks) if above else (0, 0, frozenset())
+        for word in words:
+            self.bits |= 1 << _path_buckets[word]
+            self.length += 1
+            if word in LABEL_WORDS:
+                self.marks |= {word}
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    trail: Trail
     text: str
     linked: int
 
 
+class _Ends:
+    """The next place of a pattern from a position on; places are looked for once, so that a page is read a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.known = page, {}
+
+    def next(self, pattern: str, at: int) -> tuple[int, int] | None:
+        found = self.known.get(pattern, (-1, -1))
+        if found is not None and found[0] < at:
+            m = re.compile(pattern, re.I).search(self.page, at)
+            self.known[pattern] = found = m.span() if m else None
+        return found
+
+
 def blocks(page: str | None) -> list[Block]:
-    """The leaf blocks with text, in page order: tag path with class, id and role words, text, characters inside links."""
+    """The leaf blocks with text, in page order: tag path with class, id and role words, text, characters inside links.
+
+    The work grows with the page's length, whatever its markup. An element of SKIPPED without an end tag ends at the next tag,
+    but for those that swallow all up to their end tag.
+    """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, list[str], Trail]] = []
+    opened: Counter[str] = Counter()
+    root = Trail()
     parts: list[str] = []
     linked = 0
 
@@ -56,40 +98,77 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(x for _, words in stack for x in words), text, linked))
+                out.append(Block(stack[-1][2] if stack else root, text, linked))
             parts.clear()
         linked = 0
 
-    at, end = 0, len(page)
+    def push(name: str, words: list[str]) -> None:
+        stack.append((name, words, Trail(words, stack[-1][2] if stack else root)))
+        opened[name] += 1
+
+    def cut(k: int) -> list[tuple[str, list[str], Trail]]:
+        gone = stack[k:]
+        del stack[k:]
+        for name, _, _ in gone:
+            opened[name] -= 1
+        return gone
+
+    ends, at, seek, end, last, quoted = _Ends(page), 0, 0, len(page), page.rfind(">"), True
     while at < end:
-        m = TOKEN.search(page, at)
-        piece = page[at : m.start() if m else end]
+        # The next tag, comment or declaration: what is before it is text.
+        lt, m, after = page.find("<", seek), None, end
+        if lt < 0:
+            lt = end
+        elif page.startswith("<!--", lt):
+            close = page.find("-->", lt + 4)
+            after = close + 3 if close >= 0 else end
+        elif lt > last:
+            lt = end
+        elif page[lt + 1] in "!?":
+            after = page.find(">", lt) + 1
+        else:
+            m = (TAG if quoted else PLAIN_TAG).match(page, lt)
+            if m is None and quoted and (m := PLAIN_TAG.match(page, lt)):
+                quoted = False  # a quote never closes
+            if m is None:
+                seek = lt + 1
+                continue
+            after = m.end()
+        piece = page[at:lt]
         if piece:
             parts.append(piece)
-            if any(t == "a" for t, _ in stack):
+            if opened["a"]:
                 linked += len(piece)
-        if not m:
-            break
-        at = m.end()
-        name = (m.group(2) or "").lower()
-        if not name:
+        at = seek = after
+        if m is None:
             continue
+        name = m.group(2).lower()
         if m.group(1):  # an end tag
             if name in INLINE:
-                if any(t == name for t, _ in stack[-4:]):
-                    k = max(i for i, (t, _) in enumerate(stack) if t == name)
-                    del stack[k]
+                if opened[name]:
+                    k = next((k for k in range(len(stack) - 1, max(-1, len(stack) - 5), -1) if stack[k][0] == name), None)
+                    if k is not None:
+                        for other, words, _ in cut(k)[1:]:
+                            push(other, words)
                 continue
             flush()
-            if any(t == name for t, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if opened[name]:
+                cut(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
-        if name in RAW and name != "head":
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if name != "svg":
-                flush() if name not in {"script", "style", "template", "noscript"} else None
-            at = close.end() if close else end
+        if name in SKIPPED:
+            if name not in {"script", "style", "template", "noscript", "svg"}:
+                flush()
+            close = ends.next(rf"</{name}(?=[\s/>])[^>]*+>", at)
+            if close and name in FLAT:
+                again = ends.next(rf"<{name}(?=[\s/>])", at)
+                close = None if again and again[0] < close[0] else close
+            if close:
+                at = seek = close[1]
+            elif name in SWALLOWING:
+                at = end
+            else:
+                found = page.find("<", at)
+                at = seek = found if found >= 0 else end
             continue
         if name in VOID:
             if name in SPACE:
@@ -99,23 +178,23 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if name not in INLINE:
             flush()
-            own = CLOSES.get(name, set())
+            own = CLOSES.get(name, ())
             if own:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in own:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in {"ul", "ol", "dl", "table", "select"}:
-                        break
-            elif any(t == "p" for t, _ in stack):  # a paragraph ends where a block begins
-                k = max(i for i, (t, _) in enumerate(stack) if t == "p")
-                del stack[k:]
+                if any(opened[t] for t in own):
+                    for k in range(len(stack) - 1, -1, -1):
+                        if stack[k][0] in own:
+                            cut(k)
+                            break
+                        if stack[k][0] in {"ul", "ol", "dl", "table", "select"}:
+                            break
+            elif opened["p"]:  # a paragraph ends where a block begins
+                cut(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == "p"))
         words = [name]
         if m.group(3):
-            for a in ATTRIBUTE.finditer(m.group(3)):
-                words += [f"{name}.{w}" for w in re.findall(r"[a-z]+", (a.group(1) or a.group(2) or a.group(3) or "").lower())]
-                words += re.findall(r"[a-z]+", (a.group(1) or a.group(2) or a.group(3) or "").lower())
-        stack.append((name, tuple(words)))
+            for a in (ATTRIBUTE if quoted else PLAIN_ATTRIBUTE).finditer(m.group(3)):
+                found = re.findall(r"[a-z]+", (a.group(1) or a.group(2) or a.group(3) or "").lower())
+                words += [f"{name}.{w}" for w in found] + found
+        push(name, words)
     flush()
     return out
 
@@ -141,8 +220,7 @@ def vectors(found: list[Block]) -> np.ndarray:
     """One row for each block."""
     out = np.zeros((len(found), WIDTH), np.float32)
     for i, (b, row) in enumerate(zip(found, out, strict=True)):
-        for word in b.path:
-            row[_path_buckets[word]] = 1
+        row[:PATH] = np.unpackbits(np.frombuffer(b.trail.bits.to_bytes(PATH // 8, "little"), np.uint8), bitorder="little")
         words = b.text.split(" ")
         counts = np.bincount(np.fromiter(map(_word_buckets.__getitem__, words), np.int64, len(words)), minlength=WORDS)
         row[PATH : PATH + WORDS] = 0.5 * np.sqrt(counts / (len(words) + 8))
@@ -154,7 +232,7 @@ def vectors(found: list[Block]) -> np.ndarray:
             i / len(found),
             1 / (1 + i),
             1 / (len(found) - i),
-            len(b.path) / 10,
+            min(b.trail.length, 50) / 10,
         )
     return out
 
@@ -163,10 +241,13 @@ def vectors(found: list[Block]) -> np.ndarray:
 BOILER = ["nav", "header", "footer", "aside", "form", "ad", "ads", "advert", "banner", "menu", "sidebar", "comments", "comment", "cookie", "notice", "share", "related", "promo"]
 
 
+LABEL_WORDS = {*BOILER, "article", "main"}
+
+
 def weak_labels(found: list[Block]) -> np.ndarray:
     """1 for blocks inside article or main and in nothing that holds other things."""
     boiler = set(BOILER) - {"header"}
-    return np.array([float(("article" in b.path or "main" in b.path) and not boiler.intersection(b.path)) for b in found], np.float32)
+    return np.array([float(bool(b.trail.marks & {"article", "main"}) and not boiler & b.trail.marks) for b in found], np.float32)
 
 
 #: How pages are set anew for training. Fixed values.
@@ -184,17 +265,29 @@ OTHER_PATHS = [
 
 def set_anew(found: list[Block], labels: np.ndarray, rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
     """The same texts in other markup, with more blocks of other things before, among and after the article."""
+
+    def strange(tag: str) -> tuple[str, ...]:
+        """A tag with class words that say nothing, as pages have them."""
+        made = ["".join(map(chr, rng.integers(97, 123, rng.integers(3, 9)))) for _ in range(rng.integers(1, 3))]
+        return (tag, *[x for w in made for x in (f"{tag}.{w}", w)])
+
     content = CONTENT_PATHS[rng.integers(len(CONTENT_PATHS))]
-    article = []
+    if rng.random() < 0.5:
+        tags = ["div", "section", "main", "article"]
+        outer = [strange(tags[rng.integers(4)]) if rng.random() < 0.7 else (tags[rng.integers(4)],) for _ in range(rng.integers(1, 4))]
+        content = tuple(x for part in outer for x in part)
+    wrap = strange("div") if rng.random() < 0.3 else ()
+    article: list[tuple[tuple[str, ...], str, int]] = []
     for i, b in enumerate(b for b, y in zip(found, labels, strict=True) if y):
         tag = CONTENT_TAGS[rng.integers(len(CONTENT_TAGS))] if i else "h1"
         words = b.text.split(" ")
         text = " ".join(words[: rng.integers(1, 5)]) if rng.random() < 0.25 else b.text  # short ones, too
-        article.append(Block((*content, tag), text, 0))
+        article.append(((*content, tag), text, 0))
     spare = [b.text for b in found]
 
-    def other(inside: bool) -> list[Block]:
+    def other(inside: bool) -> list[tuple[tuple[str, ...], str, int]]:
         path = OTHER_PATHS[rng.integers(len(OTHER_PATHS))]
+        path = (*strange(path[0]), *path[1:]) if rng.random() < 0.2 else path
         path = (*content, *path) if inside else path
         out = []
         for _ in range(rng.integers(1, 6)):
@@ -202,13 +295,13 @@ def set_anew(found: list[Block], labels: np.ndarray, rng: np.random.Generator) -
             start, most = rng.integers(len(words)), [3, 8, 30, 120][rng.integers(4)]
             text = " ".join(words[start : start + rng.integers(1, most + 1)])
             link = len(text) if "li" in path and rng.random() < 0.7 else 0
-            out.append(Block(path + (("a",) if link else ()), text, link))
+            out.append((path + (("a",) if link else ()), text, link))
         return out
 
-    rows: list[Block] = []
+    rows: list[tuple[tuple[str, ...], str, int]] = []
     marks: list[float] = []
 
-    def add(new: list[Block], mark: float) -> None:
+    def add(new: list[tuple[tuple[str, ...], str, int]], mark: float) -> None:
         rows.extend(new)
         marks.extend([mark] * len(new))
 
@@ -220,8 +313,7 @@ def set_anew(found: list[Block], labels: np.ndarray, rng: np.random.Generator) -
         add([b], 1.0)
     for _ in range(rng.integers(0, 4)):
         add(other(rng.random() < 0.3), 0.0)
-    rows = [Block(("html", "body", *b.path), b.text, b.linked) for b in rows]
-    return rows, np.array(marks, np.float32)
+    return [Block(Trail(("html", "body", *wrap, *path)), text, link) for path, text, link in rows], np.array(marks, np.float32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -333,26 +425,38 @@ def labelled(model: Labeller, pages: list[list[Block]], cells: int = 40_000) ->
             yield i, p[: len(pages[i])]
 
 
-def fit_labeller(pages: DataFrame, sample: int = 240, anew: int = 3, seed: int = 0) -> Labeller:
-    """Fit on the `sample` pages that are first by hash of page_id and hold an article; each is also set anew `anew` times."""
-    rows = (
-        pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-        .select("html", F.xxhash64("page_id").alias("h"), "page_id")
-        .orderBy("h", "page_id")
-        .limit(sample)
-        .collect()
-    )
+def _sampled(pages: DataFrame, sample: int) -> list[str]:
+    """The html of about `sample` pages by hash of page_id and html: their share is drawn where they lie, and no other page is fetched."""
+    total = pages.count()
+    if not total:
+        return []
+    draw = F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 30))
+    drawn = pages.where(draw < -(-(sample << 30) // total)).select(draw.alias("h"), "html").collect()
+    return [r.html for r in sorted(drawn, key=lambda r: (r.h, r.html))]
+
+
+def fit_labeller(pages: DataFrame, sample: int = 240, anew: int = 6, window: int = 128, seed: int = 0) -> Labeller:
+    """Fit on about `sample` whole pages that hold an article or main element; each is also set anew `anew` times.
+
+    Long pages are cut into windows of `window` blocks, all of which are used; their vectors are those of the whole page. Where no
+    page has such an element, labels come from pages set anew alone: their articles are what runs to 15 words or more and is no link
+    (or anything, if nothing does). Without any text there is nothing to fit, nor to extract.
+    """
+    rows = _sampled(pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")), sample)
+    parsed = [(found, labels) for found in map(blocks, rows) if (labels := weak_labels(found)).any()]
+    tagged = bool(parsed)
+    if not tagged:
+        for found in map(blocks, _sampled(pages.where(F.col("html").isNotNull()), sample)):
+            if found:
+                labels = np.array([float(len(b.text.split(" ")) >= 15 and 2 * b.linked < len(b.text)) for b in found], np.float32)
+                parsed.append((found, labels if labels.any() else np.ones(len(found), np.float32)))
     rng, data = np.random.default_rng(seed), []
-    for r in rows:
-        found = blocks(r.html[:200_000])
-        labels = weak_labels(found)
-        if not labels.any():
-            continue
-        for own, marks in [(found, labels), *[set_anew(found, labels, rng) for _ in range(anew)]]:
-            own, marks = own[:80], marks[:80]  # long pages' first blocks suffice for fitting
+    for found, labels in parsed:
+        as_is = [(found, labels)] if tagged else []
+        for own, marks in [*as_is, *[set_anew(found, labels, rng) for _ in range(anew)]]:
             x = vectors(own)
             x[rng.random(len(x)) < 0.3, PATH : PATH + WORDS] = 0  # so that single words don't decide
-            data.append((x, marks))
+            data += [(x[i : i + window], marks[i : i + window]) for i in range(0, len(x), window)]
     return Labeller(seed).fit(data) if data else Labeller(seed)
 
 
@@ -376,7 +480,8 @@ def extract(pages: DataFrame, model: Labeller | None = None) -> DataFrame:
     """page_id, url, text and n_chars of every page, from its whole html.
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by one space in page
-    order. Null or empty html gives an empty text. Rows that repeat a page_id get a row each. Other columns are not read.
+    order. Null or empty html gives an empty text. Rows that repeat a page_id get a row each, as do null page_ids. Other columns are not
+    read. An empty table gives no rows.
     """
     model = model or fit_labeller(pages)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")

@@ -516,6 +516,50 @@ def test_html(spark):
     assert len(out) == 6 and {r.page_id: r.text for r in out}[1] == ""
     found = html.blocks("<nav><a href=x>A &amp; B</a></nav><article><p>Some <b>bo</b>ld<br>text&nbsp; here<p>next<script>var x='<p>'</script></article>")
     assert [b.text for b in found] == ["A & B", "Some bold text here", "next"]
+    texts = lambda page: [b.text for b in html.blocks(page)]
+    assert texts("<article><p>one</p><button>x<p>two</p><select><option>y<p>three</p></article>") == ["one", "two", "three"]
+    assert texts("<p>a</p><button>x</button><p>b</p><button>y<p>c</p><button>z</button><p>d</p>") == ["a", "b", "c", "d"]
+    assert texts("<p>a</p><script>var x = '<p>';") == ["a"] and texts("a < b <c and d") == ["a < b <c and d"]
+    assert texts('<p title="a > b">x</p><p class="y>z</p>') == ["x", "z"]
+    # very long pages of any markup take time in proportion
+    for unit in ("<a ", "<div>x", '<a "', "<!--", "<!x ", "<button>", "<p>x<li>", "<b><i>x</b>", "</svg", "<svg>", "<td><div>", "<script>", "<a class='"):
+        began = time.time()
+        html.blocks(unit * (1_000_000 // len(unit)))
+        html.blocks(unit * (500_000 // len(unit)) + ">")
+        assert time.time() - began < 20, unit
+    clashing = spark.createDataFrame([(1, "u", "<p>x", "t", 5), (None, None, None, None, None)], "page_id long, url string, html string, text string, n_chars int")
+    assert html.extract(clashing, model).columns == ["page_id", "url", "text", "n_chars"]
+    assert html.extract(clashing.limit(0)).count() == 0
+
+
+#: Markup that no training page has: article and other parts of a page.
+OTHER_TEMPLATES = [
+    ('<div class="single-column"><div class="prose">{0}</div></div>', '<div class="topbar menu"><a href="/">Home</a> <a href="/a">About us</a></div>', '<div class="page-footer footer"><p>Copyright, all rights reserved</p></div>'),
+    ('<main id="page"><section>{0}</section></main>', '<nav><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></nav>', '<aside><p>Read also this</p></aside><footer>Contact and imprint</footer>'),
+    ('<div id="wrap"><div class="post-body">{0}</div></div>', '<header><p>The daily page</p></header>', '<div class="comments"><p>Nice one, thank you for it!</p><p>I do not agree at all.</p></div>'),
+]
+
+
+@pytest.mark.parametrize("tagged", [True, False])
+def test_html_of_other_templates(spark, tagged):
+    """Block by block, on markup that was not trained on; also where no page has an article element to learn from."""
+    pages = common.table(spark, "/root/testdata/sf0.01", "pages")
+    if not tagged:
+        pages = pages.withColumn("html", F.regexp_replace("html", "(</?)(article|main)", "$1div"))
+    model = html.fit_labeller(pages)
+    docs = [r.text for r in common.table(spark, SMALL, "documents").where("n_chars between 300 and 3000").limit(60).collect()]
+    right = total = 0
+    for i, text in enumerate(docs):
+        body, before, after = OTHER_TEMPLATES[i % len(OTHER_TEMPLATES)]
+        words = text.split()
+        article = [" ".join(words[k : k + 40]) for k in range(0, len(words), 40)]
+        page = f"<html><body>{before}{body.format(''.join(f'<p>{x}</p>' for x in article))}{after}</body></html>"
+        found = html.blocks(page)
+        p = dict(html.labelled(model, [found]))[0]
+        for b, y in zip(found, p, strict=True):
+            right += (y > 0.5) == (b.text in {" ".join(x.split()) for x in article})
+            total += 1
+    assert right >= (0.95 if tagged else 0.9) * total
 
 
 def test_lstm_gradients():
