@@ -46,7 +46,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix", mix_sources), ("pack", pack)]
 
-#: Profiles, fingerprints and token ids can't be expressed in SQL; tests hold the stages against plain versions.
+#: Profiles, fingerprints and token ids can't be expressed in SQL; tests hold every stage against a plain version of it.
 ORACLE_SQL = None
 
 

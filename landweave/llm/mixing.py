@@ -104,12 +104,12 @@ def mix(
     of a source's last pass is taken in part, or, with `whole_documents`, as a whole if half of it fits.
     """
     columns = [c for c in docs.columns if c != "mix"]
-    plan = mix_plan(docs, schedules, max_passes, whole_documents, F.col("source").alias("__plan_source"))
-    keys = [F.col("doc_id").alias("__plan_id"), "__plan_source", F.col("mix.size").alias("__plan_size")]
-    plan = plan.groupBy(*keys).agg(F.min("mix").alias("__plan_mix"))
-    own = (F.col("doc_id").eqNullSafe(F.col("__plan_id"))) & F.col("source").eqNullSafe(F.col("__plan_source")) & (_size() == F.col("__plan_size"))
-    joined = docs.select(*[F.col(f"`{c}`") for c in columns]).join(plan, own)
-    return joined.select(*[F.col(f"`{c}`") for c in columns], F.col("__plan_mix").alias("mix"))
+    plan = mix_plan(docs, schedules, max_passes, whole_documents, F.col("source").alias("plan_source"))
+    keys = [F.col("doc_id").alias("plan_id"), "plan_source", F.col("mix.size").alias("plan_size")]
+    plan = plan.groupBy(*keys).agg(F.min("mix").alias("mix"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), _size().alias("size"))
+    own = F.col("row.doc_id").eqNullSafe(F.col("plan_id")) & F.col("row.source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size"))
+    return rows.join(plan, own).select(*[F.col(f"row.`{c}`") for c in columns], "mix")
 
 
 def _size() -> Column:

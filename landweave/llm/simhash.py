@@ -454,8 +454,8 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 28, ke
     # The smallest doc_id of each group; a null only where there is no other.
     stays = rooted.groupBy("root").agg(F.min("doc_id").alias("id")).withColumnRenamed("root", "of")
     stays = rooted.join(stays, (F.col("root") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")))
-    stays = stays.select(F.col("root").alias("__root"), F.col("id").alias("__id"), F.col("own").alias("__own"))
-    kept = docs.join(stays, (_own() == F.col("__own")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-    turn = F.row_number().over(W.partitionBy("__root").orderBy("text"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return kept.select(*columns, turn.alias("__turn")).where("__turn = 1").select(*columns)
+    stays = stays.select(F.col("root").alias("stay_root"), F.col("id").alias("stay_id"), F.col("own").alias("stay_own"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), _own().alias("own"))
+    kept = whole.join(stays, (F.col("own") == F.col("stay_own")) & F.col("id").eqNullSafe(F.col("stay_id")))
+    turn = F.row_number().over(W.partitionBy("stay_root").orderBy("row.text"))
+    return kept.select("row", turn.alias("turn")).where("turn = 1").select(*[F.col(f"row.`{c}`") for c in docs.columns])
