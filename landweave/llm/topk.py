@@ -124,6 +124,17 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
 
 
+def _ranked(scores: np.ndarray, there: np.ndarray, k: int) -> np.ndarray:
+    """For each row the k columns (in any order) with the highest scores of those there, ties to the first."""
+    n = scores.shape[1]
+    if int(np.abs(scores.astype(np.float64)).max(initial=0)) + 1 < (1 << 61) // n:
+        key = np.where(there, np.arange(n) - scores * n, (1 << 63) - 1)
+        return np.argpartition(key, k - 1, axis=1)[:, :k]
+    by_score = np.argsort(~scores, axis=1, kind="stable")  # the complement turns the order, whatever the size
+    first = np.argsort(~np.take_along_axis(there, by_score, 1), axis=1, kind="stable")[:, :k]
+    return np.take_along_axis(by_score, first, 1)
+
+
 def _scores(k: int, dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The k best candidates of each query in one block, of those that reach the query's bound."""
 
@@ -136,15 +147,14 @@ def _scores(k: int, dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 own = np.array([q["id"] for q in row["queries"]], np.int64)
                 scores = products(np.array([q["v"] for q in row["queries"]], np.int64), x)
                 there = own[:, None] != ids[None, :]
-                for i, q in enumerate(row["queries"]):
-                    if q["bound"] is not None:
-                        there[i] &= scores[i] >= q["bound"]
-                    cols = np.flatnonzero(there[i])
-                    if len(cols) > k:  # ids ascend, so that of equal scores the smallest ids stay
-                        least = np.partition(scores[i, cols], len(cols) - k)[len(cols) - k]
-                        above, equal = cols[scores[i, cols] > least], cols[scores[i, cols] == least]
-                        cols = np.concatenate([above, equal[: k - len(above)]])
-                    yield pa.RecordBatch.from_pydict({"asked": np.full(len(cols), asked[i]), "vec_id": ids[cols], "score": scores[i, cols]})
+                least = np.array([-(1 << 63) if q["bound"] is None else q["bound"] for q in row["queries"]], np.int64)
+                there &= scores >= least[:, None]
+                # ids ascend, so that of equal scores the first have the smallest ids
+                order = _ranked(scores, there, min(k, len(ids)))
+                rows, cols = np.repeat(np.arange(len(asked)), order.shape[1]), order.ravel()
+                kept = there[rows, cols]
+                rows, cols = rows[kept], cols[kept]
+                yield pa.RecordBatch.from_pydict({"asked": asked[rows], "vec_id": ids[cols], "score": scores[rows, cols]})
 
     return run
 
