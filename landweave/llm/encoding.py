@@ -35,7 +35,7 @@ class _Units(dict):
 class Encoder:
     """Encodes batches of texts. `most` bounds the units held; beyond it those met least are forgotten."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -163,8 +163,9 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str, most: int = 600_000) -> Encoder:
+def encoder(path: str, most: int = 400_000) -> Encoder:
     """This worker's encoder of a file, with room for so many units."""
+    pa.default_memory_pool().release_unused()
     if path not in _encoders:
         _encoders[path] = Encoder(path, most)
     return _encoders[path]
@@ -173,6 +174,7 @@ def encoder(path: str, most: int = 600_000) -> Encoder:
 def release() -> None:
     """Forget this worker's encoders: workers are reused, and other operators' tasks need the memory."""
     _encoders.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def in_slices(texts: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int]]:

@@ -70,6 +70,7 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):

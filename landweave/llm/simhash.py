@@ -176,6 +176,7 @@ def _links_of_runs(key: np.ndarray, fp: np.ndarray, node: np.ndarray, distance:
 
 def _search(distance: int, words: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         names = ["key", "tile", *words]
         held = [np.zeros(0, np.int64)] * len(names)
 
@@ -304,6 +305,7 @@ def _described(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], It
 
 def _with_sets(width: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             sets = [_set(list(_hashes(x.as_py(), width, seed)), seed).view(np.int64) for x in batch.column("text")]
             yield pa.RecordBatch.from_pydict(
@@ -371,6 +373,7 @@ def _search_similar(distance: int, least: float) -> Callable[[Iterator[pa.Record
         return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held, last = [], None
         for batch in batches:
             if not len(batch):
