@@ -133,60 +133,70 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
 
 
-def _links_of_run(fp: np.ndarray, node: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links that connect all fingerprints of a run that are connected: a tree for each component.
+def _links_of_run(fp: np.ndarray, group: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (places) that connect all fingerprints of a run that are connected: a tree for each component.
 
-    The first tree grows from the fingerprint nearest to the run's majority bits: where copies differ from one text, from that text.
+    Those of one group (but 0) are connected already: they need no link, and one link to another group is enough. The first tree grows
+    from the fingerprint nearest to the run's majority bits: where copies differ from one text, from that text.
     """
     bits = np.unpackbits(np.ascontiguousarray(fp).view(np.uint8), axis=1).sum(0, dtype=np.int64)
     central = np.argmin(_apart(fp, np.packbits(2 * bits > len(fp)).view(np.uint64)))
     left = np.concatenate([[central], np.delete(np.arange(len(fp)), central)])
+
+    def joined(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is found with all left of its groups, and the rest."""
+        own = np.isin(left, found) | (np.isin(group[left], group[found]) & (group[left] > 0))
+        return left[own], left[~own]
+
     while len(left) > 1:
-        frontier, left = left[:1], left[1:]
+        frontier, left = joined(left[:1])
         while len(frontier) and len(left):
             at, frontier = frontier[0], frontier[1:]
             near = _apart(fp[left], fp[at]) <= distance
             if near.any():
                 found = left[near]
-                yield np.repeat(node[at : at + 1], len(found), axis=0), node[found]
-                frontier, left = np.concatenate([frontier, found]), left[~near]
+                _, first = np.unique(np.where(group[found] > 0, group[found], -1 - found), return_index=True)
+                yield np.full(len(first), at), found[first]
+                new, left = joined(found)
+                frontier = np.concatenate([frontier, new])
 
 
-def _links_of_runs(key: np.ndarray, fp: np.ndarray, node: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def _links_of_runs(key: np.ndarray, fp: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect the runs of equal keys: short runs all at once, by shifts; long ones each by a search. Both connect the same."""
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.concatenate([first, [len(key)]]))
-    a, b = [node[:0]], [node[:0]]
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     short = 8
     size_of = np.repeat(sizes, sizes)
     for shift in range(1, short):
         here = np.flatnonzero((key[shift:] == key[:-shift]) & (size_of[shift:] <= short)) if len(key) > shift else []
         if not len(here):
             break
+        here = here[(group[here] == 0) | (group[here] != group[here + shift])]
         near = here[_apart(fp[here], fp[here + shift]) <= distance]
-        a.append(node[near])
-        b.append(node[near + shift])
+        a.append(near)
+        b.append(near + shift)
     for k in np.flatnonzero(sizes > short):
         own = slice(first[k], first[k] + sizes[k])
-        for x, y in _links_of_run(fp[own], node[own], distance):
-            a.append(x)
-            b.append(y)
+        for x, y in _links_of_run(fp[own], group[own], distance):
+            a.append(x + first[k])
+            b.append(y + first[k])
     return np.concatenate(a), np.concatenate(b)
 
 
 def _search(distance: int, words: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        names = ["key", "tile", *words]
+        names = ["key", "tile", "group", *words]
         held = [np.zeros(0, np.int64)] * len(names)
 
         def links(cols: list[np.ndarray]) -> pa.RecordBatch:
-            key, tile, *fp = cols
+            key, tile, group, *fp = cols
             fps = np.ascontiguousarray(np.stack(fp, axis=1)).view(np.uint64)
             # Runs are of one key and tile; the numbers of the runs stand for both.
             number = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])])) if len(key) else key
-            a, b = _links_of_runs(number, fps, fps, distance)
-            return pa.RecordBatch.from_pydict({name: _named(x) for name, x in (("a", a), ("b", b))})
+            a, b = _links_of_runs(number, fps, group, distance)
+            return pa.RecordBatch.from_pydict({"a": _named(fps[a]), "b": _named(fps[b])})
 
         for batch in batches:
             cols = [np.concatenate([h, batch.column(c).to_numpy(zero_copy_only=False)]) for h, c in zip(held, names, strict=True)]
@@ -215,31 +225,55 @@ def name_of(*words: Column) -> Column:
 def near_links(nodes: DataFrame, distance: int, keys: Column, words: Sequence[str] = ("fp",), tile: int = TILE) -> DataFrame:
     """Links (a > b, `name_of` each) between fingerprints that differ in at most `distance` bits and share one of `keys`.
 
-    They connect what all such links would. `nodes` is a written table of the words, one row for each distinct fingerprint.
+    They connect what all such links would. `nodes` is a written table of the words, one row for each distinct fingerprint, and maybe
+    of group: fingerprints of one group (but 0) are connected already.
     """
     # Nodes are few bytes but many keys each: as many tasks as a shuffle has, not as many as their files fill.
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = nodes.repartition(parts, *words).select(*words, F.explode(keys).alias("key"))
+    group = F.col("group") if "group" in nodes.columns else F.lit(0).cast("long")
+    keyed = nodes.repartition(parts, *words).select(*words, group.alias("group"), F.explode(keys).alias("key"))
     counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     hot = small_enough(written(counts.where(F.col("n") > tile).select("key", F.ceil(F.col("n") / tile).cast("int").alias("k")), "hot-keys"))
     part = F.pmod(F.xxhash64(*words), F.col("k")).cast("int")
     tiles = F.when(F.col("k").isNull(), F.array(F.lit(0))).otherwise(_tiles(F.col("k"), part))
     rows = (
         keyed.join(hot, "key", "left")
-        .select("key", *words, F.explode(tiles).alias("tile"))
+        .select("key", "group", *words, F.explode(tiles).alias("tile"))
         .repartition("key", "tile")
         .sortWithinPartitions("key", "tile", *words)  # by fingerprint too, so that reruns find the same trees
     )
-    links = rows.select("key", "tile", *words).mapInArrow(_search(distance, words), "a binary, b binary")
+    links = rows.select("key", "tile", "group", *words).mapInArrow(_search(distance, words), "a binary, b binary")
     return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def likely_groups(nodes: DataFrame, distance: int, keys: int = KEYS, words: Sequence[str] = WIDE, ahead: int = 8) -> DataFrame:
+    """node and root (names) of the fingerprints that hang together by links under the `likely_keys`; `nodes` is a written table of the words.
+
+    The first `ahead` keys connect most of large groups. Under the others a group found by then counts as one, so that a group with many
+    members has some links each, not one for each member and key.
+    """
+    every = likely_keys(nodes.count(), [F.col(w) for w in words], keys)
+    first = components(near_links(nodes, distance, F.slice(every, 1, ahead), words))
+    first = written(first, "first-groups")
+    numbers = written(first.select(F.col("root").alias("of")).distinct().select("of", (F.monotonically_increasing_id() + 1).alias("group")), "group-numbers")
+    members = first.select("node", "root").unionByName(numbers.select(F.col("of").alias("node"), F.col("of").alias("root")))
+    members = members.join(numbers, F.col("root") == F.col("of")).select(F.col("node").alias("name"), "group")
+    grouped = nodes.withColumn("name", name_of(*map(F.col, words))).join(members, "name", "left")
+    grouped = written(grouped.select(*words, F.coalesce("group", F.lit(0).cast("long")).alias("group")), "grouped-nodes")
+    rest = near_links(grouped, distance, F.slice(every, ahead + 1, 1 << 20), words)
+    return components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest).distinct())
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node reachable) for every node with a link; links are (a > b).
 
     Large-star and small-star steps alternate, each written to the shared folder, until nothing changes.
     """
     edges, before = written(links, "links"), None
+    # A node found under many keys has many links: at first each keeps its least, and its others hang on that one.
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    other = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    edges = written(least.select("a", F.col("m").alias("b")).unionByName(other).distinct(), "stars")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -450,7 +484,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 28, ke
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, own binary, {words}, node binary, size long"
     prints = written(rows.mapInArrow(_described(width, 42), schema), "fingerprints")
     fps = written(prints.select(*WIDE).distinct(), "fingerprint-nodes")
-    groups = components(near_links(fps, distance, likely_keys(fps.count(), [F.col(w) for w in WIDE], keys), WIDE))
+    groups = likely_groups(fps, distance, keys)
     roots = components(similar(prints, docs, groups, width, distance, least, volume=volume))
     rooted = prints.join(roots, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("root"))
     rooted = written(rooted.distinct(), "roots")
