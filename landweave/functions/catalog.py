@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The day from which the scan lines of mission 7 are incomplete.
@@ -67,3 +67,20 @@ def hex_to_rgba(color: Column) -> Column:
 def file_basename(path: Column, suffix: bool = True) -> Column:
     name = F.regexp_extract(path, "([^/]*)$", 1)
     return name if suffix else F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
+
+
+def label_encoding(tags: DataFrame, scheme: str, inverse: bool = False) -> dict:
+    """Label -> code of a scheme's tags (tag, scheme, value, code), or code -> label: a configured, small set."""
+    rows = tags.where(F.col("scheme") == scheme).select("value", "code").collect()
+    return {r["code"]: r["value"] for r in rows} if inverse else {r["value"]: r["code"] for r in rows}
+
+
+def encode_labels(rows: DataFrame, tags: DataFrame, scheme: str, label: str = "label", code: str = "code") -> DataFrame:
+    """The rows with the code of their label in a scheme; null where the scheme has no such label."""
+    own = tags.where(F.col("scheme") == scheme).select(F.col("value").alias("__label"), F.col("code").alias("__code"))
+    return rows.join(own, F.col(label) == F.col("__label"), "left").withColumn(code, F.col("__code")).drop("__label", "__code")
+
+
+def scheme_of_set(objects: DataFrame, tags: DataFrame, name: str) -> DataFrame:
+    """One row, scheme: that of the tags by which a set's objects (valid_set, tag) are labelled, the first in order."""
+    return objects.where(F.col("valid_set") == name).join(tags, "tag").agg(F.min("scheme").alias("scheme"))

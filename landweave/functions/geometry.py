@@ -74,6 +74,34 @@ def contains_point(geom: Column, x: Column, y: Column) -> Column:
     return F.size(F.filter(edges, flips)) % 2 == 1
 
 
+def centroid(geom: Column) -> Column:
+    """struct(x, y): the centre of the area; a polygon's later rings are holes."""
+
+    def moment(ring: Column, sign: Column) -> Column:
+        cross = lambda e: e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"]
+        edges = ring_edges(ring)
+        area = _sum(F.transform(edges, cross)) / 2
+        way = sign * F.sign(area)
+        of = lambda k: way * _sum(F.transform(edges, lambda e: (e["a"][k] + e["b"][k]) * cross(e))) / 6
+        return F.struct((way * area).alias("area"), of("x").alias("x"), of("y").alias("y"))
+
+    parts = F.flatten(F.transform(geom, lambda rings: F.transform(rings, lambda r, i: moment(r, F.when(i == 0, 1.0).otherwise(-1.0)))))
+    area = _sum(F.transform(parts, lambda m: m["area"]))
+    return F.struct(*[F.try_divide(_sum(F.transform(parts, lambda m: m[k])), area).alias(k) for k in ("x", "y")])
+
+
+def within(geom: Column, point: Column) -> Column:
+    """Whether a point lies inside, not on an edge."""
+    x, y = point["x"], point["y"]
+
+    def on(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        line = (b["x"] - a["x"]) * (y - a["y"]) == (b["y"] - a["y"]) * (x - a["x"])
+        return line & x.between(F.least(a["x"], b["x"]), F.greatest(a["x"], b["x"])) & y.between(F.least(a["y"], b["y"]), F.greatest(a["y"], b["y"]))
+
+    return contains_point(geom, x, y) & ~F.exists(F.flatten(F.transform(F.flatten(geom), ring_edges)), on)
+
+
 def bbox_overlaps(a: Column, b: Column) -> Column:
     return (a["xmin"] <= b["xmax"]) & (b["xmin"] <= a["xmax"]) & (a["ymin"] <= b["ymax"]) & (b["ymin"] <= a["ymax"])
 

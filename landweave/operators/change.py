@@ -10,12 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from landweave.operators.regions import written
+
 
 def ecdf(values: DataFrame, value: str) -> DataFrame:
-    """Distinct values, counts and cumulative share. Distinct values of a band are few (int16)."""
+    """Distinct values, counts and cumulative share: range partitions are summed up each, and offset by those before them."""
     counts = values.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    order, every = W.orderBy("value").rowsBetween(W.unboundedPreceding, 0), W.partitionBy()
-    return counts.withColumn("share", F.sum("n").over(order) / F.sum("n").over(every))
+    ranged = written(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "counts")
+    every, before = W.partitionBy(), W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    parts = ranged.groupBy("part").agg(F.sum("n").alias("own"))  # a row for each range partition
+    parts = parts.select("part", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("before"), F.sum("own").over(every).alias("all"))
+    inside = F.sum("n").over(W.partitionBy("part").orderBy("value").rowsBetween(W.unboundedPreceding, 0))
+    return ranged.withColumn("inside", inside).join(F.broadcast(parts), "part").select("value", "n", ((F.col("before") + F.col("inside")) / F.col("all")).alias("share"))
 
 
 def hist_match(source: DataFrame, template: DataFrame, value: str) -> DataFrame:
@@ -86,15 +92,15 @@ def optimal_bins(df: DataFrame, value: str, method: str) -> DataFrame:
     return df.agg(bins.cast("long").alias("bins"))
 
 
-def entropy_cut(bins: DataFrame, upper: bool = True) -> DataFrame:
-    """One row, threshold: the edge with the largest entropy of what lies on its two sides, from the mode bin on.
+def entropy_cut(bins: DataFrame, upper: bool = True, from_mode: bool = True) -> DataFrame:
+    """One row, threshold: the edge with the largest entropy of what lies on its two sides, from the mode bin on unless told otherwise.
 
     bins has bin, n, low, high. The bin right after the cut is in neither side, as the method has it.
     """
     edge, way = (F.col("high"), F.col("bin")) if upper else (F.col("low"), -F.col("bin"))
     turned = bins.select(way.alias("at"), "n", edge.alias("edge"))
     mode = F.broadcast(turned.agg(F.min_by("at", F.struct(-F.col("n"), F.col("at"))).alias("mode")))
-    kept = turned.join(mode, F.lit(True)).where((F.col("at") >= F.col("mode")) & (F.col("n") > 0))
+    kept = turned.join(mode, F.lit(True)).where((F.col("at") >= F.col("mode")) & (F.col("n") > 0)) if from_mode else turned.where("n > 0")
     total = F.sum("n").over(W.partitionBy())
     p = kept.select("at", "edge", "n", (F.col("n") / total).alias("p"))
     upto = W.orderBy("at").rowsBetween(W.unboundedPreceding, 0)
@@ -112,16 +118,22 @@ def entropy_cut(bins: DataFrame, upper: bool = True) -> DataFrame:
     return scored.agg(F.when(F.max("most") == 1, F.pow(F.lit(2.0), F.min_by("n", "i"))).otherwise(best).alias("threshold"))
 
 
-def kapur_threshold(df: DataFrame, value: str, bins: int = 1000, symmetrical: bool = False, clip: float | None = 3.0) -> DataFrame:
-    """The rows with `changed`: beyond the entropy threshold of the clipped values' histogram (on both sides if symmetrical)."""
-    h = histogram(df if clip is None else clip_tails(df, value, clip), value, bins)
-    high = entropy_cut(h).withColumnRenamed("threshold", "__high")
+def kapur_threshold(df: DataFrame, value: str, bins: int | str = 1000, symmetrical: bool = False, clip: float | None = 3.0, from_mode: bool = True, no_data: float | None = None) -> DataFrame:
+    """The rows with `changed`: beyond the entropy threshold of the clipped values' histogram (on both sides if symmetrical).
+
+    `bins` is their number or the name of a method of `optimal_bins`. Values of `no_data` have no part in it; their `changed` is null.
+    """
+    known = df if no_data is None else df.where(F.col(value) != no_data)
+    known = known if clip is None else clip_tails(known, value, clip)
+    h = histogram(known, value, optimal_bins(known, value, bins).first()["bins"] if isinstance(bins, str) else bins)
+    high = entropy_cut(h, from_mode=from_mode).withColumnRenamed("threshold", "__high")
     out = df.join(F.broadcast(high), F.lit(True))
     changed = F.col(value) > F.col("__high")
     if symmetrical:
-        out = out.join(F.broadcast(entropy_cut(h, False).withColumnRenamed("threshold", "__low")), F.lit(True))
+        out = out.join(F.broadcast(entropy_cut(h, False, from_mode).withColumnRenamed("threshold", "__low")), F.lit(True))
         changed = changed | (F.col(value) < F.col("__low"))
-    return out.withColumn("changed", F.coalesce(changed, F.lit(False))).drop("__high", "__low")
+    changed = F.coalesce(changed, F.lit(False))
+    return out.withColumn("changed", changed if no_data is None else F.when(F.col(value) != no_data, changed)).drop("__high", "__low")
 
 
 def weighted_moments(pairs: DataFrame, x: Sequence[str], y: Sequence[str], weight: Column | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -245,6 +257,24 @@ def elliptic_threshold(df: DataFrame, bands: Sequence[str], outliers: float = 0.
     return df.withColumn("changed", F.coalesce(distance(s) > cut, F.lit(False)))
 
 
+def imadmaf(pairs: DataFrame, x: Sequence[str], y: Sequence[str], rounds: int = 50, min_delta: float = 0.001, ridge: float = 0.0, shift: tuple[int, int] = (1, 1), threshold: str = "kapur", **options) -> DataFrame:
+    """Reweighted alteration variates m1 ... of full grids (cell, row, col), their autocorrelation factors f1 ..., and `changed` by a threshold on these.
+
+    Kapur's takes the first factor on both sides, the elliptic one all factors. `pairs` is a written table.
+    """
+    names = [f"m{k + 1}" for k in range(len(x))]
+    variates, _ = irmad(pairs, x, y, rounds, min_delta, ridge)
+    variates = written(variates.select("cell", "row", "col", *names), "variates")
+    size = variates.agg(F.max("row") + 1, F.max("col") + 1).first()
+    factors = written(maf(variates, names, size[0], size[1], shift), "factors")
+    if threshold == "kapur":
+        return threshold_change(threshold, factors, "f1", **{"symmetrical": True, **options})
+    return threshold_change(threshold, factors, [f"f{k + 1}" for k in range(len(x))], **options)
+
+
+#: Ways to find change by name; each takes (pairs, pre, post). Users add their own.
+CHANGES = {"distance": change_distance, "imadmaf": imadmaf}
+
 THRESHOLDS = {"kapur": kapur_threshold, "elliptic": elliptic_threshold}
 
 

@@ -102,12 +102,11 @@ def remove_outliers(rows: DataFrame, features: Sequence[str], label: str = "labe
     at most 2 * sample nodes for each class and tree. A class keeps rows whose depth ties with its cut.
     """
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    draw = F.pmod(F.xxhash64(F.col(key), F.col("__tree"), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    draw = lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     drawn = (
         rows.select(label, key, *[F.col(f).cast("double").alias(f) for f in features])
         .join(counts, label)
-        .withColumn("__tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .where(draw < F.lit(float(sample)) / F.col("__n"))
+        .withColumn("__tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < F.lit(float(sample)) / F.col("__n"))))
     )
 
     def grow(group: tuple, part: pd.DataFrame) -> pd.DataFrame:

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write in the cluster's shared folder (`spark.checkpoint.dir`) and read again; a local folder only where it is unset."""
+    """Write in the shared folder (`spark.checkpoint.dir`) and read again. Where that is unset one is made, if executors are local; else that is an error."""
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="landweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -42,17 +42,16 @@ ZONAL: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def zonal_stats(zones: DataFrame, cells: DataFrame, bands: Sequence[str], statistic: str = "mean", zone: str = "feature_id") -> DataFrame:
-    """One row for each zone that has cells: the statistic of each band. `first` takes the first cell with a value, column by column."""
-    both = cells.join(zones, ["row", "col"])
-    if statistic == "first":
-        order = F.struct("col", "row")
-        aggs = [F.min_by(b, F.when(F.col(b).isNotNull(), order)).alias(b) for b in bands]
-    elif statistic in ZONAL:
-        aggs = [ZONAL[statistic](b).alias(b) for b in bands]
-    else:
+def zonal_stats(zones: DataFrame, cells: DataFrame, bands: Sequence[str], statistic: str = "mean", zone: str = "feature_id", categorical: Sequence[str] = ()) -> DataFrame:
+    """One row for each zone that has cells: the statistic of each band, and the first value of each categorical band.
+
+    The first is that of the first cell with a value, column by column, as for the statistic `first`.
+    """
+    if statistic != "first" and statistic not in ZONAL:
         raise ValueError(f"no statistic {statistic!r}")
-    return both.groupBy(zone).agg(*aggs)
+    first = lambda b: F.min_by(b, F.when(F.col(b).isNotNull(), F.struct("col", "row")))
+    aggs = [(first(b) if b in categorical or statistic == "first" else ZONAL[statistic](b)).alias(b) for b in bands]
+    return cells.join(zones, ["row", "col"]).groupBy(zone).agg(*aggs)
 
 
 def zonal_statistics_multi(zones: DataFrame, cells: DataFrame, bands: Sequence[str], statistics: Sequence[str], zone: str = "feature_id") -> DataFrame:
@@ -151,6 +150,16 @@ def overlap_quality(region_area: Column, truth_area: Column, common: Column) ->
     return {"underseg": under, "overseg": over, "dmetric": F.sqrt(over * over + under * under)}
 
 
+def is_relevant(pairs_area: Column, threshold: float = 0.5) -> Column:
+    """Whether two polygons (l_geom, r_geom) that share `pairs_area` are relevant to each other.
+
+    They share more than the threshold of either, or the centre of one lies inside the other.
+    """
+    left, right = F.col("l_geom"), F.col("r_geom")
+    much = (pairs_area > threshold * G.polygon_area(left)) | (pairs_area > threshold * G.polygon_area(right))
+    return (pairs_area > 0) & (much | G.within(left, G.centroid(right)) | G.within(right, G.centroid(left)))
+
+
 def match_first_relevant(pairs: DataFrame, region: str, order: str, relevant: Column) -> DataFrame:
     """Each region's first relevant partner."""
     turn = F.row_number().over(W.partitionBy(region).orderBy(order))

@@ -56,15 +56,14 @@ def tile_report(results: DataFrame, failed: Column) -> DataFrame:
 def detect_and_classify_change(pairs: DataFrame, pre: Sequence[str], post: Sequence[str], before: DataFrame, after: DataFrame, threshold: float | None = None, method: str = "distance", min_area: float = 1, cell_area: float = 1.0, **options) -> tuple[DataFrame, DataFrame]:
     """(objects, cells): changed objects with pre and post code and area, and their cells (cell, row, col, pre, post, region).
 
-    Cells change by the distance of the bands (against a threshold, or Kapur's if there is none) or by `irmad` variates; clumps below
+    Cells change by the distance of the bands (against a threshold, or Kapur's if there is none) or by the factors of `imadmaf`; clumps below
     min_area go, the rest are labelled with both maps' codes (row, col, code), and objects whose codes agree go. No change gives no rows.
     """
     if method == "distance":
         d = change.change_distance(pairs, pre, post)
         found = d.where(F.col("distance") > threshold) if threshold is not None else change.threshold_change("kapur", d, "distance", **options).where("changed")
-    elif method == "irmad":
-        variates, _ = change.irmad(regions.written(pairs, "pair"), pre, post)
-        found = change.threshold_change("kapur", variates, "m1", symmetrical=True, **options).where("changed")
+    elif method == "imadmaf":
+        found = change.imadmaf(regions.written(pairs, "pair"), pre, post, **options).where("changed")
     else:
         raise ValueError(f"no method {method!r}")
     clumps = regions.filter_mmu(regions.written(found.select("cell", "row", "col"), "changed"), min_area, cell_area).drop("region")
@@ -73,13 +72,13 @@ def detect_and_classify_change(pairs: DataFrame, pre: Sequence[str], post: Seque
     return objects, cells
 
 
-def extract_training(cells: DataFrame, zones: DataFrame, classes: DataFrame, bands: Sequence[str], statistic: str = "mean", sample: float = 1.0, tile: Sequence[str] = (), zone: str = "feature_id") -> DataFrame:
+def extract_training(cells: DataFrame, zones: DataFrame, classes: DataFrame, bands: Sequence[str], statistic: str = "mean", sample: float = 1.0, tile: Sequence[str] = (), zone: str = "feature_id", categorical: Sequence[str] = ()) -> DataFrame:
     """Rows for training: one for each training object with cells: its statistic of every band, and its tag.
 
     cells: row, col, bands; zones: row, col, zone; classes: zone, tag and the tile columns. Rows with a missing feature are left out.
     """
     kept = models.sample_exact(classes, sample, tile, zone) if tile else classes
-    return spatial.zonal_stats(zones.join(kept.select(zone), zone, "left_semi"), cells, bands, statistic, zone).dropna(subset=list(bands)).join(kept.select(zone, "tag"), zone)
+    return spatial.zonal_stats(zones.join(kept.select(zone), zone, "left_semi"), cells, bands, statistic, zone, categorical).dropna(subset=list(bands)).join(kept.select(zone, "tag"), zone)
 
 
 #: Classifiers by name; users add their own.
@@ -149,8 +148,7 @@ def add_column_by_key(table: DataFrame, other: DataFrame, key: str, column: str)
 def segment_workflow(polygons: DataFrame, cells: DataFrame, bands: Sequence[str], truth: DataFrame, size: float) -> DataFrame:
     """Segments (id, geom) with their cells' band statistics and shape, and the class and quality of the first relevant truth polygon.
 
-    truth: id, geom, class. cells: id, bands. A truth polygon is relevant if more than half of it or of the segment is common; segments
-    without one have nulls.
+    truth: id, geom, class. cells: id, bands. `spatial.is_relevant` says which truth polygons are relevant; segments without one have nulls.
     """
     g = F.col("geom")
     shape = polygons.select("id", G.polygon_area(g).alias("area"), G.polygon_perimeter(g).alias("perimeter"), G.bbox_perimeter(g).alias("__box"))
@@ -158,8 +156,7 @@ def segment_workflow(polygons: DataFrame, cells: DataFrame, bands: Sequence[str]
     stats = spatial.region_band_stats(cells, bands, "id").join(shape, "id")
     pairs = spatial.overlap_area(polygons.select("id", "geom"), truth.select("id", "geom", "class"), size)
     pairs = pairs.withColumns({"l_area": G.polygon_area(F.col("l_geom")), "r_area": G.polygon_area(F.col("r_geom"))})
-    relevant = (F.col("weight") > 0.5 * F.col("r_area")) | (F.col("weight") > 0.5 * F.col("l_area"))
-    first = spatial.match_first_relevant(pairs, "l_id", "r_id", relevant)
+    first = spatial.match_first_relevant(pairs, "l_id", "r_id", spatial.is_relevant(F.col("weight")))
     quality = spatial.overlap_quality(F.col("l_area"), F.col("r_area"), F.col("weight"))
     matched = first.select(F.col("l_id").alias("id"), F.col("r_class").alias("class"), *[F.round(c, 3).alias(n) for n, c in quality.items()])
     return stats.join(matched, "id", "left")

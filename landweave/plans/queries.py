@@ -122,6 +122,14 @@ for _name, _sql in {"mean": "avg({0})", "median": "median({0})", "std": "stddev_
     _zonal(_name, _sql)
 
 
+@registered("""SELECT feature_id, round(avg(red), 4) AS red, arg_min(cover, col * 100000 + "row") AS cover FROM zones JOIN (
+  SELECT "row", col, avg(red) AS red, CAST(max(qa) AS INTEGER) AS cover FROM obs GROUP BY "row", col) USING ("row", col) GROUP BY feature_id""")
+def zonal_stats_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean of a measured band, the first value of a categorical one."""
+    cells = V.obs(spark, sf_dir).groupBy("row", "col").agg(F.avg("red").alias("red"), F.max("qa").cast("int").alias("cover"))
+    return rounded(spatial.zonal_stats(_zones(spark), cells, ["red", "cover"], "mean", categorical=["cover"]))
+
+
 @registered("SELECT feature_id, " + ", ".join(f"round({f}(red), 4) AS red_{n}" for n, f in {"mean": "avg", "maximum": "max", "median": "median", "minimum": "min", "standard_deviation": "stddev_pop", "variance": "var_pop", "sum": "sum"}.items()) + ' FROM zones JOIN (SELECT "row", col, CAST(red AS DOUBLE) AS red FROM obs) o USING ("row", col) GROUP BY feature_id')
 def zonal_statistics_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = V.obs(spark, sf_dir).select("row", "col", F.col("red").cast("double").alias("red"))
@@ -206,14 +214,14 @@ def polygon_intersection_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered("""SELECT id, first AS match, round(1 - common / 1600, 3) AS underseg, round(1 - common / 225, 3) AS overseg FROM (SELECT l_id AS id, min(r_id) AS first, arg_min(weight, r_id) AS common FROM (
-  SELECT l.id AS l_id, r.id AS r_id, (least(l.x + 40, r.x + 15) - greatest(l.x, r.x)) * (least(l.y + 40, r.y + 15) - greatest(l.y, r.y)) AS weight
+  SELECT l.id AS l_id, r.id AS r_id, (least(l.x + 40, r.x + 15) - greatest(l.x, r.x)) * (least(l.y + 40, r.y + 15) - greatest(l.y, r.y)) AS weight, ((l.x + 20 > r.x AND l.x + 20 < r.x + 15 AND l.y + 20 > r.y AND l.y + 20 < r.y + 15) OR (r.x + 7.5 > l.x AND r.x + 7.5 < l.x + 40 AND r.y + 7.5 > l.y AND r.y + 7.5 < l.y + 40)) AS centre
   FROM (SELECT s_suppkey AS id, CAST(s_suppkey * 37 % 1000 AS DOUBLE) AS x, CAST(CAST(floor(abs(s_acctbal)) AS BIGINT) % 1000 AS DOUBLE) AS y FROM supplier) l
   JOIN (SELECT c_custkey AS id, CAST(c_custkey * 37 % 1000 AS DOUBLE) AS x, CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) % 1000 AS DOUBLE) AS y FROM customer) r
-  ON l.x < r.x + 15 AND r.x < l.x + 40 AND l.y < r.y + 15 AND r.y < l.y + 40) WHERE weight > 0.5 * 225 GROUP BY l_id)""")
+  ON l.x < r.x + 15 AND r.x < l.x + 40 AND l.y < r.y + 15 AND r.y < l.y + 40) WHERE weight > 0.5 * 225 OR centre GROUP BY l_id)""")
 def match_first_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = V.suppliers_as_rectangles(spark, sf_dir)
     pairs = spatial.box_overlap_area(a, b, 50.0).withColumns({"l_area": G.polygon_area(F.col("l_geom")), "r_area": G.polygon_area(F.col("r_geom"))})
-    relevant = (F.col("weight") > 0.5 * F.col("r_area")) | (F.col("weight") > 0.5 * F.col("l_area"))
+    relevant = spatial.is_relevant(F.col("weight"))
     q = spatial.overlap_quality(F.col("l_area"), F.col("r_area"), F.col("weight"))
     found = spatial.match_first_relevant(pairs, "l_id", "r_id", relevant)
     return found.select(F.col("l_id").alias("id"), F.col("r_id").alias("match"), F.round(q["underseg"], 3).alias("underseg"), F.round(q["overseg"], 3).alias("overseg"))
@@ -279,10 +287,8 @@ def kapur_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered()
 def change_imadmaf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, _ = change.irmad(regions.written(V.pair(spark, sf_dir), "pair"), _PRE, _POST, rounds=25, min_delta=0.01)
-    size = m.agg(F.max("row") + 1, F.max("col") + 1).first()
-    factors = change.maf(regions.written(m.select("cell", "row", "col", "m1", "m2", "m3"), "variates"), ("m1", "m2", "m3"), size[0], size[1])
-    return rounded(change.kapur_threshold(factors, "f1", bins=100, symmetrical=True).select("cell", "f1", "f2", "f3", "changed"))
+    found = change.imadmaf(regions.written(V.pair(spark, sf_dir), "pair"), _PRE, _POST, rounds=25, min_delta=0.01, bins=100)
+    return rounded(found.select("cell", "f1", "f2", "f3", "changed"))
 
 
 @registered()
@@ -367,3 +373,26 @@ def segment_slic(spark: SparkSession, sf_dir: str) -> DataFrame:
   WHERE NOT EXISTS (SELECT 1 FROM pair q WHERE q.code = s.code AND q."row" = s."row" + s.i AND q.col = s.col + s.j) GROUP BY code""")
 def region_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.region_edges(V.pair(spark, sf_dir).select("row", "col", "code"), "code").groupBy("code").agg(F.count(F.lit(1)).alias("edges"))
+
+
+_TAGS = "SELECT n_nationkey AS tag, CASE WHEN n_regionkey < 3 THEN 'old' ELSE 'new' END AS scheme, n_name AS value, CAST(n_nationkey * 7 AS INTEGER) AS code FROM nation"
+
+
+def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = V.table(spark, sf_dir, "nation")
+    scheme = F.when(F.col("n_regionkey") < 3, "old").otherwise("new")
+    return n.select(F.col("n_nationkey").alias("tag"), scheme.alias("scheme"), F.col("n_name").alias("value"), (F.col("n_nationkey") * 7).cast("int").alias("code"))
+
+
+@registered(f"SELECT c_custkey AS id, t.code FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN ({_TAGS}) t ON t.scheme = 'old' AND t.value = n_name")
+def encode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code of each object's label in a scheme."""
+    n = V.table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("label"))
+    rows = V.table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("id"), "label")
+    return FC.encode_labels(rows, _tags(spark, sf_dir), "old").select("id", "code")
+
+
+@registered(f"SELECT min(t.scheme) AS scheme FROM customer JOIN ({_TAGS}) t ON c_nationkey = t.tag WHERE c_mktsegment = 'BUILDING'")
+def scheme_of_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    objects = V.table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("valid_set"), F.col("c_nationkey").alias("tag"))
+    return FC.scheme_of_set(objects, _tags(spark, sf_dir), "BUILDING")

@@ -195,8 +195,8 @@ def region_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @registered(f"""SELECT id, round(1600.0, 4) AS area, class, round(1 - common / 1600, 3) AS underseg, n FROM (SELECT s.id, coalesce(t.class, -1) AS class, t.common, o.n FROM {_S} s JOIN (SELECT l_suppkey AS id, count(*) AS n FROM (SELECT l_suppkey FROM lineitem) GROUP BY ALL) o USING (id)
-  LEFT JOIN (SELECT l_id AS id, min(r_id) % 5 AS class, arg_min(weight, r_id) AS common FROM (SELECT l.id AS l_id, r.id AS r_id, (least(l.x + 40, r.x + 15) - greatest(l.x, r.x)) * (least(l.y + 40, r.y + 15) - greatest(l.y, r.y)) AS weight
-  FROM {_S} l JOIN {_C} r ON l.x < r.x + 15 AND r.x < l.x + 40 AND l.y < r.y + 15 AND r.y < l.y + 40) WHERE weight > 0.5 * 225 GROUP BY l_id) t USING (id))""")
+  LEFT JOIN (SELECT l_id AS id, min(r_id) % 5 AS class, arg_min(weight, r_id) AS common FROM (SELECT l.id AS l_id, r.id AS r_id, (least(l.x + 40, r.x + 15) - greatest(l.x, r.x)) * (least(l.y + 40, r.y + 15) - greatest(l.y, r.y)) AS weight, ((l.x + 20 > r.x AND l.x + 20 < r.x + 15 AND l.y + 20 > r.y AND l.y + 20 < r.y + 15) OR (r.x + 7.5 > l.x AND r.x + 7.5 < l.x + 40 AND r.y + 7.5 > l.y AND r.y + 7.5 < l.y + 40)) AS centre
+  FROM {_S} l JOIN {_C} r ON l.x < r.x + 15 AND r.x < l.x + 40 AND l.y < r.y + 15 AND r.y < l.y + 40) WHERE weight > 0.5 * 225 OR centre GROUP BY l_id) t USING (id))""")
 def segment_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     polygons, truth = V.suppliers_as_rectangles(spark, sf_dir)
     cells = V.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("id"), "l_quantity")
