@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from landweave.functions import catalog
 from landweave.functions import geometry as G
-from landweave.operators import models, regions, segments, spatial, workflows
+from landweave.operators import change, models, regions, segments, spatial, workflows
 from landweave.plans import queries as Q
 from landweave.plans import workflows as W  # noqa: F401
 from landweave.sources import metadata, vectors
@@ -198,3 +199,47 @@ def test_query_equals_its_sql(spark, name):
     want = con.sql(Q.SQL[name])
     plain = lambda rows: sorted((tuple(v if v is None or isinstance(v, str) else float(v) for v in r) for r in rows), key=repr)
     assert plain(Q.QUERIES[name](spark, SMALL).select(*want.columns).collect()) == plain(want.fetchall())
+
+
+def test_relevance_by_centres(spark):
+    square = lambda x, y, w: geom([(x, y), (x + w, y), (x + w, y + w), (x, y + w)])
+    rows = [(1, square(0, 0, 40), square(-7, -7, 15)), (2, square(0, 0, 40), square(-8, -8, 15)), (3, square(0, 0, 40), square(32, 0, 16)), (4, RING, square(1.5, 1.5, 1))]
+    df = spark.createDataFrame(rows, f"id int, l_geom {G.GEOMETRY}, r_geom {G.GEOMETRY}")
+    common = F.element_at(F.create_map(F.lit(1), F.lit(64.0), F.lit(2), F.lit(49.0), F.lit(3), F.lit(128.0), F.lit(4), F.lit(0.0)), F.col("id"))
+    assert {r.id: r.r for r in df.select("id", spatial.is_relevant(common).alias("r")).collect()} == {1: True, 2: False, 3: False, 4: False}
+    c = df.select("id", G.centroid(F.col("l_geom")).alias("c")).collect()
+    assert {r.id: (r.c.x, r.c.y) for r in c} == {1: (20.0, 20.0), 2: (20.0, 20.0), 3: (20.0, 20.0), 4: (2.0, 2.0)}
+
+
+def test_kapur_options_and_imadmaf(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(0, 1, (40, 40, 3))
+    after = base + rng.normal(0, 0.1, base.shape)
+    after[5:9, 5:9] += 6
+    rows = [(i * 40 + j, i, j, *map(float, base[i, j]), *map(float, after[i, j])) for i in range(40) for j in range(40)]
+    pairs = spark.createDataFrame(rows, "cell long, row int, col int, a double, b double, c double, d double, e double, f double")
+    x, y = ["a", "b", "c"], ["d", "e", "f"]
+    changed = {i * 40 + j for i in range(5, 9) for j in range(5, 9)}
+    for options in ({"threshold": "kapur", "bins": 60}, {"threshold": "elliptic", "outliers": 0.02}):
+        found = {r.cell for r in change.imadmaf(regions.written(pairs, "pair"), x, y, rounds=20, **options).where("changed").collect()}
+        assert len(found & changed) >= 14, options
+    d = change.change_distance(pairs, x, y).withColumn("distance", F.when(F.col("cell") == 7, -1.0).otherwise(F.col("distance")))
+    for bins in (50, "sturges", "scott", "freedman"):
+        out = {r.cell: r.changed for r in change.kapur_threshold(d, "distance", bins=bins, no_data=-1.0, clip=None).collect()}
+        assert out[7] is None and all(out[c] for c in changed), bins
+    assert change.kapur_threshold(d, "distance", bins=50, from_mode=False).where("changed").count() >= 1
+
+
+def test_labels_of_schemes(spark):
+    tags = spark.createDataFrame([(1, "s", "forest", 10), (2, "s", "water", 20), (3, "t", "forest", 30)], "tag int, scheme string, value string, code int")
+    assert catalog.label_encoding(tags, "s") == {"forest": 10, "water": 20} and catalog.label_encoding(tags, "s", True)[20] == "water"
+    rows = spark.createDataFrame([(1, "forest"), (2, "sand")], "id int, label string")
+    assert {r.id: r.code for r in catalog.encode_labels(rows, tags, "t").collect()} == {1: 30, 2: None}
+    objects = spark.createDataFrame([("first", 2), ("other", 3)], "valid_set string, tag int")
+    assert catalog.scheme_of_set(objects, tags, "first").first().scheme == "s"
+
+
+def test_zones_with_categorical_bands(spark):
+    cells = spark.createDataFrame([(0, 0, 1.0, None), (1, 0, 3.0, 5), (0, 1, 8.0, 7)], "row int, col int, red double, cover int")
+    zones = spark.createDataFrame([(0, 0, 1), (1, 0, 1), (0, 1, 1)], "row int, col int, feature_id int")
+    assert tuple(spatial.zonal_stats(zones, cells, ["red", "cover"], "mean", categorical=["cover"]).first()) == (1, 4.0, 5)
