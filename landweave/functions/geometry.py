@@ -157,6 +157,49 @@ def lambert_conformal_inverse(x: Column, y: Column, lat1: float = 17.5, lat2: fl
     return F.struct((F.degrees(F.atan2(dx, dy)) / n + lon0).alias("x"), F.degrees(p).alias("y"))
 
 
+def _authalic(e: float, phi: float) -> float:
+    s = math.sin(phi)
+    return (1 - e * e) * (s / (1 - e * e * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
+
+
+def _equal_area(lat0: float, a: float, f: float) -> tuple[float, float, float, float, float]:
+    """e, the authalic q of the pole, the authalic radius, the centre's authalic latitude, and the stretch."""
+    e, p0 = math.sqrt(f * (2 - f)), math.radians(lat0)
+    pole = _authalic(e, math.pi / 2)
+    radius, b0 = a * math.sqrt(pole / 2), math.asin(_authalic(e, p0) / pole)
+    return e, pole, radius, b0, a * math.cos(p0) / math.sqrt(1 - (e * math.sin(p0)) ** 2) / (radius * math.cos(b0))
+
+
+def lambert_equal_area(lon: Column, lat: Column, lat0: float, lon0: float, x0: float = 0.0, y0: float = 0.0, a: float = 6378137.0, f: float = 1 / 298.257223563) -> Column:
+    """struct(x, y) of a longitude and latitude in degrees, azimuthal and of equal area around a centre that is no pole."""
+    e, pole, radius, b0, d = _equal_area(lat0, a, f)
+    s, lam = F.sin(F.radians(lat)), F.radians(lon - F.lit(lon0))
+    q = (1 - e * e) * (s / (1 - e * e * s * s) - F.log((1 - e * s) / (1 + e * s)) / (2 * e))
+    beta = F.asin(F.greatest(F.least(q / pole, F.lit(1.0)), F.lit(-1.0)))
+    b = radius * F.sqrt(2 / (1 + math.sin(b0) * F.sin(beta) + math.cos(b0) * F.cos(beta) * F.cos(lam)))
+    x = b * d * F.cos(beta) * F.sin(lam)
+    y = b / d * (math.cos(b0) * F.sin(beta) - math.sin(b0) * F.cos(beta) * F.cos(lam))
+    return F.struct((x0 + x).alias("x"), (y0 + y).alias("y"))
+
+
+def lambert_equal_area_inverse(x: Column, y: Column, lat0: float, lon0: float, x0: float = 0.0, y0: float = 0.0, a: float = 6378137.0, f: float = 1 / 298.257223563) -> Column:
+    """struct(x, y): longitude and latitude in degrees."""
+    e, pole, radius, b0, d = _equal_area(lat0, a, f)
+    dx, dy = (x - F.lit(x0)) / d, (y - F.lit(y0)) * d
+    far = F.sqrt(dx * dx + dy * dy)
+    c = 2 * F.asin(far / (2 * radius))
+    beta = F.asin(F.cos(c) * math.sin(b0) + F.coalesce(F.try_divide(dy * F.sin(c), far), F.lit(0.0)) * math.cos(b0))
+    lam = F.atan2(dx * F.sin(c), far * math.cos(b0) * F.cos(c) - dy * math.sin(b0) * F.sin(c))
+    series = (e**2 / 3 + 31 * e**4 / 180 + 517 * e**6 / 5040, 23 * e**4 / 360 + 251 * e**6 / 3780, 761 * e**6 / 45360)
+    lat = beta
+    for k, v in enumerate(series, 1):
+        lat = lat + v * F.sin(2 * k * beta)
+    es = e * F.sin(lat)  # the series is right to about two millimetres; a step of Newton's method settles the rest
+    off = F.sin(beta) * (pole / (1 - e * e)) - F.sin(lat) / (1 - es * es) + F.log((1 - es) / (1 + es)) / (2 * e)
+    lat = lat + F.coalesce(F.try_divide((1 - es * es) * (1 - es * es) * off, 2 * F.cos(lat)), F.lit(0.0))
+    return F.struct((F.degrees(lam) + lon0).alias("x"), F.degrees(lat).alias("y"))
+
+
 def transverse_mercator(lon: Column, lat: Column, zone: int, south: bool = False, a: float = 6378137.0, f: float = 1 / 298.257223563) -> Column:
     """struct(x, y) in a UTM zone, by the series in the third flattening."""
     n = f / (2 - f)

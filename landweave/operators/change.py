@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from landweave.operators.regions import written
 
+#: Accuracy of the percentiles of distances.
+CUTS = 100_000
+
 
 def ecdf(values: DataFrame, value: str) -> DataFrame:
     """Distinct values, counts and cumulative share: range partitions are summed up each, and offset by those before them."""
@@ -230,7 +233,8 @@ def maf(cells: DataFrame, bands: Sequence[str], rows: int, cols: int, shift: tup
 def elliptic_threshold(df: DataFrame, bands: Sequence[str], outliers: float = 0.05, rounds: int = 10) -> DataFrame:
     """`changed`: rows beyond the (1 - outliers) percentile of the squared distance under a robust covariance, centred at 0.
 
-    Concentration steps: the half of the rows nearest under a covariance give the next, until its determinant settles.
+    Concentration steps: the half of the rows nearest under a covariance give the next, until its determinant settles. Cuts are right to
+    a share of 1 / `CUTS` of the rows, so that no task holds all distances.
     """
     if len(bands) < 2:
         raise ValueError("two bands are needed")
@@ -247,13 +251,13 @@ def elliptic_threshold(df: DataFrame, bands: Sequence[str], outliers: float = 0.
     s, before = covariance(rows), math.inf
     for _ in range(rounds):
         d = distance(s)
-        cut = rows.agg(F.percentile(d, F.lit(0.5))).first()[0]
+        cut = rows.agg(F.percentile_approx(d, F.lit(0.5), F.lit(CUTS))).first()[0]
         s = covariance(rows.where(d <= cut))
         det = float(np.linalg.det(s))
         if abs(det - before) <= 1e-9 * abs(det):
             break
         before = det
-    cut = rows.agg(F.percentile(distance(s), F.lit(1 - outliers))).first()[0]
+    cut = rows.agg(F.percentile_approx(distance(s), F.lit(1 - outliers), F.lit(CUTS))).first()[0]
     return df.withColumn("changed", F.coalesce(distance(s) > cut, F.lit(False)))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landweave.functions import raster
+from landweave.operators import spatial
 
 STATISTICS: dict[str, Callable[[Column], Column]] = {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_pop}
 
@@ -21,18 +22,43 @@ def scan_cube(spark: SparkSession, path: str, bands: Sequence[str], nodata: floa
     return df.select(*keys, *[value(b).alias(b) for b in bands])
 
 
-def query_tiles(tiles: DataFrame, box: Sequence[float] | None = None, regions: DataFrame | None = None, begin=None, end=None) -> DataFrame:
-    """Tiles (xmin, ymin, xmax, ymax, t) that meet a region's bounding boxes, or a box if there is no region, in an optional period."""
-    if regions is not None:
-        near = [F.col(a) <= F.col(f"r_{b}") for a, b in (("xmin", "xmax"), ("ymin", "ymax"))] + [F.col(f"r_{a}") <= F.col(b) for a, b in (("xmin", "xmax"), ("ymin", "ymax"))]
-        boxes = regions.select(*[F.col(c).alias(f"r_{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
-        out = tiles.join(boxes, near[0] & near[1] & near[2] & near[3], "left_semi")
-    elif box is not None:
-        xmin, ymin, xmax, ymax = box
-        out = tiles.where((F.col("xmin") <= xmax) & (F.col("xmax") >= xmin) & (F.col("ymin") <= ymax) & (F.col("ymax") >= ymin))
-    else:
+def region_shape(name: str, countries: DataFrame, regions: DataFrame) -> DataFrame:
+    """The shapes (geom) of a name: those of a country, or of a region where no country has it."""
+    found = countries.where(F.col("name") == name).select("geom", F.lit(0).alias("turn")).unionByName(regions.where(F.col("name") == name).select("geom", F.lit(1).alias("turn")))
+    first = found.agg(F.min("turn").alias("turn"))
+    return found.join(F.broadcast(first), "turn").select("geom")  # one row
+
+
+def query_tiles(tiles: DataFrame, box: Sequence[float] | None = None, shape: DataFrame | None = None, begin=None, end=None, size: float = 1.0) -> DataFrame:
+    """Tiles (xmin, ymin, xmax, ymax, t) that share a point with a shape (geom), or with a box if there is no shape, in an optional period.
+
+    Shapes meet tiles by buckets of `size`, then exactly.
+    """
+    if begin is not None and end is not None:
+        tiles = tiles.where(F.col("t").between(begin, end))
+    if shape is not None:
+        corner = lambda x, y: F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+        ring = F.array(corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"))
+        sides = ["xmin", "ymin", "xmax", "ymax"]
+        places = tiles.select(*sides).distinct().select(F.struct(*sides).alias("id"), F.array(F.array(ring)).alias("geom"))
+        met = spatial.spatial_semi_join(places, shape, size).select("id.*")
+        return tiles.join(met, sides, "left_semi")
+    if box is None:
         raise ValueError("a region or a box is needed")
-    return out.where(F.col("t").between(begin, end)) if begin is not None and end is not None else out
+    xmin, ymin, xmax, ymax = box
+    return tiles.where((F.col("xmin") <= xmax) & (F.col("xmax") >= xmin) & (F.col("ymin") <= ymax) & (F.col("ymax") >= ymin))
+
+
+def resample(target: DataFrame, source: DataFrame, place: Callable[[Column, Column], Column], x0: float, y0: float, res: float, keys: Sequence[str] = ()) -> DataFrame:
+    """The source's bands on the target's cells, nearest cell, through a projection; cells outside the source have nulls.
+
+    `place` gives the source's coordinates (struct of x and y) of a target cell's (row, col); x0, y0 and res are the source's corner and cell size.
+    """
+    at = target.withColumn("__p", place(F.col("row"), F.col("col")))
+    at = at.withColumns({"__sr": F.floor((F.lit(y0) - F.col("__p.y")) / res).cast("int"), "__sc": F.floor((F.col("__p.x") - x0) / res).cast("int")}).drop("__p")
+    bands = [c for c in source.columns if c not in ("row", "col", *keys)]
+    src = source.select(*keys, F.col("row").alias("__sr"), F.col("col").alias("__sc"), *bands)
+    return at.join(src, [*keys, "__sr", "__sc"], "left").select(*target.columns, *bands)
 
 
 def load_like(target: DataFrame, source: DataFrame, ratio: float, keys: Sequence[str] = ()) -> DataFrame:
@@ -63,16 +89,14 @@ def tile_grid(extents: DataFrame, res: float, size: int) -> DataFrame:
     )
 
 
-def regrid_to_tiles(cells: DataFrame, bands: Sequence[str], size: int) -> DataFrame:
-    """Cells with tile keys; of several acquisitions of one cell and solar day the first with a value counts."""
-    tiled = cells.withColumns({"tile_x": F.floor(F.col("col") / size).cast("int"), "tile_y": F.floor(F.col("row") / size).cast("int"), "day": F.to_date("t")})
-    return tiled.groupBy("tile_x", "tile_y", "day", "row", "col").agg(*[F.min_by(b, F.when(F.col(b).isNotNull(), F.col("t"))).alias(b) for b in bands])
-
+def regrid_to_tiles(cells: DataFrame, bands: Sequence[str], size: int, lon: Column | None = None) -> DataFrame:
+    """Cells with tile keys; of several acquisitions of one cell and solar day the first with a value counts.
 
-def write_feature_cube(df: DataFrame, path: str, mode: str = "ignore", by: Sequence[str] = ("tile_x", "tile_y")) -> DataFrame:
-    """Write a result once; if it is there, read it."""
-    df.write.mode(mode).partitionBy(*by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    The solar day is four minutes later for each degree of longitude; without one it is the day at 0 degrees.
+    """
+    solar = F.col("t") if lon is None else F.timestamp_micros((F.unix_micros(F.col("t").cast("timestamp")) + F.round(lon * 240_000_000)).cast("long"))
+    tiled = cells.withColumns({"tile_x": F.floor(F.col("col") / size).cast("int"), "tile_y": F.floor(F.col("row") / size).cast("int"), "day": F.to_date(solar)})
+    return tiled.groupBy("tile_x", "tile_y", "day", "row", "col").agg(*[F.min_by(b, F.when(F.col(b).isNotNull(), F.col("t"))).alias(b) for b in bands])
 
 
 def temporal_reduce(cells: DataFrame, plan: dict[str, Sequence[str]], by: Sequence[str] = ("row", "col")) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,16 @@ def segment_slic(cells: DataFrame, bands: Sequence[str], step: int, compactness:
     return chosen.select("row", "col", *bands, F.concat_ws("_", "segment.sr", "segment.sc").alias("segment"))
 
 
+#: Segmentations by name; each takes (cells, bands) and its options and adds `segment`. Users add their own.
+SEGMENTATIONS: dict[str, Callable[..., DataFrame]] = {"slic": segment_slic}
+
+
+def segment(method: str, cells: DataFrame, bands: Sequence[str], **options) -> DataFrame:
+    if method not in SEGMENTATIONS:
+        raise ValueError(f"no segmentation {method!r}; there are {sorted(SEGMENTATIONS)}")
+    return SEGMENTATIONS[method](cells, bands, **options)
+
+
 def region_edges(cells: DataFrame, region: str = "region") -> DataFrame:
     """Directed outline edges of regions (region, x1, y1, x2, y2; y downwards): sides that no other cell of the region shares."""
     sides = [((0, 0), (1, 0)), ((1, 0), (1, 1)), ((1, 1), (0, 1)), ((0, 1), (0, 0))]

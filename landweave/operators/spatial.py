@@ -14,19 +14,24 @@ from landweave.functions import geometry as G
 
 
 def rasterize_features(features: DataFrame, x0: float, y0: float, res: float, rows: int | None = None, cols: int | None = None, value: str = "feature_id") -> DataFrame:
-    """row, col and the value of the polygon that contains the cell's centre; of several the one last in `seq`.
+    """row, col and the value of the polygon that contains the cell's centre; of several the one last in `seq`, which is unique for each value.
 
-    `features` has seq, geom and the value. Each polygon's bounding box gives its candidate cells, row by row.
+    `features` has seq, geom and the value. Edges meet the rows of cells that they cross, and a row's crossings, in order, bound its runs
+    of cells: rows of one polygon are spread over tasks, and no cell looks at an edge.
     """
-    box = G.geom_bbox(F.col("geom"))
-    inside = lambda low, high, n: F.sequence(F.greatest(low, F.lit(0)), high if n is None else F.least(high, F.lit(n - 1)))
-    f = features.select("seq", "geom", F.col(value).alias("value"), box.alias("b"))
-    r0, r1 = F.floor((F.lit(y0) - F.col("b.ymax")) / res).cast("int"), F.ceil((F.lit(y0) - F.col("b.ymin")) / res).cast("int")
-    c0, c1 = F.floor((F.col("b.xmin") - x0) / res).cast("int"), F.ceil((F.col("b.xmax") - x0) / res).cast("int")
-    on = (r1 >= 0) & (c1 >= 0) & (r0 <= (F.lit(rows - 1) if rows else r0)) & (c0 <= (F.lit(cols - 1) if cols else c0))
-    cells = f.where(on).withColumn("row", F.explode(inside(r0, r1, rows))).withColumn("col", F.explode(inside(c0, c1, cols)))
-    x, y = F.lit(x0) + (F.col("col") + 0.5) * res, F.lit(y0) - (F.col("row") + 0.5) * res
-    hit = cells.where(G.contains_point(F.col("geom"), x, y))
+    within = lambda low, high, n: F.filter(F.sequence(F.greatest(low, F.lit(0)), F.greatest(low, high, F.lit(0)) if n is None else F.greatest(low, F.least(high, F.lit(n - 1)), F.lit(0))), lambda i: i.between(low, high) & (F.lit(True) if n is None else i < n))
+    edge = F.explode(F.flatten(F.transform(F.flatten("geom"), G.ring_edges)))
+    e = features.select("seq", F.col(value).alias("value"), edge.alias("e")).select("seq", "value", "e.a", "e.b")
+    y = F.lit(y0) - (F.col("row") + 0.5) * res
+    r0, r1 = (F.floor((F.lit(y0) - f("a.y", "b.y")) / res).cast("int") + k for f, k in ((F.greatest, -1), (F.least, 1)))
+    crossed = e.where("a.y <> b.y").withColumn("row", F.explode(within(r0, r1, rows))).where((F.col("a.y") > y) != (F.col("b.y") > y))
+    x = F.try_divide((F.col("b.x") - F.col("a.x")) * (y - F.col("a.y")), F.col("b.y") - F.col("a.y")) + F.col("a.x")
+    runs = crossed.select("seq", "value", "row", x.alias("x")).groupBy("seq", "value", "row").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("xs"), F.lit(2)), lambda i: F.struct(F.element_at("xs", i).alias("from"), F.element_at("xs", i + 1).alias("to")))
+    runs = runs.select("seq", "value", "row", F.explode(pairs).alias("run"))
+    c0, c1 = (F.floor((F.col(k) - x0) / res).cast("int") + d for k, d in (("run.from", -1), ("run.to", 1)))
+    centre = F.lit(x0) + (F.col("col") + 0.5) * res
+    hit = runs.withColumn("col", F.explode(within(c0, c1, cols))).where((centre >= F.col("run.from")) & (centre < F.col("run.to")))
     return hit.groupBy("row", "col").agg(F.max_by("value", "seq").alias(value))
 
 

@@ -93,25 +93,25 @@ def query_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("ty", "tx").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _zones(spark: SparkSession) -> DataFrame:
-    return spatial.rasterize_features(V.polygons(spark), 0.0, V.Y0, 1.0, rows=60, cols=40)
+def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.rasterize_features(V.polygons(spark, sf_dir), 0.0, V.Y0, 1.0)
 
 
 @registered('SELECT z."row", z.col, z.feature_id, count(*) AS n_obs FROM zones z JOIN obs o ON z."row" = o."row" AND z.col = o.col GROUP BY ALL')
 def rasterize_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = V.obs(spark, sf_dir).groupBy("row", "col").agg(F.count(F.lit(1)).alias("n_obs"))
-    return _zones(spark).join(o, ["row", "col"])
+    return _zones(spark, sf_dir).join(o, ["row", "col"])
 
 
 @registered('SELECT o."row", o.col, coalesce(z.feature_id, 0) AS feature_id FROM (SELECT DISTINCT "row", col FROM obs) o LEFT JOIN zones z ON z."row" = o."row" AND z.col = o.col')
 def country_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.rasterize_values(V.polygons(spark), V.obs(spark, sf_dir).select("row", "col").distinct(), 0.0, V.Y0, 1.0)
+    return spatial.rasterize_values(V.polygons(spark, sf_dir), V.obs(spark, sf_dir).select("row", "col").distinct(), 0.0, V.Y0, 1.0)
 
 
 def _zonal(statistic: str, sql: str) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         cells = V.obs(spark, sf_dir).groupBy("row", "col").agg(F.avg("red").alias("red"), F.avg("nir").alias("nir"))
-        return rounded(spatial.zonal_stats(_zones(spark), cells, ["red", "nir"], statistic))
+        return rounded(spatial.zonal_stats(_zones(spark, sf_dir), cells, ["red", "nir"], statistic))
 
     query.__name__ = f"zonal_stats_{statistic}"
     made = ", ".join(f"round({sql.format(b)}, 4) AS {b}" for b in ("red", "nir"))
@@ -127,13 +127,13 @@ for _name, _sql in {"mean": "avg({0})", "median": "median({0})", "std": "stddev_
 def zonal_stats_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mean of a measured band, the first value of a categorical one."""
     cells = V.obs(spark, sf_dir).groupBy("row", "col").agg(F.avg("red").alias("red"), F.max("qa").cast("int").alias("cover"))
-    return rounded(spatial.zonal_stats(_zones(spark), cells, ["red", "cover"], "mean", categorical=["cover"]))
+    return rounded(spatial.zonal_stats(_zones(spark, sf_dir), cells, ["red", "cover"], "mean", categorical=["cover"]))
 
 
 @registered("SELECT feature_id, " + ", ".join(f"round({f}(red), 4) AS red_{n}" for n, f in {"mean": "avg", "maximum": "max", "median": "median", "minimum": "min", "standard_deviation": "stddev_pop", "variance": "var_pop", "sum": "sum"}.items()) + ' FROM zones JOIN (SELECT "row", col, CAST(red AS DOUBLE) AS red FROM obs) o USING ("row", col) GROUP BY feature_id')
 def zonal_statistics_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = V.obs(spark, sf_dir).select("row", "col", F.col("red").cast("double").alias("red"))
-    return rounded(spatial.zonal_statistics_multi(_zones(spark), cells, ["red"], ["mean", "maximum", "median", "minimum", "standard_deviation", "variance", "sum"]))
+    return rounded(spatial.zonal_statistics_multi(_zones(spark, sf_dir), cells, ["red"], ["mean", "maximum", "median", "minimum", "standard_deviation", "variance", "sum"]))
 
 
 @registered('SELECT region, ' + ", ".join(f"{'round(' * (s in ('mean', 'std'))}{f}({b}){', 4)' * (s in ('mean', 'std'))} AS b{i}_{s}" for i, b in enumerate(("red", "nir"), 1) for s, f in {"max": "max", "min": "min", "mean": "avg", "std": "stddev_pop"}.items()) + ' FROM (SELECT "row" // 10 AS region, red, nir FROM obs) GROUP BY region')

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landweave.functions.geometry import reproject
+
 #: Polygons over the cells of `obs`: seq, and rings of (x, y); a concave one, one with a hole, one across both.
 POLYGONS: list[tuple[int, list[list[tuple[float, float]]]]] = [
     (1, [[(2, 58), (20, 58), (20, 50), (10, 50), (10, 30), (2, 30)]]),
@@ -66,9 +68,13 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").join(docs, "doc_id").select(F.col("quality").alias("truth"), F.col("toxic").alias("pred"), F.col("n_chars").alias("weight"))
 
 
-def polygons(spark: SparkSession) -> DataFrame:
+def polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The polygons once for each 60 rows of the grid of parts: as many as the table asks for."""
+    blocks = table(spark, sf_dir, "part").select(F.expr("p_partkey div 2400").alias("k")).distinct()
     rows = [(seq, seq * 10, [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings]]) for seq, rings in POLYGONS]
-    return spark.createDataFrame(rows, "seq int, feature_id int, geom array<array<array<struct<x:double,y:double>>>>")
+    fixed = F.broadcast(spark.createDataFrame(rows, "seq int, feature_id int, geom array<array<array<struct<x:double,y:double>>>>"))  # three rows
+    down = lambda x, y: F.struct(x.alias("x"), (y - F.col("k") * 60).alias("y"))
+    return blocks.join(fixed, F.lit(True)).select("seq", (F.col("feature_id") + F.col("k") * 1000).cast("int").alias("feature_id"), reproject(F.col("geom"), down).alias("geom"))
 
 
 def suppliers_as_rectangles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -108,10 +114,10 @@ SQL = {
     + " FROM embeddings",
     "valid": "SELECT quality AS truth, toxic AS pred, n_chars AS weight FROM labels JOIN documents USING (doc_id)",
     "edges": f"SELECT * FROM (VALUES {_EDGES}) AS e(seq, x1, y1, x2, y2)",
-    "zones": f"""SELECT "row", col, CAST(max(seq) * 10 AS INTEGER) AS feature_id FROM (
+    "zones": f"""SELECT CAST("row" + k * 60 AS INTEGER) AS "row", CAST(col AS INTEGER) AS col, CAST(max(seq) * 10 + k * 1000 AS INTEGER) AS feature_id FROM (SELECT DISTINCT p_partkey // 2400 AS k FROM part) CROSS JOIN (
   SELECT c."row", c.col, e.seq FROM (SELECT * FROM range(0, 60) r("row"), range(0, 40) k(col)) c JOIN edges e
   ON (e.y1 > {Y0} - (c."row" + 0.5)) <> (e.y2 > {Y0} - (c."row" + 0.5)) AND c.col + 0.5 < (e.x2 - e.x1) * ({Y0} - (c."row" + 0.5) - e.y1) / (e.y2 - e.y1) + e.x1
-  GROUP BY c."row", c.col, e.seq HAVING count(*) % 2 = 1) GROUP BY "row", col""",
+  GROUP BY c."row", c.col, e.seq HAVING count(*) % 2 = 1) GROUP BY "row", col, k""",
 }
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from landweave.functions import catalog
 from landweave.functions import geometry as G
-from landweave.operators import change, models, regions, segments, spatial, workflows
+from landweave.operators import change, cube, models, regions, segments, spatial, workflows
 from landweave.plans import queries as Q
+from landweave.plans import records as _records  # noqa: F401
 from landweave.plans import workflows as W  # noqa: F401
 from landweave.sources import metadata, vectors
 
@@ -243,3 +244,54 @@ def test_zones_with_categorical_bands(spark):
     cells = spark.createDataFrame([(0, 0, 1.0, None), (1, 0, 3.0, 5), (0, 1, 8.0, 7)], "row int, col int, red double, cover int")
     zones = spark.createDataFrame([(0, 0, 1), (1, 0, 1), (0, 1, 1)], "row int, col int, feature_id int")
     assert tuple(spatial.zonal_stats(zones, cells, ["red", "cover"], "mean", categorical=["cover"]).first()) == (1, 4.0, 5)
+
+
+def test_rasterize_against_point_tests(spark):
+    random = np.random.default_rng(5)
+    rows = []
+    for i in range(12):
+        angles, far = np.sort(random.uniform(0, 2 * np.pi, 11)), random.uniform(2, 14, 11)
+        ring = [(10 + i % 3 + d * np.cos(a), 10 - i % 4 + d * np.sin(a)) for a, d in zip(angles, far, strict=True)]
+        rows.append((i, i * 10, geom(ring, [(9.5, 9.5), (10.5, 9.5), (10.5, 10.5), (9.5, 10.5)])))
+    rows.append((12, 120, geom([(3, 3), (6, 3), (6, 6), (3, 6)])))  # edges along cells' borders
+    features = spark.createDataFrame(rows, f"seq int, feature_id int, geom {G.GEOMETRY}")
+    for size, limits in ((1.0, (20, 18)), (0.7, (None, None))):
+        got = {(r.row, r.col): r.feature_id for r in spatial.rasterize_features(features, 0.0, 20.0, size, *limits).collect()}
+        grid = spark.range(45 * 45).select((F.col("id") % 45).cast("int").alias("row"), F.expr("cast(id div 45 as int)").alias("col"))
+        x, y = (F.col("col") + 0.5) * size, 20.0 - (F.col("row") + 0.5) * size
+        hit = grid.crossJoin(F.broadcast(features)).where(G.contains_point(F.col("geom"), x, y))
+        want = {(r.row, r.col): r.f for r in hit.groupBy("row", "col").agg(F.max_by("feature_id", "seq").alias("f")).collect()}
+        want = {k: v for k, v in want.items() if limits[0] is None or (k[0] < limits[0] and k[1] < limits[1])}
+        assert got == want
+    assert spatial.rasterize_features(features.limit(0), 0.0, 20.0, 1.0).count() == 0
+
+
+def test_equal_area_projection(spark):
+    df = spark.createDataFrame([(-99.5, 19.3), (-101.7, 31.0), (-102.0, 23.0), (-86.8, 14.6)], "lon double, lat double")
+    p = df.select("lon", "lat", G.lambert_equal_area(F.col("lon"), F.col("lat"), 23.0, -102.0, 1000.0, 2000.0).alias("p"))
+    for r in p.select("*", G.lambert_equal_area_inverse(F.col("p.x"), F.col("p.y"), 23.0, -102.0, 1000.0, 2000.0).alias("b")).collect():
+        assert abs(r.b.x - r.lon) < 1e-8 and abs(r.b.y - r.lat) < 1e-8
+    # a small square's area is that on the ellipsoid, wherever it lies
+    e2, a = (2 - 1 / 298.257223563) / 298.257223563, 6378137.0
+    for lon, lat in ((-110.0, 15.0), (-90.0, 31.0)):
+        h = 0.005
+        q = spark.range(1).select(*[G.lambert_equal_area(F.lit(lon + i * h), F.lit(lat + j * h), 23.0, -102.0).alias(n) for n, (i, j) in {"a": (-1, -1), "b": (1, -1), "c": (1, 1), "d": (-1, 1)}.items()]).first()
+        ring = [q.a, q.b, q.c, q.d]
+        area = sum(s.x * t.y - t.x * s.y for s, t in zip(ring, ring[1:] + ring[:1], strict=True)) / 2
+        w = 1 - e2 * np.sin(np.radians(lat)) ** 2
+        true = a * a * (1 - e2) / w**2 * np.cos(np.radians(lat)) * np.radians(2 * h) ** 2
+        assert abs(area / true - 1) < 1e-6
+
+
+def test_tiles_of_regions_and_segmentation_by_name(spark):
+    square = geom([(0, 0), (10, 0), (0, 10)])
+    countries = spark.createDataFrame([("here", square)], f"name string, geom {G.GEOMETRY}")
+    regions_ = spark.createDataFrame([("here", geom([(50, 50), (60, 50), (60, 60)])), ("there", square)], f"name string, geom {G.GEOMETRY}")
+    tiles = spark.createDataFrame([(1, 0, 0, 2, 2), (2, 8, 8, 10, 10), (3, 5, 5, 7, 7), (4, 52, 50, 54, 52)], "id int, xmin int, ymin int, xmax int, ymax int").withColumn("t", F.lit("2017-01-01").cast("timestamp"))
+    for name in ("here", "there"):
+        got = {r.id for r in cube.query_tiles(tiles, shape=cube.region_shape(name, countries, regions_), size=3.0).collect()}
+        assert got == {1, 3}  # a country comes before a region; the corner of 3 lies on the edge
+    with pytest.raises(ValueError):
+        segments.segment("none", tiles, ["xmin"])
+    cells = spark.createDataFrame([(r, c, float(c >= 4)) for r in range(8) for c in range(8)], "row int, col int, v double")
+    assert segments.segment("slic", cells, ["v"], step=4, rounds=2).select("segment").distinct().count() == 4
