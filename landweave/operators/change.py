@@ -32,11 +32,16 @@ def hist_match(source: DataFrame, template: DataFrame, value: str) -> DataFrame:
     s = ecdf(source, value).select("share", F.col("value").alias("s"), F.lit(None).cast("double").alias("t"), F.lit(1).alias("side"))
     t = ecdf(template, value).select("share", F.lit(None).cast("double").alias("s"), F.col("value").cast("double").alias("t"), F.lit(0).alias("side"))
     both = t.unionByName(s.withColumn("s", F.col("s").cast("double")))
-    down = W.orderBy("share", "side").rowsBetween(W.unboundedPreceding, 0)
-    up = W.orderBy(F.desc("share"), F.desc("side")).rowsBetween(W.unboundedPreceding, 0)
+    both = written(both.repartitionByRange("share", "side").withColumn("part", F.spark_partition_id()), "shares")
     point = F.when(F.col("t").isNotNull(), F.struct(F.col("share").alias("q"), F.col("t").alias("v")))
-    both = both.withColumn("low", F.last(point, True).over(down)).withColumn("high", F.last(point, True).over(up))
-    low, high = F.col("low"), F.coalesce(F.col("high"), F.col("low"))
+    # The nearest template points on either side: inside the range partition, else in the partitions before and after it.
+    parts = both.groupBy("part").agg(F.min(point).alias("first"), F.max(point).alias("last"))  # a row for each range partition
+    near = lambda column, *order: F.last(column, True).over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    parts = parts.select("part", near("last", "part").alias("before"), near("first", F.desc("part")).alias("after"))
+    inside = lambda *order: F.last(point, True).over(W.partitionBy("part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    both = both.withColumn("low", inside("share", "side")).withColumn("high", inside(F.desc("share"), F.desc("side"))).join(F.broadcast(parts), "part")
+    low = F.coalesce("low", "before")
+    high = F.coalesce("high", "after", low)
     slope = F.try_divide(F.col("share") - low["q"], high["q"] - low["q"])
     matched = F.when(low.isNull(), high["v"]).when(low["q"] == F.col("share"), low["v"]).otherwise(low["v"] + slope * (high["v"] - low["v"]))
     return both.where(F.col("s").isNotNull()).select(F.col("s").alias("value"), F.coalesce(matched, low["v"]).alias("matched"))

@@ -23,6 +23,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(table: DataFrame) -> None:
+    """Delete the folder of a `written` table that nothing reads any more: a loop's state, once the next is written."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def neighbours(cells: DataFrame, same: list[str]) -> DataFrame:
     """Pairs (a > b) of cell numbers that touch along an edge and agree in `same`; cells has cell, row, col."""
     right = cells.select(*same, F.col("cell").alias("other"), F.col("row").alias("row"), (F.col("col") - 1).alias("col"))
@@ -33,18 +41,34 @@ def neighbours(cells: DataFrame, same: list[str]) -> DataFrame:
 
 
 def connected(pairs: DataFrame) -> DataFrame:
-    """node and root (the smallest node reachable) of every node in a pair: each step takes the least root around, then its root's."""
-    edges = written(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = written(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("root")).select(F.col("a").alias("node"), "root"), "labels")
+    """node and root (the smallest node reachable) of every node in a pair but the roots themselves; pairs are (a > b).
+
+    Large-star and small-star steps alternate until nothing changes: rounds grow with the logarithm of a component's size, whatever its
+    form. Each round is written to the shared folder and the one before it deleted.
+    """
+    edges, before = written(pairs, "pairs"), None
+    # A node in many pairs keeps its least at first, and its others hang on that one.
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    new = _hung(edges, least)
     while True:
-        around = edges.join(labels, edges.b == labels.node).groupBy("a").agg(F.min("root").alias("near"))
-        hooked = labels.join(around, labels.node == around.a).select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        over = labels.select(F.col("node").alias("n"), F.col("root").alias("up"))
-        new = hooked.join(over, F.col("root") == F.col("n"), "left").select("node", "old", F.least("root", F.coalesce("up", "root")).alias("root"))
-        new = written(new, "labels")
-        if new.where("root < old").isEmpty():
-            return new.select("node", "root")
-        labels = new.select("node", "root")
+        stars = written(new, "stars")
+        forget(edges)
+        edges = stars
+        row = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if row == before:
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        before = row
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.where("a > b").distinct()
+        new = _hung(large, large.groupBy("a").agg(F.min("b").alias("m")))
+
+
+def _hung(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """The small-star step: each node keeps its least neighbour below (m), and its others below hang on that one."""
+    other = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return least.select("a", F.col("m").alias("b")).unionByName(other).distinct()
 
 
 def connected_regions(cells: DataFrame, value: str, tile: list[str] | None = None, mask: Column | None = None) -> DataFrame:

@@ -103,7 +103,9 @@ def test_alteration_against_numpy(spark):
         change.threshold_change("none", df)
 
 
-def test_hist_match_against_numpy(spark):
+@pytest.mark.parametrize("merged", ["true", "false"])  # range partitions merged to one by their size, or not
+def test_hist_match_against_numpy(spark, merged):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
     rng = np.random.default_rng(1)
     s, t = rng.integers(0, 40, 500), rng.integers(100, 300, 700)
     table = change.hist_match(spark.createDataFrame([(int(v),) for v in s], "v int"), spark.createDataFrame([(int(v),) for v in t], "v int"), "v")
@@ -111,6 +113,7 @@ def test_hist_match_against_numpy(spark):
     tv, tc = np.unique(t, return_counts=True)
     want = np.interp(np.cumsum(sc) / 500, np.cumsum(tc) / 700, tv)
     got = [r.matched for r in table.orderBy("value").collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert np.allclose(got, want)
 
 
@@ -132,6 +135,22 @@ def test_regions_against_flood_fill(spark):
     assert {r.cell: r.region for r in regions.connected_regions(cells, "v").collect()} == want
 
 
+def test_winding_region_in_few_rounds(spark, monkeypatch):
+    base, rounds, of = spark.conf.get("spark.checkpoint.dir"), [], regions.written
+    monkeypatch.setattr(regions, "written", lambda df, name: (rounds.append(name), of(df, name))[1])
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    number = np.random.default_rng(3).permutation(600).tolist()
+    chain = [(max(a, b), min(a, b)) for a, b in zip(number, number[1:])]
+    roots = regions.connected(spark.createDataFrame(chain, "a long, b long")).collect()
+    assert {r.node: r.root for r in roots} == dict.fromkeys(range(1, 600), 0)
+    assert rounds.count("stars") <= 14
+    assert len(set(os.listdir(base)) - before) == 1  # the rounds' folders but the last are gone
+
+
+def test_no_pairs_no_roots(spark):
+    assert regions.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 @pytest.mark.parametrize("name", ["recipe_ndvi_mean", "recipe_landsat_002", "rasterize_features", "zonal_stats_first", "quality_score", "accuracy_by_class", "match_first_relevant", "label_change"])
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
