@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from landweave.operators.regions import connected
+
 from .common import small_enough, text_of, written
 from .encoding import release
 
@@ -253,7 +255,7 @@ def likely_groups(nodes: DataFrame, distance: int, keys: int = KEYS, words: Sequ
     members has some links each, not one for each member and key.
     """
     every = likely_keys(nodes.count(), [F.col(w) for w in words], keys)
-    first = components(near_links(nodes, distance, F.slice(every, 1, ahead), words))
+    first = connected(near_links(nodes, distance, F.slice(every, 1, ahead), words))
     first = written(first, "first-groups")
     numbers = written(first.select(F.col("root").alias("of")).distinct().select("of", (F.monotonically_increasing_id() + 1).alias("group")), "group-numbers")
     members = first.select("node", "root").unionByName(numbers.select(F.col("of").alias("node"), F.col("of").alias("root")))
@@ -261,31 +263,7 @@ def likely_groups(nodes: DataFrame, distance: int, keys: int = KEYS, words: Sequ
     grouped = nodes.withColumn("name", name_of(*map(F.col, words))).join(members, "name", "left")
     grouped = written(grouped.select(*words, F.coalesce("group", F.lit(0).cast("long")).alias("group")), "grouped-nodes")
     rest = near_links(grouped, distance, F.slice(every, ahead + 1, 1 << 20), words)
-    return components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest).distinct())
-
-
-def components(links: DataFrame) -> DataFrame:
-    """node and root (the smallest node reachable) for every node with a link; links are (a > b).
-
-    Large-star and small-star steps alternate, each written to the shared folder, until nothing changes.
-    """
-    edges, before = written(links, "links"), None
-    # A node found under many keys has many links: at first each keeps its least, and its others hang on that one.
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    other = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    edges = written(least.select("a", F.col("m").alias("b")).unionByName(other).distinct(), "stars")
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a > b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        other = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(least.select("a", F.col("m").alias("b")).unionByName(other).distinct(), "stars")
-        row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(row) == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = tuple(row)
+    return connected(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest).distinct())
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, seed: int = 42) -> DataFrame:
@@ -298,7 +276,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, seed: in
     prints = written(fingerprints(docs, width, seed), "fingerprints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     links = near_links(nodes.select("fp"), distance, certain_keys(nodes.count(), distance, F.col("fp")))
-    roots = components(links)
+    roots = connected(links)
     named = nodes.withColumn("node", name_of(F.col("fp"))).join(roots, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
     named = written(named, "rooted")
     least = named.groupBy(F.col("root").alias("of")).agg(F.min("least").alias("component_id"))
@@ -485,7 +463,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, distance: int = 28, ke
     prints = written(rows.mapInArrow(_described(width, 42), schema), "fingerprints")
     fps = written(prints.select(*WIDE).distinct(), "fingerprint-nodes")
     groups = likely_groups(fps, distance, keys)
-    roots = components(similar(prints, docs, groups, width, distance, least, volume=volume))
+    roots = connected(similar(prints, docs, groups, width, distance, least, volume=volume))
     rooted = prints.join(roots, "node", "left").select("doc_id", "own", F.coalesce("root", "node").alias("root"))
     rooted = written(rooted.distinct(), "roots")
     # The smallest doc_id of each group; a null only where there is no other.

@@ -297,7 +297,7 @@ def test_links_of_hot_keys_connect(spark):
             links = simhash.near_links(nodes.select("fp"), 4, simhash.certain_keys(count, 4, F.col("fp")), tile=tile)
             for r in links.collect():
                 assert (prints[number[r.a.hex()]] ^ prints[number[r.b.hex()]]).bit_count() <= 4 and r.a > r.b
-            roots = {number[r.node.hex()]: number[r.root.hex()] for r in simhash.components(links).collect()}
+            roots = {number[r.node.hex()]: number[r.root.hex()] for r in simhash.connected(links).collect()}
             assert {i: roots.get(i, i) for i in prints} == want
 
 
