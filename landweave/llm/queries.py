@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, html, langid, lines, mixing, packing, pii, simhash, tokens, topk
+from . import align, exact, html, langid, lines, mixing, packing, pieces, pii, simhash, tokens, topk, variants
 from .common import table
 
 #: The tokenizers' files; a path is a parameter of the operators.
@@ -75,7 +75,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), size=1024, end_id=0)
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), decoded=True)
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.words_of(table(spark, sf_dir, "documents"), planted=97)
+    return variants.spelling_variants(variants.count_words(words, least_length=5, least_count=3), times=2)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_topk, op2_token_codes, op3_line_spread, op4_pii, op5_curriculum, op6_main_text, op7_simhash, op8_exact, op9_language, op10_packing)
+    for f in (op1_topk, op2_token_codes, op3_line_spread, op4_pii, op5_curriculum, op6_main_text, op7_simhash, op8_exact, op9_language, op10_packing, op11_pieces, op12_variants, op13_alignment)
 }
