@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,10 +10,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from landweave.operators import boosting
+from landweave.operators.regions import written
+
 
 def sample_exact(rows: DataFrame, share: float, tile: Sequence[str], key: str = "id", seed: int = 42) -> DataFrame:
     """floor(share * n) rows of each tile, the same on reruns; all rows unless 0 < share < 1."""
@@ -50,13 +53,41 @@ def fit_boosted(rows: DataFrame, features: Sequence[str], label: str = "label",
     return Pipeline(stages=[*_encoded(features, categorical), rest]).fit(rows)
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def _encoder(rows: DataFrame, features: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
+    """As `_encoded`, but a missing number stays missing."""
+    *stages, assembler = _encoded(features, categorical)
+    return Pipeline(stages=[*stages, assembler.setHandleInvalid("keep")]).fit(rows)
+
+
+def fit_leafwise(rows: DataFrame, features: Sequence[str], label: str = "label", categorical: Sequence[str] = (), rounds: int = 50, depth: int = 30, leaves: int = 31, step: float = 0.1, l1: float = 0.0, l2: float = 0.0, least_weight: float = 1e-3, least_rows: int = 20, bins: int = 255) -> boosting.BoostedModel:
+    """Boosted trees that split their best leaf next, up to so many leaves, with L1 and L2 terms; softmax over the classes."""
+    return boosting.fit(rows, _encoder(rows, features, categorical), label, rounds, depth, leaves, step, l1, l2, 0.0, least_weight, least_rows, bins)
+
+
+def fit_softmax(rows: DataFrame, features: Sequence[str], label: str = "label", categorical: Sequence[str] = (), rounds: int = 50, depth: int = 10, step: float = 0.1, gamma: float = 0.0, l1: float = 0.0, l2: float = 1.0, least_weight: float = 1.0, least_rows: int = 1, bins: int = 256) -> boosting.BoostedModel:
+    """Boosted trees grown to a depth, where a split must gain more than `gamma`; softmax over the classes."""
+    return boosting.fit(rows, _encoder(rows, features, categorical), label, rounds, depth, None, step, l1, l2, gamma, least_weight, least_rows, bins)
+
+
+def save(model: PipelineModel | boosting.BoostedModel, path: str) -> None:
+    model.save(path)
+
+
+def load(spark: SparkSession, path: str) -> PipelineModel | boosting.BoostedModel:
+    """A saved model of either kind."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/boosted")
+    return boosting.BoostedModel.load(path) if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder) else PipelineModel.load(path)
+
+
+def predict(model: PipelineModel | boosting.BoostedModel, rows: DataFrame) -> DataFrame:
     """The rows' columns with prediction (int) and confidence, the largest class probability.
 
-    Boosted margins become probabilities by the logistic function and are normalised over the classes.
+    Margins of `fit_boosted` become probabilities by the logistic function and are normalised over the classes.
     """
     out = model.transform(rows)
-    if "probability" in out.columns:
+    if "probabilities" in out.columns:
+        shares = F.col("probabilities")
+    elif "probability" in out.columns:
         shares = vector_to_array("probability")
     else:
         odds = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
@@ -95,47 +126,50 @@ def _grown(x: np.ndarray, random: np.random.Generator, most: int) -> list[tuple[
     return nodes
 
 
-def remove_outliers(rows: DataFrame, features: Sequence[str], label: str = "label", key: str = "id", contamination: float = 0.1, trees: int = 100, sample: int = 256, seed: int = 42) -> DataFrame:
+def remove_outliers(rows: DataFrame, features: Sequence[str], label: str = "label", key: str = "id", contamination: float = 0.1, trees: int = 100, sample: int = 256, seed: int = 42, together: int = 10) -> DataFrame:
     """The rows that an isolation forest of their class leaves: those not among the `contamination` share isolated soonest.
 
-    Every row is scored. A tree grows from about `sample` rows of its class, drawn by hash, so that a task holds no more; the forest has
-    at most 2 * sample nodes for each class and tree. A class keeps rows whose depth ties with its cut.
+    Every row is scored, once, and carries its columns along. A tree grows from about `sample` rows of its class, drawn by a hash of the
+    key, and `together` trees of a class in one task, so that a task holds no more; the forest has at most 2 * sample nodes for each class
+    and tree. Labels may be of any type; rows without one go. A class keeps rows whose depth ties with its cut.
     """
+    rows = rows.where(F.col(label).isNotNull())
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     draw = lambda t: F.pmod(F.xxhash64(F.col(key), t, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    x = F.array(*[F.col(f).cast("double") for f in features]).alias("__x")
     drawn = (
-        rows.select(label, key, *[F.col(f).cast("double").alias(f) for f in features])
+        rows.select(F.col(label), F.col(key).cast("string").alias("__key"), F.col(key), x)
         .join(counts, label)
         .withColumn("__tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < F.lit(float(sample)) / F.col("__n"))))
+        .select(F.col(label).cast("string").alias("label"), "__key", "__x", "__tree", F.floor(F.col("__tree") / together).alias("__together"))
     )
 
     def grow(group: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        random = np.random.default_rng([seed, int(group[1]), abs(hash(int(group[0])))])
-        x = part.sort_values(key)[list(features)].to_numpy(float)
-        nodes = _grown(x, random, int(np.ceil(np.log2(max(len(x), 2)))))
-        f, cut, left, depth = zip(*nodes, strict=True)
-        return pd.DataFrame({"label": [int(group[0])], "f": [list(f)], "cut": [list(cut)], "child": [list(left)], "depth": [list(depth)]})
-
-    grown = drawn.groupBy(label, "__tree").applyInPandas(grow, "label long, f array<int>, cut array<double>, child array<int>, depth array<double>")
-    forest: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        out = []
+        for tree, own in part.groupby("__tree"):
+            random = np.random.default_rng([seed, int(tree), *group[0].encode()])
+            x = np.stack(own.sort_values("__key")["__x"].to_numpy())
+            out.append((group[0], *map(list, zip(*_grown(x, random, int(np.ceil(np.log2(max(len(x), 2))))), strict=True))))
+        return pd.DataFrame(out, columns=["label", "f", "cut", "child", "depth"])
+
+    grown = drawn.groupBy("label", "__together").applyInPandas(grow, "label string, f array<int>, cut array<double>, child array<int>, depth array<double>")
+    forest: dict[str, list[tuple[np.ndarray, ...]]] = {}
     for r in grown.toLocalIterator():
         forest.setdefault(r["label"], []).append((np.array(r["f"]), np.array(r["cut"]), np.array(r["child"]), np.array(r["depth"])))
 
-    def depths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            x, classes, total = b[list(features)].to_numpy(float), b[label].to_numpy(), np.zeros(len(b))
-            for c in np.unique(classes):
-                own = np.flatnonzero(classes == c)
-                for f, cut, child, depth in forest.get(int(c), []):
-                    at = np.zeros(len(own), int)
-                    while (inner := f[at] >= 0).any():
-                        right = x[own, np.maximum(f[at], 0)] > cut[at]
-                        at = np.where(inner, child[at] + right, at)
-                    total[own] += depth[at]
-            yield pd.DataFrame({key: b[key], label: b[label], "__depth": total})
-
-    kinds = dict(rows.dtypes)
-    scored = rows.select(key, label, *features).mapInPandas(depths, f"`{key}` {kinds[key]}, `{label}` {kinds[label]}, __depth double")
-    cuts = scored.groupBy(label).agg(F.percentile_approx("__depth", F.lit(contamination), F.lit(10_000)).alias("__cut"))
-    kept = scored.join(cuts, label).where("__depth >= __cut").select(key)
-    return rows.join(kept, key, "left_semi")
+    @F.pandas_udf("double")
+    def depths(classes: pd.Series, features: pd.Series) -> pd.Series:
+        x, total = np.stack(features.to_numpy()) if len(features) else np.zeros((0, 1)), np.zeros(len(features))
+        for c in classes.unique():
+            own = np.flatnonzero(classes.to_numpy() == c)
+            for f, cut, child, depth in forest.get(c, []):
+                at = np.zeros(len(own), int)
+                while (inner := f[at] >= 0).any():
+                    right = x[own, np.maximum(f[at], 0)] > cut[at]
+                    at = np.where(inner, child[at] + right, at)
+                total[own] += depth[at]
+        return pd.Series(total)
+
+    scored = written(rows.withColumn("__depth", depths(F.col(label).cast("string"), x)), "scored")
+    cuts = scored.groupBy(F.col(label).alias("__label")).agg(F.percentile_approx("__depth", F.lit(contamination), F.lit(10_000)).alias("__cut"))
+    return scored.join(cuts, F.col(label) == F.col("__label")).where("__depth >= __cut").select(*[F.col(f"`{c}`") for c in rows.columns])

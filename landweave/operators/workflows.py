@@ -82,7 +82,7 @@ def extract_training(cells: DataFrame, zones: DataFrame, classes: DataFrame, ban
 
 
 #: Classifiers by name; users add their own.
-MODELS: dict[str, Callable[..., PipelineModel]] = {"rf": models.fit_rf, "boosted": models.fit_boosted}
+MODELS: dict[str, Callable[..., PipelineModel]] = {"rf": models.fit_rf, "boosted": models.fit_boosted, "leafwise": models.fit_leafwise, "softmax": models.fit_softmax}
 
 
 def fit_model(name: str, rows: DataFrame, features: Sequence[str], label: str = "tag", outliers: str | None = None, **options) -> PipelineModel:

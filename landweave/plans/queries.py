@@ -354,6 +354,20 @@ def predict_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(models.predict(models.fit_rf(p, _BANDS, "code"), p).select("cell", "code", "prediction", "confidence"), 6)
 
 
+@registered()
+def predict_leafwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf-wise boosted trees of the cells' codes, applied to every cell."""
+    p = V.pair(spark, sf_dir)
+    return rounded(models.predict(models.fit_leafwise(p, _BANDS, "code", rounds=2, leaves=8, l1=0.1, l2=0.5), p).select("cell", "code", "prediction", "confidence"), 6)
+
+
+@registered()
+def predict_softmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees of three levels of the cells' codes, applied to every cell."""
+    p = V.pair(spark, sf_dir)
+    return rounded(models.predict(models.fit_softmax(p, _BANDS, "code", rounds=2, depth=3, gamma=0.1), p).select("cell", "code", "prediction", "confidence"), 6)
+
+
 @registered()
 def remove_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.remove_outliers(V.pair(spark, sf_dir), _BANDS, "code", "cell").select("cell", "code")
