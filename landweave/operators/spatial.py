@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landweave.functions import geometry as G
+from landweave.operators import covers
 
 
 def rasterize_features(features: DataFrame, x0: float, y0: float, res: float, rows: int | None = None, cols: int | None = None, value: str = "feature_id") -> DataFrame:
@@ -70,20 +71,16 @@ def region_band_stats(cells: DataFrame, bands: Sequence[str], region: str) -> Da
     return cells.groupBy(region).agg(*[f(b).alias(f"b{i}_{s}") for i, b in enumerate(bands, 1) for s, f in stats.items()])
 
 
-def bucketed(features: DataFrame, size: float, prefix: str) -> DataFrame:
-    """Each polygon once for each bucket that its bounding box touches."""
-    b = G.geom_bbox(F.col(f"{prefix}geom"))
-    span = lambda lo, hi: F.sequence(F.floor(lo / size).cast("long"), F.floor(hi / size).cast("long"))
-    return features.withColumn(f"{prefix}box", b).withColumn("bx", F.explode(span(F.col(f"{prefix}box.xmin"), F.col(f"{prefix}box.xmax")))).withColumn("by", F.explode(span(F.col(f"{prefix}box.ymin"), F.col(f"{prefix}box.ymax"))))
-
-
 def candidate_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
-    """Pairs (l_..., r_...) whose bounding boxes overlap, each once: in the bucket where the overlap begins."""
-    a = bucketed(left.select(*[F.col(c).alias(f"l_{c}") for c in left.columns]), size, "l_")
-    b = bucketed(right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns]), size, "r_")
-    both = a.join(b, ["bx", "by"]).where(G.bbox_overlaps(F.col("l_box"), F.col("r_box")))
-    first = lambda k: F.floor(F.greatest(F.col(f"l_box.{k}"), F.col(f"r_box.{k}")) / size)
-    return both.where((F.col("bx") == first("xmin")) & (F.col("by") == first("ymin"))).drop("bx", "by", "l_box", "r_box")
+    """Pairs (l_..., r_...) whose bounding boxes overlap and whose covers by cells of `size` and more meet, each once.
+
+    Covers are joined without the shapes; a pair takes its shapes afterwards.
+    """
+    sides = [covers.numbered(s) for s in (left, right)]
+    pairs = covers.meeting(*[s.select("key", "geom") for s in sides], size).drop("certain")
+    for s, prefix in zip(sides, ("l_", "r_"), strict=True):
+        pairs = pairs.join(s.select(*[F.col(c).alias(f"{prefix}{c}") for c in s.columns]), f"{prefix}key").drop(f"{prefix}key")
+    return pairs
 
 
 def box_overlap_area(left: DataFrame, right: DataFrame, size: float, scale: float = 1.0) -> DataFrame:
@@ -96,10 +93,17 @@ def box_overlap_area(left: DataFrame, right: DataFrame, size: float, scale: floa
 
 
 def spatial_semi_join(objects: DataFrame, shapes: DataFrame, size: float) -> DataFrame:
-    """The objects (id, geom, ...) that share a point with any shape (geom)."""
-    pairs = candidate_pairs(objects.select("id", "geom"), shapes.select("geom"), size)
-    met = pairs.where(G.intersects(F.col("l_geom"), F.col("r_geom"))).select(F.col("l_id").alias("id")).distinct()
-    return objects.join(met, "id", "left_semi")
+    """The objects (id, geom, ...) that share a point with any shape (geom).
+
+    An object whose cell lies inside a shape needs no further test; the others take their geometry for the exact one.
+    """
+    own = covers.numbered(shapes.select("geom"))
+    pairs = covers.meeting(objects.select(F.col("id").alias("key"), "geom"), own.select("key", "geom"), size)
+    sure = pairs.where("certain").select(F.col("l_key").alias("id")).distinct()
+    open_ = pairs.where("not certain").join(sure, F.col("l_key") == F.col("id"), "left_anti")
+    a, b = objects.select(F.col("id").alias("l_key"), F.col("geom").alias("l_geom")), own.select(F.col("key").alias("r_key"), F.col("geom").alias("r_geom"))
+    tested = open_.join(a, "l_key").join(b, "r_key").where(G.intersects(F.col("l_geom"), F.col("r_geom"))).select(F.col("l_key").alias("id"))
+    return objects.join(sure.unionByName(tested).distinct(), "id", "left_semi")
 
 
 def _crossing_heights(a: np.ndarray, b: np.ndarray) -> np.ndarray:
