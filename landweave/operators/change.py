@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from landweave.operators import robust
+from landweave.operators.moments import Moments, moments
 from landweave.operators.regions import written
 
-#: Accuracy of the percentiles of distances.
-CUTS = 100_000
+#: Most bins of a histogram that `kapur_threshold` takes: a long tail makes the methods ask for millions.
+MOST_BINS = 100_000
 
 
 def ecdf(values: DataFrame, value: str) -> DataFrame:
@@ -133,7 +135,10 @@ def kapur_threshold(df: DataFrame, value: str, bins: int | str = 1000, symmetric
     """
     known = df if no_data is None else df.where(F.col(value) != no_data)
     known = known if clip is None else clip_tails(known, value, clip)
-    h = histogram(known, value, optimal_bins(known, value, bins).first()["bins"] if isinstance(bins, str) else bins)
+    number = optimal_bins(known, value, bins).first()["bins"] if isinstance(bins, str) else bins
+    if number is not None and number > MOST_BINS:
+        raise ValueError(f"{number} bins asked for by {bins!r}; at most {MOST_BINS} are possible")
+    h = histogram(known, value, number or 1)
     high = entropy_cut(h, from_mode=from_mode).withColumnRenamed("threshold", "__high")
     out = df.join(F.broadcast(high), F.lit(True))
     changed = F.col(value) > F.col("__high")
@@ -145,20 +150,15 @@ def kapur_threshold(df: DataFrame, value: str, bins: int | str = 1000, symmetric
 
 
 def weighted_moments(pairs: DataFrame, x: Sequence[str], y: Sequence[str], weight: Column | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Means of x and y, and their covariances S11, S22 and S12, weighted; two passes so that nothing cancels."""
-    w = F.lit(1.0) if weight is None else weight
-    every = [*x, *y]
-    first = pairs.select(w.alias("__w"), *[F.col(c).cast("double").alias(c) for c in every]).dropna()
-    row = first.agg(F.sum("__w"), *[F.sum(F.col("__w") * F.col(c)) for c in every]).first()
-    total, mean = row[0], np.array(row[1:], float) / row[0]
-    d = {c: F.col(c) - F.lit(float(m)) for c, m in zip(every, mean, strict=True)}
-    cross = first.agg(*[F.sum(F.col("__w") * d[a] * d[b]) for i, a in enumerate(every) for b in every[i:]]).first()
-    s, k = np.zeros((len(every), len(every))), 0
-    for i in range(len(every)):
-        for j in range(i, len(every)):
-            s[i, j] = s[j, i] = cross[k] / (total - 1)
-            k += 1
-    n = len(x)
+    """Means of x and y, and their covariances S11, S22 and S12, weighted, in one pass."""
+    if weight is not None:
+        pairs = pairs.withColumn("__w", weight)
+    return _parted(moments(pairs, [*x, *y], weight=None if weight is None else "__w")[0], len(x))
+
+
+def _parted(found: Moments, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    total, mean, co = found
+    s = co / (total - 1)
     return mean[:n], mean[n:], s[:n, :n], s[n:, n:], s[:n, n:]
 
 
@@ -166,10 +166,9 @@ def _project(columns: Sequence[str], mean: np.ndarray, vector: np.ndarray) -> Co
     return sum((F.lit(float(v)) * (F.col(c).cast("double") - F.lit(float(m))) for c, m, v in zip(columns, mean, vector, strict=True)), F.lit(0.0))
 
 
-def mad(pairs: DataFrame, x: Sequence[str], y: Sequence[str], weight: Column | None = None, ridge: float = 0.0) -> tuple[list[Column], np.ndarray, np.ndarray]:
-    """Alteration variates as columns, their variances and the canonical correlations, largest first."""
-    mx, my, s11, s22, s12 = weighted_moments(pairs, x, y, weight)
-    eye = np.eye(len(x))
+def _canonical(mx: np.ndarray, my: np.ndarray, s11: np.ndarray, s22: np.ndarray, s12: np.ndarray, ridge: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The vectors of both dates, the variances of their variates' differences and the correlations, largest first."""
+    eye = np.eye(len(mx))
     s11, s22 = (1 - ridge) * s11 + ridge * eye, (1 - ridge) * s22 + ridge * eye
     i1, i2 = (np.round(np.linalg.inv(np.linalg.cholesky(s)), 10) for s in (s11, s22))
     sym = lambda m: (m + m.T) / 2
@@ -181,7 +180,22 @@ def mad(pairs: DataFrame, x: Sequence[str], y: Sequence[str], weight: Column | N
     a2, b2 = (a * a).sum(0), (b * b).sum(0)
     var = (2 - ridge * (a2 + b2)) / (1 - ridge) - 2 * mu
     rho = mu * (1 - ridge) / np.sqrt((1 - ridge * a2) * (1 - ridge * b2))
-    return [_project(x, mx, a[:, k]) - _project(y, my, b[:, k]) for k in range(len(x))], var, rho
+    return a, b, var, rho
+
+
+def _variates(x: Sequence[str], y: Sequence[str], mx: np.ndarray, my: np.ndarray, a: np.ndarray, b: np.ndarray) -> list[Column]:
+    return [_project(x, mx, a[:, k]) - _project(y, my, b[:, k]) for k in range(len(x))]
+
+
+def mad(pairs: DataFrame, x: Sequence[str], y: Sequence[str], weight: Column | None = None, ridge: float = 0.0) -> tuple[list[Column], np.ndarray, np.ndarray]:
+    """Alteration variates as columns, their variances and the canonical correlations, largest first."""
+    found = weighted_moments(pairs, x, y, weight)
+    a, b, var, rho = _canonical(*found, ridge)
+    return _variates(x, y, *found[:2], a, b), var, rho
+
+
+#: Coefficients of erfc's rational approximation, of the highest power first.
+_ERFC = (0.17087277, -0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223)
 
 
 def chi2_survival(z: Column, dof: int) -> Column:
@@ -191,8 +205,8 @@ def chi2_survival(z: Column, dof: int) -> Column:
         # erfc by a rational approximation with relative error below 1.2e-7
         x = F.sqrt(half)
         t = 1 / (1 + x / 2)
-        poly = F.lit(0.17087277)
-        for c in (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223):
+        poly = F.lit(_ERFC[0])
+        for c in _ERFC[1:]:
             poly = poly * t + c
         q, k = t * F.exp(poly - x * x), 1
     else:
@@ -203,14 +217,41 @@ def chi2_survival(z: Column, dof: int) -> Column:
     return q
 
 
+def _survival(z: np.ndarray, dof: int) -> np.ndarray:
+    """`chi2_survival` of an array."""
+    half = np.maximum(z, 0.0) / 2
+    if dof % 2:
+        x = np.sqrt(half)
+        t = 1 / (1 + x / 2)
+        poly = np.full_like(t, _ERFC[0])
+        for c in _ERFC[1:]:
+            poly = poly * t + c
+        q, k = t * np.exp(poly - x * x), 1
+    else:
+        q, k = np.exp(-half), 2
+    while k < dof:
+        q = q + np.exp(k / 2 * np.log(np.maximum(half, 1e-300)) - half - math.lgamma(k / 2 + 1))
+        k += 2
+    return q
+
+
 def irmad(pairs: DataFrame, x: Sequence[str], y: Sequence[str], rounds: int = 50, min_delta: float = 0.001, ridge: float = 0.0) -> tuple[DataFrame, np.ndarray]:
-    """Reweighted alteration variates m1, m2 ... of the pairs, and the correlations; only k x k sums reach the driver."""
-    weight, before, delta, i = None, np.ones(len(x)), 1.0, 0
+    """Reweighted alteration variates m1, m2 ... of the pairs, and the correlations.
+
+    A round is one job over the pairs: its tasks weigh rows by the last round's coefficients, which travel with the function, and give
+    partial moments; the plan is the same in all rounds, and only k x k sums reach the driver.
+    """
+    n, weigh, before, delta, i = len(x), None, np.ones(len(x)), 1.0, 0
     while i < rounds and delta > min_delta:
-        variates, var, rho = mad(pairs, x, y, weight, ridge)
-        z = sum((F.pow(m, 2) / float(v) for m, v in zip(variates, var, strict=True)), F.lit(0.0))
-        weight, delta, before, i = chi2_survival(z, len(x)), float(np.abs(rho - before).max()), rho, i + 1
-    return pairs.withColumns({f"m{k + 1}": m for k, m in enumerate(variates)}), rho
+        mx, my, *s = _parted(moments(pairs, [*x, *y], weigh)[0], n)
+        a, b, var, rho = _canonical(mx, my, *s, ridge)
+
+        def weigh(rows: np.ndarray, mx=mx, my=my, a=a, b=b, var=var) -> np.ndarray:
+            m = (rows[:, :n] - mx) @ a - (rows[:, n:] - my) @ b
+            return _survival((m * m / var).sum(1), n)[:, None]
+
+        delta, before, i = float(np.abs(rho - before).max()), rho, i + 1
+    return pairs.withColumns({f"m{k + 1}": m for k, m in enumerate(_variates(x, y, mx, my, a, b))}), rho
 
 
 def shifted_covariance(cells: DataFrame, bands: Sequence[str], rows: int, cols: int, shift: tuple[int, int], mean: np.ndarray, n: int) -> np.ndarray:
@@ -224,9 +265,8 @@ def shifted_covariance(cells: DataFrame, bands: Sequence[str], rows: int, cols:
 
 def maf(cells: DataFrame, bands: Sequence[str], rows: int, cols: int, shift: tuple[int, int] = (1, 1)) -> DataFrame:
     """Autocorrelation factors f1, f2 ... of full grids, least difference to the shifted cell first; signs: largest component positive."""
-    facts = cells.agg(F.count(F.lit(1)), *[F.avg(b) for b in bands]).first()
-    n, mean = facts[0], np.array(facts[1:], float)
-    c0 = shifted_covariance(cells, bands, rows, cols, (0, 0), mean, n)
+    n, mean, co = moments(cells, bands)[0]
+    c0 = co / (n - 1)
     ch = shifted_covariance(cells, bands, rows, cols, shift, mean, n)
     gamma = 2 * c0 - ch - ch.T
     inverse = np.linalg.inv(np.linalg.cholesky(c0))
@@ -235,35 +275,21 @@ def maf(cells: DataFrame, bands: Sequence[str], rows: int, cols: int, shift: tup
     return cells.withColumns({f"f{k + 1}": _project(bands, np.zeros(len(bands)), v[:, k]) for k in range(len(bands))})
 
 
-def elliptic_threshold(df: DataFrame, bands: Sequence[str], outliers: float = 0.05, rounds: int = 10) -> DataFrame:
-    """`changed`: rows beyond the (1 - outliers) percentile of the squared distance under a robust covariance, centred at 0.
+def elliptic_threshold(df: DataFrame, bands: Sequence[str], outliers: float = 0.05, centered: bool = True, support_fraction: float | None = None, no_data: float | None = None, **options) -> DataFrame:
+    """`changed`: rows beyond the (1 - outliers) percentile of the squared distance under a robust covariance (`robust.minimum_covariance_determinant`, whose options these are).
 
-    Concentration steps: the half of the rows nearest under a covariance give the next, until its determinant settles. Cuts are right to
-    a share of 1 / `CUTS` of the rows, so that no task holds all distances.
+    Rows without one of the bands have no part in it and are unchanged; of rows whose first band is `no_data`, `changed` is null. Cuts are
+    right to a share of 1 / `robust.CUTS` of the rows, so that no task holds all distances.
     """
     if len(bands) < 2:
         raise ValueError("two bands are needed")
-
-    def covariance(rows: DataFrame) -> np.ndarray:
-        sums = rows.agg(F.count(F.lit(1)), *[F.sum(F.col(a) * F.col(b)) for a in bands for b in bands]).first()
-        return np.array(sums[1:], float).reshape(len(bands), -1) / max(1, sums[0])
-
-    def distance(s: np.ndarray) -> Column:
-        inv = np.linalg.inv(s)
-        return sum((F.lit(float(inv[i, j])) * F.col(a) * F.col(b) for i, a in enumerate(bands) for j, b in enumerate(bands)), F.lit(0.0))
-
-    rows = df.where(F.greatest(*[F.isnull(b).cast("int") for b in bands]) == 0)
-    s, before = covariance(rows), math.inf
-    for _ in range(rounds):
-        d = distance(s)
-        cut = rows.agg(F.percentile_approx(d, F.lit(0.5), F.lit(CUTS))).first()[0]
-        s = covariance(rows.where(d <= cut))
-        det = float(np.linalg.det(s))
-        if abs(det - before) <= 1e-9 * abs(det):
-            break
-        before = det
-    cut = rows.agg(F.percentile_approx(distance(s), F.lit(1 - outliers), F.lit(CUTS))).first()[0]
-    return df.withColumn("changed", F.coalesce(distance(s) > cut, F.lit(False)))
+    known = F.greatest(*[(F.isnull(b) | F.isnan(F.col(b).cast("double"))).cast("int") for b in bands]) == 0
+    has_data = F.lit(True) if no_data is None else F.coalesce(F.col(bands[0]) != no_data, F.lit(True))
+    rows = df.where(known & has_data)
+    d = robust.distance(bands, *robust.minimum_covariance_determinant(rows, bands, centered, support_fraction, **options))
+    cut = rows.agg(F.percentile_approx(d, F.lit(1 - outliers), F.lit(robust.CUTS))).first()[0]
+    changed = known & F.coalesce(d > cut, F.lit(False))
+    return df.withColumn("changed", changed if no_data is None else F.when(has_data, changed))
 
 
 def imadmaf(pairs: DataFrame, x: Sequence[str], y: Sequence[str], rounds: int = 50, min_delta: float = 0.001, ridge: float = 0.0, shift: tuple[int, int] = (1, 1), threshold: str = "kapur", **options) -> DataFrame:

@@ -53,14 +53,15 @@ def tile_report(results: DataFrame, failed: Column) -> DataFrame:
     return results.groupBy(F.when(failed, "failed").otherwise("succeeded").alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def detect_and_classify_change(pairs: DataFrame, pre: Sequence[str], post: Sequence[str], before: DataFrame, after: DataFrame, threshold: float | None = None, method: str = "distance", min_area: float = 1, cell_area: float = 1.0, **options) -> tuple[DataFrame, DataFrame]:
+def detect_and_classify_change(pairs: DataFrame, pre: Sequence[str], post: Sequence[str], before: DataFrame, after: DataFrame, threshold: float | None = None, method: str = "distance", min_area: float = 1, cell_area: float = 1.0, match: bool = False, **options) -> tuple[DataFrame, DataFrame]:
     """(objects, cells): changed objects with pre and post code and area, and their cells (cell, row, col, pre, post, region).
 
-    Cells change by the distance of the bands (against a threshold, or Kapur's if there is none) or by the factors of `imadmaf`; clumps below
+    Cells change by the distance of the bands (after matching the first date's histograms to the second's, if `match`; against a threshold, or
+    Kapur's if there is none) or by the factors of `imadmaf`; clumps below
     min_area go, the rest are labelled with both maps' codes (row, col, code), and objects whose codes agree go. No change gives no rows.
     """
     if method == "distance":
-        d = change.change_distance(pairs, pre, post)
+        d = change.change_distance(pairs, pre, post, match)
         found = d.where(F.col("distance") > threshold) if threshold is not None else change.threshold_change("kapur", d, "distance", **options).where("changed")
     elif method == "imadmaf":
         found = change.imadmaf(regions.written(pairs, "pair"), pre, post, **options).where("changed")
