@@ -2,37 +2,105 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landweave.operators.regions import written
+from landweave.operators import regions
+from landweave.operators.regions import forget, written
 
 
-def segment_slic(cells: DataFrame, bands: Sequence[str], step: int, compactness: float = 0.1, rounds: int = 10) -> DataFrame:
-    """The cells (row, col, bands) with `segment`: the seed nearest in colour and space.
+#: Cells along a side of a block that is searched at once, about.
+SIDE = 64
 
-    Seeds start as the means of squares of `step` cells. In each round a cell chooses among the seeds of its own square and the eight
-    around it, by the squared colour distance plus `compactness` squared times the squared distance in steps; ties go to the smaller
-    seed. Seeds then move to the means of their cells. Cells with a missing band are left out.
+
+def segment_slic(cells: DataFrame, bands: Sequence[str], step: int | None = None, compactness: float = 0.1, rounds: int = 10, n_segments: int | None = None, connected: bool = True, least: float = 0.5) -> DataFrame:
+    """The cells (row, col, bands) with `segment`: the seed nearest in colour and space, made of one piece.
+
+    Seeds start as the means of squares of `step` cells, or of as many cells as make about `n_segments` of them. In each round a cell
+    chooses among the seeds of its own square and the eight around it, by the squared colour distance plus `compactness` squared times
+    the squared distance in steps; ties go to the smaller seed. Seeds then move to the means of their cells. Blocks of cells are dealt
+    once; a round sends them their seeds and takes back sums by seed. Cells with a missing band are left out.
+
+    With `connected` each segment is one 4-connected region, named by its smallest cell (row * 2^32 + col): pieces of fewer cells than
+    `least` of an even share join the neighbour with the longest border, unless they have none. Without it segments are named by their seed.
     """
+    own = cells.dropna(subset=list(bands)).select("row", "col", *bands)
+    if (step is None) == (n_segments is None):
+        raise ValueError("either step or n_segments is needed")
+    step = max(1, round(math.sqrt(own.count() / n_segments))) if step is None else step
+    wide = max(1, SIDE // step)  # squares along a block's side
+    held = written(regions.blocks(own, [], step * wide), "blocks")
     square = lambda c: F.floor(F.col(c) / step).cast("int")
-    own = cells.dropna(subset=list(bands)).withColumns({"sr": square("row"), "sc": square("col")})
-    number = F.struct("sr", "sc")
-    means = lambda df, by: df.groupBy(by.alias("seed")).agg(*[F.avg(c).alias(f"m_{c}") for c in ("row", "col", *bands)])
-    seeds = written(means(own, number), "seeds")
+    names = ["row", "col", *bands]
+    seeds = own.groupBy(square("row").alias("sr"), square("col").alias("sc")).agg(F.array(*[F.avg(c) for c in names]).alias("at"))
     near = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    colour = sum(((F.col(b) - F.col(f"m_{b}")) * (F.col(b) - F.col(f"m_{b}")) for b in bands), F.lit(0.0))
-    space = sum(((F.col(c) - F.col(f"m_{c}")) * (F.col(c) - F.col(f"m_{c}")) for c in ("row", "col")), F.lit(0.0))
-    cost = colour + space * (compactness / step) ** 2
-    for _ in range(rounds):
-        around = seeds.withColumn("o", F.explode(near)).withColumns({"sr": F.col("seed.sr") + F.col("o.i"), "sc": F.col("seed.sc") + F.col("o.j")}).drop("o")
-        best = F.min(F.struct(cost.alias("cost"), "seed"))
-        chosen = own.join(around, ["sr", "sc"]).groupBy("row", "col", *bands, "sr", "sc").agg(best["seed"].alias("segment"))
-        chosen = written(chosen, "chosen")
-        seeds = means(chosen, F.col("segment"))
-    return chosen.select("row", "col", *bands, F.concat_ws("_", "segment.sr", "segment.sc").alias("segment"))
+    weight = (compactness / step) ** 2
+
+    def chosen(cells: pa.StructArray, around: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A block's cells as a matrix, its seeds' squares, and the seed of each cell."""
+        x = np.stack([f.to_numpy(zero_copy_only=False).astype(float) for f in cells.flatten()], 1)
+        fields = {f.name: around.field(i) for i, f in enumerate(around.type)}
+        sr, sc = (fields[c].to_numpy() for c in ("sr", "sc"))
+        at = fields["at"].flatten().to_numpy().reshape(len(sr), -1)
+        r, c = (np.floor_divide(x[:, i], step).astype(np.int64) for i in (0, 1))
+        r0, c0 = min(r.min(), sr.min()) - 1, min(c.min(), sc.min()) - 1
+        grid = np.full((max(r.max(), sr.max()) - r0 + 2, max(c.max(), sc.max()) - c0 + 2), -1)
+        grid[sr - r0, sc - c0] = np.arange(len(sr))
+        best, seed = np.full(len(x), np.inf), np.full(len(x), -1)
+        for i in (-1, 0, 1):
+            for j in (-1, 0, 1):
+                k = grid[r - r0 + i, c - c0 + j]
+                d = x - at[k]
+                cost = np.where(k >= 0, (d[:, 2:] ** 2).sum(1) + (d[:, :2] ** 2).sum(1) * weight, np.inf)
+                less = cost < best
+                best[less], seed[less] = cost[less], k[less]
+        return x, np.stack([sr, sc], 1), seed
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cells, around in zip(batch.column("cells"), batch.column("seeds"), strict=True):
+                x, squares, seed = chosen(cells.values, around.values)
+                used, at = np.unique(seed, return_inverse=True)
+                total = np.stack([np.bincount(at, x[:, k]) for k in range(x.shape[1])], 1)
+                lists = pa.ListArray.from_arrays(np.arange(len(used) + 1, dtype=np.int32) * x.shape[1], total.ravel())
+                yield pa.RecordBatch.from_arrays([pa.array(squares[used, 0].astype(np.int32)), pa.array(squares[used, 1].astype(np.int32)), pa.array(np.bincount(at)), lists], ["sr", "sc", "n", "total"])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cells, around in zip(batch.column("cells"), batch.column("seeds"), strict=True):
+                _, squares, seed = chosen(cells.values, around.values)
+                yield pa.RecordBatch.from_arrays([*cells.values.flatten(), *(pa.array(squares[seed, k].astype(np.int32)) for k in (0, 1))], [*names, "__sr", "__sc"])
+
+    def dealt(seeds: DataFrame) -> DataFrame:
+        """Blocks with the seeds of their squares and those around."""
+        block = [F.floor((F.col(f"s{k}") + F.col(f"o.{o}")) / wide).cast("int").alias(f"b{k}") for k, o in (("r", "i"), ("c", "j"))]
+        sent = seeds.withColumn("o", F.explode(near)).select(*block, "sr", "sc", "at").distinct()
+        return held.join(sent.groupBy("br", "bc").agg(F.collect_list(F.struct("sr", "sc", "at")).alias("seeds")), ["br", "bc"])
+
+    seeds = written(seeds, "seeds")
+    for _ in range(rounds - 1):
+        found = dealt(seeds).mapInArrow(sums, "sr int, sc int, n long, total array<double>")
+        mean = F.array(*[F.sum(F.get("total", F.lit(i))) / F.sum("n") for i in range(len(names))])
+        new = written(found.groupBy("sr", "sc").agg(mean.alias("at")), "seeds")
+        forget(seeds)
+        seeds = new
+    kinds = dict(own.dtypes)
+    out = written(dealt(seeds).mapInArrow(named, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", __sr int, __sc int"), "chosen")
+    forget(seeds)
+    forget(held)
+    if not connected:
+        return out.select(*names, F.concat_ws("_", "__sr", "__sc").alias("segment"))
+    number = F.shiftleft(F.col("row").cast("long"), 32) + F.col("col")
+    pieces = written(regions.connected_regions(out.withColumn("cell", number), ["__sr", "__sc"]).select(*names, "cell", "region"), "pieces")
+    forget(out)
+    sizes = pieces.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    roots = regions.merge_small(sizes, regions.region_borders(pieces), least * step * step)
+    return pieces.join(roots, "region").select(*names, F.col("root").alias("segment"))
 
 
 #: Segmentations by name; each takes (cells, bands) and its options and adds `segment`. Users add their own.
