@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landweave.operators import robust
+from landweave.operators import order, robust
 from landweave.operators.moments import Moments, moments
 from landweave.operators.regions import written
 
@@ -87,7 +87,10 @@ def optimal_bins(df: DataFrame, value: str, method: str) -> DataFrame:
     elif method == "scott":
         bins = F.ceil(span / (3.59 * F.stddev_pop(x) * F.pow(n, F.lit(-1 / 3))))
     elif method == "freedman":
-        bins = F.ceil(span / (2 * (F.percentile(x, F.lit(0.75)) - F.percentile(x, F.lit(0.25))) * F.pow(n, F.lit(-1 / 3))))
+        quarters = order.percentiles(df.select(x.alias("v")).where("v is not null"), [], ["v"], [0.25, 0.75])
+        facts = df.agg(n.alias("n"), span.alias("span")).join(F.broadcast(quarters), F.lit(True))  # two rows
+        width = 2 * (F.get("v", F.lit(1)) - F.get("v", F.lit(0))) * F.pow("n", F.lit(-1 / 3))
+        return facts.select(F.ceil(F.try_divide("span", width)).cast("long").alias("bins"))
     elif method == "shimazaki":
         values = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
         facts = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("n"))

@@ -11,7 +11,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from landweave.functions import geometry as G
-from landweave.operators import covers
+from landweave.operators import covers, order
+from landweave.operators.regions import written
 
 
 def rasterize_features(features: DataFrame, x0: float, y0: float, res: float, rows: int | None = None, cols: int | None = None, value: str = "feature_id") -> DataFrame:
@@ -56,13 +57,29 @@ def zonal_stats(zones: DataFrame, cells: DataFrame, bands: Sequence[str], statis
     if statistic != "first" and statistic not in ZONAL:
         raise ValueError(f"no statistic {statistic!r}")
     first = lambda b: F.min_by(b, F.when(F.col(b).isNotNull(), F.struct("col", "row")))
-    aggs = [(first(b) if b in categorical or statistic == "first" else ZONAL[statistic](b)).alias(b) for b in bands]
-    return cells.join(zones, ["row", "col"]).groupBy(zone).agg(*aggs)
+    both = cells.join(zones, ["row", "col"])
+    if statistic != "median":
+        return both.groupBy(zone).agg(*[(first(b) if b in categorical or statistic == "first" else ZONAL[statistic](b)).alias(b) for b in bands])
+    both = written(both.select(zone, "row", "col", *bands), "zones")
+    middle = order.percentiles(both, [zone], [b for b in bands if b not in categorical], [0.5])
+    middle = middle.select(zone, *[F.get(b, F.lit(0)).alias(b) for b in middle.columns[1:]])
+    if not categorical:
+        return middle
+    codes = both.groupBy(zone).agg(*[first(b).alias(b) for b in bands if b in categorical])
+    return codes.alias("c").join(middle.alias("m"), F.col(f"c.{zone}").eqNullSafe(F.col(f"m.{zone}"))).select(f"c.{zone}", *[f"{'c' if b in categorical else 'm'}.{b}" for b in bands])
 
 
 def zonal_statistics_multi(zones: DataFrame, cells: DataFrame, bands: Sequence[str], statistics: Sequence[str], zone: str = "feature_id") -> DataFrame:
     """Several statistics of each band at once, as band_statistic."""
-    return cells.join(zones, ["row", "col"]).groupBy(zone).agg(*[ZONAL[s](b).alias(f"{b}_{s}") for b in bands for s in statistics])
+    both = cells.join(zones, ["row", "col"])
+    usual = lambda df: df.groupBy(zone).agg(*[ZONAL[s](b).alias(f"{b}_{s}") for b in bands for s in statistics if s != "median"])
+    if "median" not in statistics:
+        return usual(both)
+    both = written(both.select(zone, *bands), "zones")
+    middle = order.percentiles(both, [zone], bands, [0.5])
+    middle = middle.select(F.col(zone).alias("__zone"), *[F.get(b, F.lit(0)).alias(f"{b}_median") for b in bands])
+    found = usual(both) if len(set(statistics)) > 1 else both.select(zone).distinct()
+    return found.join(middle, F.col(zone).eqNullSafe(F.col("__zone"))).select(zone, *[f"{b}_{s}" for b in bands for s in statistics])
 
 
 def region_band_stats(cells: DataFrame, bands: Sequence[str], region: str) -> DataFrame:
