@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, small_enough, written
 
-#: Vectors in an index block, queries in a batch, pivots, and (about) the vectors that the pivots are chosen from.
+#: Vectors in an index block, queries in a batch (about), pivots, and the vectors that the pivots are chosen from at most.
 BLOCK, BATCH, PIVOTS, SAMPLE = 2048, 256, 32, 2000
 
 #: Annuli of one pivot in a row of the directory.
@@ -35,7 +35,7 @@ SHELF = 1024
 #: Parts of the radius to which the search expands in turn; the last is all of it.
 EXPAND = (0.5, 1.0)
 
-VECTORS = "pivot int, dist double, id long, v array<long>"
+VECTORS = "pivot int, dist double, row long, id long, v array<long>"
 
 
 def quantised(column: Column, scale: int = 64) -> Column:
@@ -74,16 +74,16 @@ def _keyed(pivots: np.ndarray, top: float) -> Callable[[Iterator[pa.RecordBatch]
             x = _matrix(batch.column("v"), pivots.shape[1] - 1)
             d = _distances(x, np.sqrt(np.maximum(top - (x**2).sum(1), 0)), pivots)
             nearest = d.argmin(1)
-            columns = {"pivot": nearest.astype(np.int32), "dist": d[np.arange(len(x)), nearest], "id": batch.column("id"), "v": batch.column("v")}
+            columns = {"pivot": nearest.astype(np.int32), "dist": d[np.arange(len(x)), nearest], "row": batch.column("row"), "id": batch.column("id"), "v": batch.column("v")}
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
 def build_index(vectors: DataFrame, pivots: np.ndarray, top: float, block: int = BLOCK) -> DataFrame:
-    """Blocks of the index, written: pivot, block, lo, hi, ids and the matrix of vectors, in annuli sorted by distance.
+    """Blocks of the index, written: pivot, block, lo, hi, rows, ids and the matrix of vectors, in annuli sorted by distance.
 
-    `vectors` is a written table of id and v. Annuli of a pivot are found by counting: distances fall into fine rings,
+    `vectors` is a written table of row, id and v. Annuli of a pivot are found by counting: distances fall into fine rings,
     the rings' running counts give each ring its block, and rings that hold more than a block are cut by hash.
     """
     keyed = written(vectors.mapInArrow(_keyed(pivots, top), VECTORS), "pivot-keys")
@@ -95,17 +95,17 @@ def build_index(vectors: DataFrame, pivots: np.ndarray, top: float, block: int =
     )  # at most some thousand rings for each pivot
     rings = F.broadcast(rings)  # by the fixed number of rings, at most some thousand for each of the pivots
     placed = keyed.join(rings, (F.col("pivot") == F.col("r_pivot")) & (ring == F.col("r_ring")))
-    cut = F.when(F.col("cuts") > 1, F.col("r_ring") * 4096 + F.pmod(F.xxhash64("id"), F.col("cuts"))).otherwise(F.lit(-1))
-    placed = placed.select("pivot", F.col("annulus").alias("annulus"), cut.cast("long").alias("cut"), "dist", "id", "v")
+    cut = F.when(F.col("cuts") > 1, F.col("r_ring") * 4096 + F.pmod(F.xxhash64("row"), F.col("cuts"))).otherwise(F.lit(-1))
+    placed = placed.select("pivot", F.col("annulus").alias("annulus"), cut.cast("long").alias("cut"), "dist", "row", "id", "v")
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("id", kind="stable")
+        rows = rows.sort_values(["id", "row"], kind="stable")
         first = rows.iloc[0]
         body = np.concatenate(list(rows["v"])).astype("<i8").tobytes()
-        out = {"pivot": first["pivot"], "lo": rows["dist"].min(), "hi": rows["dist"].max(), "ids": rows["id"].to_numpy().astype("<i8").tobytes(), "body": body, "n": len(rows)}
+        out = {"pivot": first["pivot"], "lo": rows["dist"].min(), "hi": rows["dist"].max(), "rows": rows["row"].to_numpy().astype("<i8").tobytes(), "ids": rows["id"].to_numpy().astype("<i8").tobytes(), "body": body, "n": len(rows)}
         return pd.DataFrame([out])
 
-    packed = placed.groupBy("pivot", "annulus", "cut").applyInPandas(pack, "pivot int, lo double, hi double, ids binary, body binary, n int")
+    packed = placed.groupBy("pivot", "annulus", "cut").applyInPandas(pack, "pivot int, lo double, hi double, rows binary, ids binary, body binary, n int")
     return written(packed.withColumn("block", F.expr("uuid()")), "pivot-index")
 
 
@@ -144,9 +144,9 @@ def _scores(k: int, dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                 ids = np.frombuffer(row["ids"], "<i8")
                 x = np.frombuffer(row["body"], "<i8").reshape(len(ids), dims)
                 asked = np.array([q["asked"] for q in row["queries"]], np.int64)
-                own = np.array([q["id"] for q in row["queries"]], np.int64)
+                own = np.array([q["row"] for q in row["queries"]], np.int64)
                 scores = products(np.array([q["v"] for q in row["queries"]], np.int64), x)
-                there = own[:, None] != ids[None, :]
+                there = own[:, None] != np.frombuffer(row["rows"], "<i8")[None, :]
                 least = np.array([-(1 << 63) if q["bound"] is None else q["bound"] for q in row["queries"]], np.int64)
                 there &= scores >= least[:, None]
                 # ids ascend, so that of equal scores the first have the smallest ids
@@ -160,11 +160,13 @@ def _scores(k: int, dims: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 
 def _search(queries: DataFrame, pairs: DataFrame, index: DataFrame, k: int, dims: int) -> DataFrame:
-    """Candidates (asked, vec_id, score) from pairs (asked, block), each block's queries in batches."""
-    rows = pairs.join(queries.select("asked", "id", "v", "bound"), "asked")
-    number = F.floor((F.row_number().over(W.partitionBy("block").orderBy("asked")) - 1) / BATCH)
-    batches = rows.withColumn("batch", number).groupBy("block", "batch").agg(F.collect_list(F.struct("asked", "id", "v", "bound")).alias("queries"))
-    work = batches.join(index.select("block", "ids", "body"), "block").select("queries", "ids", "body")
+    """Candidates (asked, vec_id, score) from pairs (asked, block), each block's queries in batches: as many as its queries, counted first, ask for."""
+    pairs = written(pairs, "pairs")
+    batches = pairs.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / BATCH).alias("batches"))
+    rows = pairs.join(small_enough(written(batches, "batches")), "block").join(queries.select("asked", "row", "v", "bound"), "asked")
+    number = F.pmod(F.xxhash64("asked"), F.col("batches"))
+    batches = rows.withColumn("batch", number).groupBy("block", "batch").agg(F.collect_list(F.struct("asked", "row", "v", "bound")).alias("queries"))
+    work = batches.join(index.select("block", "rows", "ids", "body"), "block").select("queries", "rows", "ids", "body")
     return work.mapInArrow(_scores(k, dims), "asked long, vec_id long, score long")
 
 
@@ -180,40 +182,39 @@ def _directory(index: DataFrame) -> DataFrame:
     return written(shelved.groupBy("pivot", "shelf").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "block"))).alias("annuli")).drop("shelf"), "directory")
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS, seeds: int = 4) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOTS, seeds: int = 4, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest inner products with all other vectors, ties to smaller ids.
 
     `vectors` has id and v (array of long, null for vectors that take no part); rows of `is_query` are the queries. A vector with
-    a null id can be neither asked nor named and takes no part. Rows of one id never match each other and are otherwise rows of their own;
-    two queries of one id are answered each. Of vectors of unlike lengths the shorter one counts as ended by zeros, an empty one as
+    a null id can be neither asked nor named and takes no part. Candidates are all rows but the query's own: rows of one id are rows of
+    their own, and two queries of one id are answered each. Of vectors of unlike lengths the shorter one counts as ended by zeros, an empty one as
     all zeros. Scores are exact for components of any size; those beyond a long become the nearest long. An empty table
     gives no rows, a query with fewer than k others gets all of them.
     """
     spark: SparkSession = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    usable = written(vectors.where(F.col("v").isNotNull() & F.col("id").isNotNull()).select(F.col("id").cast("long").alias("id"), "v", is_query.alias("asks")), "vectors")
+    usable = written(vectors.where(F.col("v").isNotNull() & F.col("id").isNotNull()).select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long").alias("id"), "v", is_query.alias("asks")), "vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     facts = usable.agg(F.max(norm).alias("top"), F.max(F.size("v")).alias("dims"), F.count(F.lit(1)).alias("n")).first()
     if facts.dims is None:
         return empty
     dims, top = max(facts.dims, 1), facts.top
     zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(dims) - F.size("v"))
-    usable = usable.select("id", F.concat("v", zeros).alias("v"), "asks")
+    usable = usable.select("row", "id", F.concat("v", zeros).alias("v"), "asks")
 
-    # Pivots come from a bounded sample, by hash; every vector is indexed.
-    share = -(-(SAMPLE << 30) // facts.n)
-    drawn = usable.where(F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) < share).select("v").collect()
-    sample = np.array(sorted(r.v for r in drawn or usable.select("v").limit(1).collect()), np.float64)
+    # Pivots come from a bounded sample, the first by hash; every vector is indexed.
+    drawn = usable.orderBy(F.xxhash64("id", "v"), "row").limit(SAMPLE).select("v").collect()
+    sample = np.array(sorted(r.v for r in drawn), np.float64)
     whole = np.column_stack([sample, np.sqrt(np.maximum(top - (sample**2).sum(1), 0))])
     points = choose_pivots(whole, pivots)
-    index = build_index(usable.select("id", "v"), points, top)
+    index = build_index(usable.select("row", "id", "v"), points, top, block)
 
     @F.pandas_udf("array<double>")
     def to_pivots(v: pd.Series) -> pd.Series:
         x = _matrix(v, dims)
         return pd.Series(list(_distances(x, np.zeros(len(x)), points)))
 
-    asked = usable.where("asks").select(F.monotonically_increasing_id().alias("asked"), "id", "v", norm.alias("norm"), to_pivots("v").alias("d"))
+    asked = usable.where("asks").select(F.col("row").alias("asked"), "row", "id", "v", norm.alias("norm"), to_pivots("v").alias("d"))
     queries = written(asked, "queries")
     # Each query meets its pivots' directories by the pivot; the annuli that it must look at are picked out of them in place.
     met = queries.select("asked", "norm", F.posexplode("d").alias("pivot", "dq")).join(small_enough(_directory(index), BROADCAST_ROWS // SHELF), "pivot")
@@ -222,7 +223,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOT
     ahead = met.select("asked", F.explode(F.slice(F.array_sort(nearest), 1, seeds)).alias("near")).select("asked", "near.gap", "near.block")
     ahead = written(ahead.withColumn("turn", turn).where(F.col("turn") <= seeds), "first-annuli")
 
-    lowest = queries.select("asked", "id", "v", F.lit(None).cast("long").alias("bound"))
+    lowest = queries.select("asked", "row", "v", F.lit(None).cast("long").alias("bound"))
     found = written(_best(_search(lowest, ahead.select("asked", "block"), index, k, dims), k), "found")
     done = ahead.groupBy("asked").agg(F.max(F.struct("gap", "block")).alias("done"))
     for part in EXPAND:
@@ -232,7 +233,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = PIVOT
         room = F.lit(1e-6 * max(1.0, dims / 64) ** 0.5 * max(top, 1.0) ** 0.5)
         reach = F.sqrt(F.greatest(F.col("norm") + F.lit(top) - 2 * F.col("bound").cast("double"), F.lit(0.0))) * (1 + 1e-9) + room
         limit = F.when(F.col("bound").isNull(), F.lit(float("inf"))).otherwise(reach * part)
-        now = written(now.select("asked", "id", "v", "bound", limit.alias("limit"), "done"), "bounds")
+        now = written(now.select("asked", "row", "v", "bound", limit.alias("limit"), "done"), "bounds")
         open_ = F.filter(nearest, lambda a: (a > F.col("done")) & (a["gap"] <= F.col("limit")))
         pairs = met.join(now.select("asked", "limit", "done"), "asked").select("asked", F.explode(open_).alias("next")).select("asked", "next.block")
         new = _search(now, pairs, index, k, dims)

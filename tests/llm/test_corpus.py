@@ -586,7 +586,7 @@ def test_lstm_gradients():
         assert abs((up - down) / (2 * eps) - grads[name].reshape(-1)[i]) < 2e-2
 
 
-def test_topk(spark):
+def test_topk(spark, monkeypatch):
     rng = np.random.default_rng(5)
     x = rng.integers(-9, 10, (700, 6))
     x[100:400] = x[100]  # one very common vector
@@ -599,13 +599,25 @@ def test_topk(spark):
     for q in [i for i in vecs if i % 20 == 0]:
         scores = sorted(((-int(np.dot(vecs[q], v)), i) for i, v in vecs.items() if i != q))[:20]
         assert got[q] == [(i, -s) for s, i in scores]
+    # many annuli to a pivot, and far clusters: blocks are left out, and nothing is lost by it
+    spread = np.concatenate([rng.integers(-9, 10, (60, 6)) + 400 * rng.integers(-1, 2, 6) for _ in range(12)])
+    far = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(spread)], "id long, v array<long>")
+    asked, of = [], topk._search
+    monkeypatch.setattr(topk, "_search", lambda queries, pairs, index, *more: (asked.append((pairs.count(), index.count())), of(queries, pairs, index, *more))[1])
+    got = defaultdict(list)
+    for r in topk.top_k(far, F.col("id") % 20 == 0, k=5, pivots=12, seeds=2, block=8).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    for q in range(0, 720, 20):
+        assert got[q] == [(i, -s) for s, i in sorted((-int(np.dot(spread[q], v)), i) for i, v in enumerate(spread) if i != q)[:5]]
+    assert asked[0][1] > 60 and sum(n for n, _ in asked) < 0.7 * 36 * asked[0][1]
+    monkeypatch.undo()
     few = spark.createDataFrame(rows[:3], "id long, v array<long>")
     odd = [(20, [1, 2]), (40, []), (1, [3]), (2, [1 << 40, -(1 << 40), 5]), (None, [9, 9]), (20, [7, 7]), (60, [1 << 62, 1 << 62]), (3, None)]
     found = topk.top_k(spark.createDataFrame(odd, "id long, v array<long>"), F.col("id") % 20 == 0, k=9).collect()
     at = lambda v, i: v[i] if i < len(v) else 0
     dot = lambda a, b: max(-(1 << 63), min((1 << 63) - 1, sum(at(a, i) * at(b, i) for i in range(3))))
-    there = [(i, v) for i, v in odd if i is not None and v is not None]
-    want = Counter((q, i, dot(v, x)) for q, v in there if q % 20 == 0 for i, x in there if i != q)
+    there = [(n, i, v) for n, (i, v) in enumerate(odd) if i is not None and v is not None]
+    want = Counter((q, i, dot(v, x)) for n, q, v in there if q % 20 == 0 for m, i, x in there if m != n)
     assert Counter((r.query_id, r.vec_id, r.score) for r in found) == want
     assert topk.top_k(few, F.col("id") == 0).count() == 2
     assert topk.top_k(few.limit(0), F.col("id") == 0).count() == 0
