@@ -135,37 +135,46 @@ def align(texts: pa.Array, enc_a: SpacedEncoder, enc_b: PieceEncoder, digits: _D
     (a, at_a), (b, at_b) = (_without(ids, bounds, kept) for ids, bounds, _, _ in sides)
     end_a, end_b = np.cumsum(enc_a.lengths[a]), np.cumsum(enc_b.vocabulary.lengths[b])
 
-    both = np.intersect1d(end_a, end_b, assume_unique=True)  # a group's ends; the ends of all texts are among them
-    links = np.union1d(end_a, end_b)
+    # All ends in turn, those of a first where both sides end: what lies before each is counted by running sums.
+    every = np.concatenate([end_a, end_b])
+    order = np.argsort(every, kind="stable")  # two sorted runs
+    every, of_a = every[order], order < len(end_a)
+    again = np.append(False, every[1:] == every[:-1]) if len(every) else np.zeros(0, bool)
+    both, links = every[again], every[~again]  # ends of groups, among them those of all texts, and of links
+    before_a = np.cumsum(of_a) - of_a
+    link_a = before_a[~again]
+    link_b = np.flatnonzero(~again) - link_a
+    group = np.cumsum(again) - again
+    group_a, group_b = group[of_a], group[~of_a]
+    last_a, last_b = np.append(again[1:], False)[of_a], again[~of_a]
     n = len(kept)
     text_ends = np.append(0, end_a)[at_a]
     per_text = lambda ends: np.diff(np.searchsorted(ends, text_ends, "right"))
-    link_a, link_b = np.searchsorted(end_a, links), np.searchsorted(end_b, links)
-    pair = (a[link_a] << 32) | b[link_b]
 
     # Groups as text: a group's ids of a, then of b, each with the sign that comes after it.
-    group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
     count_a, count_b = np.bincount(group_a, minlength=len(both)), np.bincount(group_b, minlength=len(both))
     place_a = np.arange(len(a)) + (np.cumsum(count_b) - count_b)[group_a]
     place_b = np.arange(len(b)) + np.cumsum(count_a)[group_b]
     ids, signs = np.zeros(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
     ids[place_a], ids[place_b] = a, b
-    signs[place_a[np.isin(end_a, both, assume_unique=True)]], signs[place_b[np.isin(end_b, both, assume_unique=True)]] = ord("|"), ord(";")
+    signs[place_a[last_a]], signs[place_b[last_b]] = ord("|"), ord(";")
     written_, ends = digits.joined(ids, signs)
     at = np.append(0, ends)[at_a + at_b]
     shas = [hashlib.sha256(written_[x : y - 1]).hexdigest() if y > x else "" for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
-    # Distinct pairs of each text: runs of its sorted pairs.
+    # Distinct pairs of each text: runs of sorted numbers of text, a and b.
     n_links = per_text(links)
-    owner = np.repeat(np.arange(n), n_links)
-    order = np.lexsort((pair, owner))
-    pair, owner = pair[order], owner[order]
-    new = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (owner[1:] != owner[:-1]))) if len(pair) else np.zeros(0, np.int64)
-    times = np.diff(np.append(new, len(pair)))
-    lists = pa.array(np.append(0, np.cumsum(np.bincount(owner[new], minlength=n))), pa.int32())
+    bits_a, bits_b = (int(len(x)).bit_length() for x in (enc_a.lengths, enc_b.vocabulary.lengths))
+    keys = np.sort((np.repeat(np.arange(n), n_links) << (bits_a + bits_b)) | (a[link_a] << bits_b) | b[link_b])
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    times = np.diff(np.append(new, len(keys)))
+    keys = keys[new]
+    owner = keys >> (bits_a + bits_b)
+    pair = ((keys >> bits_b) & ((1 << bits_a) - 1)) << 32 | keys & ((1 << bits_b) - 1)
+    lists = pa.array(np.append(0, np.cumsum(np.bincount(owner, minlength=n))), pa.int32())
     return {
         "n_a": np.diff(at_a), "n_b": np.diff(at_b), "n_groups": per_text(both), "n_links": n_links, "groups_sha256": pa.array(shas, pa.string()),
-        "pairs": pa.ListArray.from_arrays(lists, pa.array(pair[new])), "times": pa.ListArray.from_arrays(lists, pa.array(times.astype(np.int32))),
+        "pairs": pa.ListArray.from_arrays(lists, pa.array(pair)), "times": pa.ListArray.from_arrays(lists, pa.array(times.astype(np.int32))),
     }
 
 
