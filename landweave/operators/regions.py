@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Cells along a side of a block in which regions are found first.
@@ -19,18 +19,22 @@ SIDE = 256
 BROADCAST_ROWS = 100_000
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write in the shared folder (`spark.checkpoint.dir`) and read again. Where that is unset one is made, if executors are local; else that is an error."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder (`spark.checkpoint.dir`). Where that is unset one is made, if executors are local; else that is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="landweave-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write in the shared folder and read again: lineage is cut, lost executors cost nothing."""
+    path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def forget(table: DataFrame) -> None:

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landweave.functions import geometry as G
-from landweave.operators import accuracy, change, models, regions, segments, spatial
+from landweave.operators import accuracy, change, covers, models, regions, segments, spatial
+from landweave.operators.cube import query_tiles
+from landweave.sources import store
 
 
 def join_tiles(frames: Sequence[DataFrame], keys: Sequence[str], value: str = "value", how: str = "inner") -> DataFrame:
@@ -94,22 +96,26 @@ def fit_model(name: str, rows: DataFrame, features: Sequence[str], label: str =
     return MODELS[name](rows, features, label, **options)
 
 
-def save_model(model: PipelineModel, spark: SparkSession, store: str, name: str, recipe: str, training_set: str) -> DataFrame:
-    """Save a model under a unique name and add its row to the store's registry; returns the registry."""
-    row = spark.createDataFrame([(name, f"{store}/models/{name}", recipe, training_set)], "name string, path string, recipe string, training_set string")
-    row.limit(0).write.mode("append").parquet(f"{store}/registry")
-    if not spark.read.parquet(f"{store}/registry").where(F.col("name") == name).isEmpty():
+_REGISTRY = "path string, recipe string, training_set string"
+
+
+def save_model(model: PipelineModel, spark: SparkSession, path: str, name: str, recipe: str, training_set: str) -> DataFrame:
+    """Save a model under a unique name in the store of `path` and return its registry. Of two writers of a name one succeeds, the other gets a ValueError."""
+    if store.has(spark, path, name):
+        raise ValueError(f"there is a model {name!r} already")
+    folder = store.fresh_folder(path, "models")
+    models.save(model, folder)
+    if not store.publish(spark, path, name, {"path": folder, "recipe": recipe, "training_set": training_set}):
+        store.delete(spark, folder)
         raise ValueError(f"there is a model {name!r} already")
-    model.write().save(f"{store}/models/{name}")
-    row.write.mode("append").parquet(f"{store}/registry")
-    return spark.read.parquet(f"{store}/registry")
+    return store.records(spark, path, _REGISTRY)
 
 
-def load_model(spark: SparkSession, store: str, name: str) -> PipelineModel:
-    found = spark.read.parquet(f"{store}/registry").where(F.col("name") == name).first()
+def load_model(spark: SparkSession, path: str, name: str) -> PipelineModel:
+    found = store.records(spark, path, _REGISTRY).where(F.col("name") == name).first()
     if found is None:
         raise ValueError(f"no model {name!r}")
-    return PipelineModel.load(found["path"])
+    return models.load(spark, found["path"])
 
 
 def predict_objects(model: PipelineModel, cells: DataFrame, zones: DataFrame, bands: Sequence[str], name: str, statistic: str = "mean", zone: str = "feature_id") -> DataFrame:
@@ -126,15 +132,62 @@ def validate_map(valid: DataFrame, predicted: DataFrame, size: float, scale: flo
 
 
 def store_segments(cells: DataFrame, path: str, name: str, algorithm: str, parameters: str, segment: str = "segment") -> DataFrame:
-    """Write the outlines of segments under a segmentation's row, once for each name; returns that segmentation's outlines."""
+    """The stored outlines (with name) of a segmentation; written first, under a row with its algorithm and parameters, if the name is not there yet.
+
+    Of two writers of a name one stores, both get what is stored.
+    """
     spark = cells.sparkSession
-    info = spark.createDataFrame([(name, algorithm, parameters)], "name string, algorithm string, parameters string")
-    info.limit(0).write.mode("append").parquet(f"{path}/information")
-    if spark.read.parquet(f"{path}/information").where(F.col("name") == name).isEmpty():
-        rings = segments.region_rings(cells, segment).withColumn("name", F.lit(name))
-        rings.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("name").parquet(f"{path}/objects")
-        info.write.mode("append").parquet(f"{path}/information")  # last: a lost run leaves no half segmentation that counts as stored
-    return spark.read.parquet(f"{path}/objects").where(F.col("name") == name)
+    if not store.has(spark, path, name):
+        folder = store.fresh_folder(path, "objects")
+        segments.region_rings(cells, segment).write.parquet(folder)
+        if not store.publish(spark, path, name, {"path": folder, "algorithm": algorithm, "parameters": parameters}):
+            store.delete(spark, folder)
+    found = store.records(spark, path, "path string, algorithm string, parameters string").where(F.col("name") == name).first()
+    return spark.read.parquet(found["path"]).withColumn("name", F.lit(name))
+
+
+def objects_in_tiles(objects: DataFrame, tiles: DataFrame, size: float) -> DataFrame:
+    """The objects (id, geom, ...) that lie in a tile's box (tile_x, tile_y, xmin, ymin, xmax, ymax), with its keys; of several tiles the first.
+
+    An object meets tiles in the square of `size` that holds its lower left corner; a tile is in all squares it touches.
+    """
+    box = G.geom_bbox(F.col("geom"))
+    place = lambda c: F.floor(c / size).cast("long")
+    inner = objects.withColumn("__box", box).where("__box.xmin is not null").withColumns({"__x": place(F.col("__box.xmin")), "__y": place(F.col("__box.ymin"))})
+    sides = ["xmin", "ymin", "xmax", "ymax"]
+    outer = tiles.select("tile_x", "tile_y", F.struct(*[F.col(c).cast("double").alias(c) for c in sides]).alias("__tile")).distinct()
+    outer = outer.withColumn("__x", F.explode(F.sequence(place(F.col("__tile.xmin")), place(F.col("__tile.xmax"))))).withColumn("__y", F.explode(F.sequence(place(F.col("__tile.ymin")), place(F.col("__tile.ymax")))))
+    held = inner.join(outer, ["__x", "__y"]).where(G.bbox_contained(F.col("__box"), F.col("__tile")))
+    first = held.groupBy("id").agg(F.min(F.struct("tile_x", "tile_y")).alias("t")).select("id", "t.*")
+    return objects.join(first, "id")
+
+
+def training_from_tiles(cube: DataFrame, tiles: DataFrame, objects: DataFrame, classes: DataFrame, bands: Sequence[str], x0: float, y0: float, res: float, size: float, statistic: str = "mean", sample: float = 1.0, box: Sequence[float] | None = None, shape: DataFrame | None = None, categorical: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(rows, report): a training row for each object (id, geom) that lies in a tile of the region: tile_x, tile_y, id, tag and the statistic of each band.
+
+    cube: tile_x, tile_y, row, col (of the whole grid), bands; if it is partitioned by tile, only the region's tiles are read, found while
+    the job runs. tiles: tile_x, tile_y and their boxes. classes: id, tag. `sample` is the exact share of each tile's objects. The report
+    has objects in tiles, drawn ones, and those dropped for lack of a value (without a cell, or with a band missing), by tile.
+    """
+    wanted = query_tiles(tiles, box=box, shape=shape, size=size)
+    held = regions.written(objects_in_tiles(objects.join(classes.select("id", "tag"), "id"), wanted, size), "held")
+    drawn = regions.written(models.sample_exact(held, sample, ["tile_x", "tile_y"]), "drawn")
+    zones = spatial.rasterize_features(drawn.select(F.col("id").alias("seq"), "geom", "id"), x0, y0, res, value="id")
+    keys = wanted.select("tile_x", "tile_y").distinct()
+    cells = cube.join(F.broadcast(keys) if keys.limit(covers.BROADCAST_ROWS + 1).count() <= covers.BROADCAST_ROWS else keys, ["tile_x", "tile_y"])
+    found = spatial.zonal_stats(zones, cells.select("row", "col", *bands), bands, statistic, "id", categorical).dropna(subset=list(bands))
+    rows = regions.written(drawn.select("tile_x", "tile_y", "id", "tag").join(found, "id").select("tile_x", "tile_y", "id", "tag", *bands), "training")
+    count = lambda df, name: df.groupBy("tile_x", "tile_y").agg(F.count(F.lit(1)).alias(name))
+    report = count(held, "objects").join(count(drawn, "drawn"), ["tile_x", "tile_y"], "left").join(count(rows, "kept"), ["tile_x", "tile_y"], "left").fillna(0)
+    return rows, report.select("tile_x", "tile_y", "objects", "drawn", (F.col("drawn") - F.col("kept")).alias("dropped"))
+
+
+def fit_from_tiles(name: str, spark: SparkSession, path: str, method: str, rows: DataFrame, bands: Sequence[str], recipe: str, training_set: str, outliers: bool = False, **options) -> DataFrame:
+    """Fit a classifier by name to training rows (id, tag, bands) and save it in the store of `path`; returns the registry."""
+    if store.has(spark, path, name):
+        raise ValueError(f"there is a model {name!r} already")
+    model = fit_model(method, rows, bands, "tag", "id" if outliers else None, **options)
+    return save_model(model, spark, path, name, recipe, training_set)
 
 
 def user_statistics(cells: DataFrame, by: str, statistics: dict[str, Callable[[Column], Column]], columns: Sequence[str]) -> DataFrame:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from landweave.functions import geometry as G
+from landweave.operators import spatial
+
 
 def write_stats_csv(stats: DataFrame, path: str, key: str = "id") -> list[str]:
     """A statistics table as CSV with a header: the key first, the other columns by name. Returns the columns."""
@@ -22,10 +25,21 @@ def feature_json(geom: Column, properties: dict[str, Column]) -> Column:
     return F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*[c.alias(n) for n, c in properties.items()]).alias("properties")))
 
 
-def export_vector(objects: DataFrame, path: str, tags: DataFrame) -> None:
-    """Classified polygons (geom, tag) as GeoJSON lines with `class` and `code` of their tag; `tags` has tag, value and code."""
-    rows = objects.join(tags, "tag")
-    rows.select(feature_json(F.col("geom"), {"class": F.col("value"), "code": F.col("code")}).alias("value")).write.mode("overwrite").text(path)
+def classified_features(objects: DataFrame, tags: DataFrame, name: str | None = None, region: DataFrame | None = None, size: float = 1.0, project=None) -> DataFrame:
+    """Features (id, geom, class, code) of classified polygons (id, geom, tag, and name) with their tag's (tag, value, code).
+
+    Of a map by `name` and those that share a point with a region (geom) only, if given; `project` takes and gives coordinates.
+    """
+    rows = objects if name is None else objects.where(F.col("name") == name)
+    rows = rows if region is None else spatial.spatial_semi_join(rows, region, size)
+    geom = F.col("geom") if project is None else G.reproject(F.col("geom"), project)
+    return rows.join(tags, "tag").select("id", geom.alias("geom"), F.col("value").alias("class"), "code")
+
+
+def export_vector(objects: DataFrame, path: str, tags: DataFrame, name: str | None = None, region: DataFrame | None = None, size: float = 1.0, project=None) -> None:
+    """`classified_features` as GeoJSON lines with `class` and `code`."""
+    rows = classified_features(objects if "id" in objects.columns else objects.withColumn("id", F.monotonically_increasing_id()), tags, name, region, size, project)
+    rows.select(feature_json(F.col("geom"), {"class": F.col("class"), "code": F.col("code")}).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_feature_cube(cube: DataFrame, path: str, partition: Sequence[str] = ("product", "tile_x", "tile_y")) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from landweave.functions import catalog as C
 from landweave.functions import geometry as G
 from landweave.operators import spatial
 from landweave.operators.numbering import sequential
+from landweave.sources import store
 
 # The form of a scene's product identifier, by mission prefix.
 SCENE_ID = r"^{}_\w{{4}}_[0-9]{{6}}_[0-9]{{8}}_[0-9]{{8}}_[0-9]{{2}}_\w{{2}}$"
@@ -71,18 +75,39 @@ def ingest_boundaries(countries: DataFrame, regions: DataFrame) -> tuple[DataFra
     return land, regions.join(land.select("iso", F.col("name").alias("country")), "iso").select("name", "country", "geom")
 
 
-def register_product(datasets: DataFrame, name: str, description: str, path: str, manifest: str, res: float) -> DataFrame:
+def manifest_of(spark: SparkSession, manifest: str, schema: StructType) -> DataFrame:
+    """The datasets of all commits of a manifest."""
+    folders = [r.path for r in store.records(spark, manifest, "path string").select("path").collect()]  # one for each registration
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def register_product(datasets: DataFrame, name: str, description: str, path: str, manifest: str, res: float, lonlat: Callable[[Column, Column], Column] | None = None) -> DataFrame:
     """Add a product's datasets (uri, xmin, ymin, xmax, ymax of cell centres, begin, end) to a manifest; those it has already stay as they are.
 
-    Adds the product's name and description, an id, and extents half a cell wider on each side. Returns the manifest.
+    Adds the product's name and description, an id, extents half a cell wider on each side and, by `lonlat` (x and y to a struct of longitude
+    and latitude), the corners ul, ur, lr and ll as lon_ and lat_ columns. Returns the manifest. A registration is one commit, numbered: where
+    another writer takes the number first, what is new is found again.
     """
     spark, half = datasets.sparkSession, res / 2
     wider = {**{k: F.col(k) - half for k in ("xmin", "ymin")}, **{k: F.col(k) + half for k in ("xmax", "ymax")}}
     rows = datasets.withColumns({"id": C.dataset_uuid(F.col("uri")), "product": F.lit(name), "description": F.lit(description), "path": F.lit(path), "center": C.mid_date(F.col("begin"), F.col("end")), **wider})
-    rows.limit(0).write.mode("append").parquet(manifest)  # the manifest exists from here on
-    known = spark.read.schema(rows.schema).parquet(manifest).select("id")
-    rows.dropDuplicates(["id"]).join(known, "id", "left_anti").select(*rows.columns).write.mode("append").parquet(manifest)
-    return spark.read.schema(rows.schema).parquet(manifest)
+    if lonlat is not None:
+        rows = with_corners(rows, lonlat)
+    while True:
+        version = store.records(spark, manifest, "path string").count()
+        known = manifest_of(spark, manifest, rows.schema).select("id")
+        folder = store.fresh_folder(manifest, "datasets")
+        rows.dropDuplicates(["id"]).join(known, "id", "left_anti").select(*rows.columns).write.parquet(folder)
+        if store.publish(spark, manifest, f"{version:09d}", {"path": folder}):
+            return manifest_of(spark, manifest, rows.schema)
+        store.delete(spark, folder)
+
+
+def with_corners(rows: DataFrame, lonlat: Callable[[Column, Column], Column]) -> DataFrame:
+    """Rows with a box (xmin, ymin, xmax, ymax) and the longitude and latitude of its corners, as lon_ul, lat_ul and so on."""
+    at = {"ul": ("xmin", "ymax"), "ur": ("xmax", "ymax"), "lr": ("xmax", "ymin"), "ll": ("xmin", "ymin")}
+    points = {k: lonlat(F.col(x), F.col(y)) for k, (x, y) in at.items()}
+    return rows.withColumns({f"{n}_{k}": p[c] for k, p in points.items() for n, c in (("lon", "x"), ("lat", "y"))})
 
 
 def list_catalog(rows: DataFrame, column: str) -> DataFrame:
