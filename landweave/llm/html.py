@@ -238,7 +238,7 @@ def vectors(found: list[Block]) -> np.ndarray:
 
 
 #: Markup whose text is not the article's, wherever it stands. Fixed values.
-BOILER = ["nav", "header", "footer", "aside", "form", "ad", "ads", "advert", "banner", "menu", "sidebar", "comments", "comment", "cookie", "notice", "share", "related", "promo"]
+BOILER = ["nav", "header", "footer", "aside", "form", "ad", "ads", "advert", "banner", "menu", "sidebar", "comments", "comment", "cookie", "notice", "share", "related", "promo", "discussion", "replies", "responses", "reactions", "disqus"]
 
 
 LABEL_WORDS = {*BOILER, "article", "main"}
@@ -256,10 +256,10 @@ CONTENT_TAGS = ["p", "p", "p", "p", "h", "h1", "h2", "h3", "li", "blockquote", "
 OTHER_PATHS = [
     ("nav", "ul", "li"), ("nav",), ("header",), ("header", "div"), ("header", "nav", "ul", "li"), ("footer",), ("footer", "p"), ("footer", "div"), ("aside",), ("aside", "p"), ("aside", "ul", "li"), ("form",), ("form", "p"), ("form", "label"),
     *[("div", f"div.{w}", w) for w in ["ad", "ads", "advert", "advertisement", "banner", "menu", "sidebar", "comments", "comment", "cookie", "notice", "share", "social", "related", "promo", "navigation", "nav", "footer", "header", "breadcrumb", "newsletter", "subscribe", "copyright", "widget", "popup", "sponsored", "login", "tags"]],
-    *[("section", f"section.{w}", w, "p") for w in ["comments", "related", "promo"]],
+    *[("section", f"section.{w}", w, "p") for w in ["comments", "related", "promo", "discussion", "replies"]],
     *[("div", f"div.{w}", w, "p") for w in ["comments", "comment", "sidebar", "cookie", "notice", "ad", "footer", "related"]],
     *[("ul", f"ul.{w}", w, "li") for w in ["menu", "nav", "navigation", "comments", "breadcrumb", "related"]],
-    ("ol", "ol.comments", "comments", "li"), ("ul", "ul.comments", "comments", "li", "p"),
+    *[(t, f"{t}.{w}", w, e) for w in ["discussion", "responses", "reactions"] for t, e in [("div", "p"), ("ol", "li")]], ("ol", "ol.comments", "comments", "li"), ("ul", "ul.comments", "comments", "li", "p"),
 ]
 
 
@@ -282,7 +282,8 @@ def set_anew(found: list[Block], labels: np.ndarray, rng: np.random.Generator) -
         tag = CONTENT_TAGS[rng.integers(len(CONTENT_TAGS))] if i else "h1"
         words = b.text.split(" ")
         text = " ".join(words[: rng.integers(1, 5)]) if rng.random() < 0.25 else b.text  # short ones, too
-        article.append(((*content, tag), text, 0))
+        link = i and rng.random() < 0.06  # a paragraph that is a link as a whole
+        article.append(((*content, *(["p", "a"] if link else [tag])), text, len(text) if link else 0))
     spare = [b.text for b in found]
 
     def other(inside: bool) -> list[tuple[tuple[str, ...], str, int]]:
@@ -425,39 +426,49 @@ def labelled(model: Labeller, pages: list[list[Block]], cells: int = 40_000) ->
             yield i, p[: len(pages[i])]
 
 
-def _sampled(pages: DataFrame, sample: int) -> list[str]:
-    """The html of about `sample` pages by hash of page_id and html: their share is drawn where they lie, and no other page is fetched."""
-    total = pages.count()
-    if not total:
-        return []
-    draw = F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 30))
-    drawn = pages.where(draw < -(-(sample << 30) // total)).select(draw.alias("h"), "html").collect()
-    return [r.html for r in sorted(drawn, key=lambda r: (r.h, r.html))]
+def _sampled(pages: DataFrame, sample: int) -> DataFrame:
+    """`sample` pages at most, the first by hash of page_id and html: no task holds more, whatever repeats."""
+    return pages.select(F.xxhash64("page_id", "html").alias("h"), "html").orderBy("h", "html").limit(sample)
 
 
 def fit_labeller(pages: DataFrame, sample: int = 240, anew: int = 6, window: int = 128, seed: int = 0) -> Labeller:
-    """Fit on about `sample` whole pages that hold an article or main element; each is also set anew `anew` times.
+    """Fit on `sample` whole pages at most that hold an article or main element; each is also set anew `anew` times.
 
-    Long pages are cut into windows of `window` blocks, all of which are used; their vectors are those of the whole page. Where no
-    page has such an element, labels come from pages set anew alone: their articles are what runs to 15 words or more and is no link
-    (or anything, if nothing does). Without any text there is nothing to fit, nor to extract.
+    Fitting is one task, whose numpy takes one core, over the bounded sample. Long pages are cut into windows of `window` blocks, all
+    of which are used; their vectors are those of the whole page. Where no page has such an element, labels come from pages set anew
+    alone: their articles are what runs to 15 words or more and is no link (or anything, if nothing does). Without any text there is
+    nothing to fit, nor to extract.
     """
-    rows = _sampled(pages.where(F.col("html").rlike("(?i)<(article|main)[ >]")), sample)
-    parsed = [(found, labels) for found in map(blocks, rows) if (labels := weak_labels(found)).any()]
-    tagged = bool(parsed)
-    if not tagged:
-        for found in map(blocks, _sampled(pages.where(F.col("html").isNotNull()), sample)):
-            if found:
-                labels = np.array([float(len(b.text.split(" ")) >= 15 and 2 * b.linked < len(b.text)) for b in found], np.float32)
-                parsed.append((found, labels if labels.any() else np.ones(len(found), np.float32)))
-    rng, data = np.random.default_rng(seed), []
-    for found, labels in parsed:
-        as_is = [(found, labels)] if tagged else []
-        for own, marks in [*as_is, *[set_anew(found, labels, rng) for _ in range(anew)]]:
-            x = vectors(own)
-            x[rng.random(len(x)) < 0.3, PATH : PATH + WORDS] = 0  # so that single words don't decide
-            data += [(x[i : i + window], marks[i : i + window]) for i in range(0, len(x), window)]
-    return Labeller(seed).fit(data) if data else Labeller(seed)
+
+    def fitted(tagged: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rows = sorted((h, page) for batch in batches for h, page in zip(batch.column("h").to_pylist(), batch.column("html").to_pylist(), strict=True))
+            rng, data = np.random.default_rng(seed), []
+            for found in (blocks(page) for _, page in rows):
+                labels = weak_labels(found) if tagged else np.array([float(len(b.text.split(" ")) >= 15 and 2 * b.linked < len(b.text)) for b in found], np.float32)
+                if not tagged and found and not labels.any():
+                    labels = np.ones(len(found), np.float32)
+                if not labels.any():
+                    continue
+                as_is = [(found, labels)] if tagged else []
+                for own, marks in [*as_is, *[set_anew(found, labels, rng) for _ in range(anew)]]:
+                    x = vectors(own)
+                    x[rng.random(len(x)) < 0.3, PATH : PATH + WORDS] = 0  # so that single words don't decide
+                    data += [(x[i : i + window], marks[i : i + window]) for i in range(0, len(x), window)]
+            if data:
+                w = Labeller(seed).fit(data).w
+                yield pa.RecordBatch.from_pydict({"name": list(w), "shape": pa.array([list(v.shape) for v in w.values()], pa.list_(pa.int32())), "body": [v.astype("<f4").tobytes() for v in w.values()]})
+
+        return run
+
+    model = Labeller(seed)
+    kinds = ((True, F.col("html").rlike("(?i)<(article|main)[ >]")), (False, F.col("html").isNotNull()))
+    for tagged, kind in kinds:
+        found = _sampled(pages.where(kind), sample).mapInArrow(fitted(tagged), "name string, shape array<int>, body binary").collect()
+        if found:
+            model.w = {r.name: np.frombuffer(bytes(r.body), "<f4").reshape(r.shape).copy() for r in found}
+            break
+    return model
 
 
 def _extractor(model: Labeller) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

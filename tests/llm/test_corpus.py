@@ -562,6 +562,28 @@ def test_html_of_other_templates(spark, tagged):
     assert right >= (0.95 if tagged else 0.9) * total
 
 
+LONG = "Words of this sentence are made for a long paragraph of the article, which goes on and on until it is long enough to be one of many."
+#: Held-out pages: what belongs to the article is between brackets.
+HELD_OUT = [
+    "<nav><ul><li><a>Home</a></li></ul></nav><article><h1>[The title here]</h1><p>[{0}]</p><p><a href=x>[A paragraph of the article that is a link as a whole]</a></p><p>[{0}]</p></article><footer>Imprint</footer>",
+    "<article><h1>[The title here]</h1><p>[{0}]</p><p>[{0}]</p><section class='discussion'><h3>3 replies</h3><p>nice one, thank you</p><p>I do not agree with that at all</p></section></article>",
+    "<div class='xq'><div class='zap'><h1>[The title here]</h1><p>[{0}]</p><p>[{0}]</p><p>[{0}]</p></div><div class='krs'>All rights reserved 2020</div></div>",
+    "<div class='menu'><a>Home</a> <a>News</a></div><div class='xq'><h1>[The title here]</h1><p>[{0}]</p><ul><li>[One thing of the list]</li><li><a>[Another thing]</a></li></ul><p>[{0}]</p></div><div class='related'><ul><li><a>Other page</a></li></ul></div>",
+    "<header><p>The paper of the day</p></header><div class='body'><p>[{0}]</p><table><tr><td>[One cell of it]</td><td>[Another cell]</td></tr></table><pre>[some code here]</pre><p>[{0}]</p><ol class='thread'><li>12 comments</li><li>first</li><li>Thanks for this</li></ol></div>",
+]
+
+
+def test_html_of_held_out_pages(spark):
+    """Links, lists and tables of an article, comments under other classes, pages whose classes say nothing."""
+    model = html.fit_labeller(common.table(spark, "/root/testdata/sf0.01", "pages"))
+    wrong, total = [], 0
+    for page in HELD_OUT:
+        found = html.blocks(f"<html><body>{page.format(LONG)}</body></html>")
+        total += len(found)
+        wrong.append(sum((y > 0.5) != (b.text.startswith("[") and b.text.endswith("]")) for b, y in zip(found, dict(html.labelled(model, [found]))[0], strict=True)))
+    assert wrong[:2] == [0, 0] and sum(wrong) <= 0.15 * total
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(0)
     m = html.Labeller(1)
