@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from landweave.operators import order, robust
+from landweave.operators import order, robust, shifts
 from landweave.operators.moments import Moments, moments
 from landweave.operators.regions import written
 
@@ -259,11 +259,7 @@ def irmad(pairs: DataFrame, x: Sequence[str], y: Sequence[str], rounds: int = 50
 
 def shifted_covariance(cells: DataFrame, bands: Sequence[str], rows: int, cols: int, shift: tuple[int, int], mean: np.ndarray, n: int) -> np.ndarray:
     """Covariance of each cell with the cell `shift` (columns, rows) before it, around the edges."""
-    moved = cells.select(F.pmod(F.col("row") + shift[1], F.lit(rows)).alias("row"), F.pmod(F.col("col") + shift[0], F.lit(cols)).alias("col"), *[F.col(b).alias(f"__h_{b}") for b in bands])
-    both = cells.join(moved, ["row", "col"])
-    d = lambda c, m: F.col(c).cast("double") - F.lit(float(m))
-    row = both.agg(*[F.sum(d(a, mean[i]) * d(f"__h_{b}", mean[j])) for i, a in enumerate(bands) for j, b in enumerate(bands)]).first()
-    return np.array(row, float).reshape(len(bands), -1) / (n - 1)
+    return shifts.shifted_products(cells, bands, rows, cols, (shift[1], shift[0]), mean) / (n - 1)
 
 
 def maf(cells: DataFrame, bands: Sequence[str], rows: int, cols: int, shift: tuple[int, int] = (1, 1)) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landweave.functions import geometry as G
-from landweave.operators import accuracy, change, covers, models, regions, segments, spatial
+from landweave.operators import accuracy, change, covers, models, regions, segments, shifts, spatial
 from landweave.operators.cube import query_tiles
 from landweave.sources import store
 
@@ -35,10 +35,7 @@ def pair_dates(pre: DataFrame, post: DataFrame, grids: tuple[DataFrame, DataFram
 
 def shift_join(cells: DataFrame, bands: Sequence[str], rows: int, cols: int, shift: tuple[int, int] = (1, 1)) -> DataFrame:
     """Each cell with the bands of the cell `shift` (rows, columns) before it as shifted_*; the grid wraps around."""
-    moved = cells.select(
-        F.pmod(F.col("row") + shift[0], F.lit(rows)).alias("row"), F.pmod(F.col("col") + shift[1], F.lit(cols)).alias("col"), *[F.col(b).alias(f"shifted_{b}") for b in bands]
-    )
-    return cells.join(moved, ["row", "col"])
+    return shifts.shift_join(cells, bands, rows, cols, shift)
 
 
 def land_cover_at_change(cover: DataFrame, changed: DataFrame, key: str = "id") -> DataFrame:
