@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landweave.functions import catalog as FC
 from landweave.functions import geometry as G
 from landweave.functions import raster as R
-from landweave.operators import change, workflows
+from landweave.functions import statistics
+from landweave.operators import change, cube, userstats, workflows
 from landweave.operators.regions import shared_folder
 from landweave.plans import views as V
-from landweave.plans.queries import _BANDS, _POST, _PRE, registered, rounded
+from landweave.plans.queries import _BANDS, _LANDSAT, _POST, _PRE, registered, rounded
 from landweave.plans.workflows import _S, _files
 from landweave.sources import metadata, sinks, vectors
 
@@ -176,3 +179,40 @@ def store_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (cells, cells.limit(1)):
         found = workflows.store_segments(part, path, "codes", "grid", "{}", "code")
     return found.groupBy("code").agg(F.count(F.lit(1)).alias("edges"))
+
+
+def _as_table(cells: DataFrame, kind: str) -> DataFrame:
+    spark = cells.sparkSession
+    return sinks.write_cube_table(cells, f"{kind}_{uuid.uuid4().hex}", 8, path=shared_folder(spark, kind))
+
+
+@registered('SELECT "row", col, t.elevation AS pre_v, o.v AS post_v FROM terrain t JOIN (SELECT "row", col, max(red) AS v FROM obs GROUP BY ALL) o USING ("row", col)')
+def pair_dates_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of cells from two bucketed tables: the observations' groups and the join move nothing."""
+    pre = _as_table(V.terrain(spark, sf_dir).select("row", "col", F.col("elevation").alias("v")), "pre")
+    post = _as_table(V.obs(spark, sf_dir).select("row", "col", "red"), "post")
+    return workflows.pair_dates(pre, post.groupBy("row", "col").agg(F.max("red").alias("v")))
+
+
+@registered(_LANDSAT)
+def recipe_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first Landsat recipe of a bucketed table's cells, with terrain from another: neither moves a cell."""
+    cells = _as_table(V.obs(spark, sf_dir).select("row", "col", "qa", *cube.LANDSAT), "cube")
+    return cube.run_recipe("landsat_001", cells, terrain=_as_table(V.terrain(spark, sf_dir), "terrain"))
+
+
+@registered("""SELECT id, round(max(v) - min(v), 4) AS v_spread, round(avg(d * d * d) / pow(avg(d * d), 1.5), 6) AS v_skewness, round(avg(d * d * d * d) / pow(avg(d * d), 2) - 3, 6) AS v_kurtosis
+  FROM (SELECT o_orderstatus AS id, o_totalprice AS v, o_totalprice - avg(o_totalprice) OVER (PARTITION BY o_orderstatus) AS d FROM orders) GROUP BY ALL""")
+def user_statistics_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics written in Python, found in a module, in two phases; three groups hold all rows."""
+    own = {n: s for n, s in userstats.statistics_of(spark, statistics).items() if n != "total_area"}
+    rows = V.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("id"), F.col("o_totalprice").alias("v"))
+    return rounded(userstats.user_statistics(rows, "id", own, ["v"]), 6).withColumn("v_spread", F.round("v_spread", 4))
+
+
+@registered(f"SELECT nation, count(*) * 1600.0 AS geom_area FROM {_S} s GROUP BY ALL")
+def user_statistics_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The area of each nation's squares by a statistic over geometries."""
+    nations = V.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("long").alias("nation"))
+    squares = V.suppliers_as_rectangles(spark, sf_dir)[0].join(nations, "id")
+    return userstats.user_statistics(squares, "nation", {"area": statistics.total_area}, ["geom"])

@@ -1,7 +1,8 @@
-"""Statistics that users write, in two phases; shifts by blocks; cubes that join without a shuffle."""
+"""Statistics that users write, in two phases; shifts by blocks; tables of cells that join without a shuffle."""
 
 import math
 import tempfile
+import uuid
 from pathlib import Path
 
 import numpy as np
@@ -9,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from landweave.functions import statistics
-from landweave.operators import shifts, userstats
+from landweave.operators import cube, regions, shifts, userstats, workflows
 from landweave.operators.userstats import Statistic, statistics_of, user_statistics
+from landweave.sources import sinks
 
 _COUNT = Statistic(lambda: [0.0], lambda s, v: [s[0] + len(v)], lambda a, b: [a[0] + b[0]], lambda s: s[0])
 
@@ -87,3 +89,32 @@ def test_shift_with_gaps_repeated_cells_and_nulls(spark):
     assert shifts.shift_join(cells.limit(0), ["v"], 4, 4).collect() == []
     assert shifts.shifted_products(cells.limit(0), ["v"], 4, 4, (1, 1), [0.0]).tolist() == [[0.0]]
     assert shifts.shifted_products(cells, ["v"], 4, 4, (0, 1), [0.0]).tolist() == [[9.0]]
+
+
+def test_tables_of_cells_join_and_group_without_a_shuffle(spark):
+    def table(cells, buckets=4):
+        return sinks.write_cube_table(cells, f"cells_{uuid.uuid4().hex}", buckets, path=regions.shared_folder(spark, "cells"))
+
+    cells = spark.range(4000).selectExpr("cast(id % 1000 div 40 as int) AS row", "cast(id % 40 as int) AS col", "2 AS qa", "cast(id % 77 as int) AS nir", "cast(id % 31 as int) AS red")
+    terrain = cells.select("row", "col", F.col("row").alias("slope")).distinct()
+    a, b = table(cells), table(terrain)
+    assert a.inputFiles() and len(a.inputFiles()) <= 4
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole = cube.recipe(a, F.lit(True), ("nir", "red"), {"ndvi": ("nir", "red")}, {"ndvi": ("mean",)}, terrain=b)
+        pairs = workflows.pair_dates(b, a.groupBy("row", "col").agg(F.max("nir").alias("nir")))
+        for df in (whole, pairs):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        plain = cube.recipe(cells, F.lit(True), ("nir", "red"), {"ndvi": ("nir", "red")}, {"ndvi": ("mean",)}, terrain=terrain)
+        assert sorted(whole.collect()) == sorted(plain.collect()) and pairs.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_table_of_cells_is_written_once_and_of_other_buckets_is_an_error(spark):
+    name, cells = f"cells_{uuid.uuid4().hex}", spark.createDataFrame([(0, 1, 5)], "row int, col int, v int")
+    path = regions.shared_folder(spark, "cells")
+    sinks.write_cube_table(cells, name, 2, path=path)
+    assert sinks.write_cube_table(cells.limit(0), name, 2, path=path).collect() == [(0, 1, 5)]
+    with pytest.raises(ValueError):
+        sinks.write_cube_table(cells, name, 4, path=path)
