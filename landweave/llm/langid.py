@@ -65,8 +65,8 @@ def top_ranked(codes: np.ndarray, counts: np.ndarray, most: int = PROFILE) -> np
 
 
 def is_held_out(doc_id: str = "doc_id") -> Column:
-    """Whether crc32 of the doc_id as text leaves 0 modulo 5."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+    """Whether crc32 of the doc_id as text leaves 0 modulo 5. A row without a doc_id is held out too: nothing is learned from it."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

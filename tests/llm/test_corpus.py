@@ -450,6 +450,8 @@ def test_language(spark, docs, odd, empty):
     for r in langid.identify(odd, profiles).collect():
         assert (r.language.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) and 0 <= r.language.score <= 1
     assert langid.identify(empty, profiles).count() == 0 and langid.fit_profiles(empty) == {}
+    unnamed = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert unnamed.where(~langid.is_held_out()).count() == 0 and unnamed.where(langid.is_held_out()).count() == docs.count()
     # Prediction and score of every document by a plain version, and letters beyond a-z.
     plain = {lang: plain_profile(lang, docs) for lang in profiles}
     for lang, codes in profiles.items():
