@@ -37,6 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_in_buckets(df: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """`written`, in as many buckets by the keys as a shuffle has partitions: joins by these keys move the other side only."""
+    spark = df.sparkSession
+    number, table = int(spark.conf.get("spark.sql.shuffle.partitions")), f"landweave_{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(number, *keys).write.bucketBy(number, *keys).format("parquet")
+    writer.option("path", shared_folder(spark, name)).saveAsTable(table)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only: its folder is in no warehouse, and is read as long as the plan is
+    return found
+
+
 def forget(table: DataFrame) -> None:
     """Delete the folder of a `written` table that nothing reads any more: a loop's state, once the next is written."""
     spark = table.sparkSession

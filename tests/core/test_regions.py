@@ -85,3 +85,15 @@ def test_segments_are_of_one_piece(spark, options, monkeypatch):
 def test_segments_want_a_size(spark):
     with pytest.raises(ValueError):
         segments.segment_slic(spark.createDataFrame([], "row int, col int, v double"), ["v"])
+
+
+def test_blocks_in_buckets_stay_where_they_are(spark):
+    blocks = regions.written_in_buckets(spark.range(500).selectExpr("cast(id % 9 as int) AS br", "cast(id % 7 as int) AS bc", "id").groupBy("br", "bc").agg(F.collect_list("id").alias("cells")), "blocks", ["br", "bc"])
+    seeds = spark.range(900).selectExpr("cast(id % 9 as int) AS br", "cast(id % 7 as int) AS bc", "id AS at").groupBy("br", "bc").agg(F.collect_list("at").alias("seeds"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = blocks.join(seeds, ["br", "bc"])
+        assert met._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1 and met.count() == 63
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    regions.forget(blocks)
