@@ -216,3 +216,22 @@ def user_statistics_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = V.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("long").alias("nation"))
     squares = V.suppliers_as_rectangles(spark, sf_dir)[0].join(nations, "id")
     return userstats.user_statistics(squares, "nation", {"area": statistics.total_area}, ["geom"])
+
+
+@registered('SELECT "row", col, count(*) AS n, count(nullif(red, -9999)) AS known, CAST(sum(nullif(red, -9999)) AS BIGINT) AS red FROM obs WHERE col // 10 = 1 GROUP BY ALL')
+def scan_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One band of one column of tiles, missing values as null, from a cube that is written once: the second time it is there."""
+    cells, path = V.obs(spark, sf_dir).withColumn("tile_x", F.floor(F.col("col") / 10).cast("int")), shared_folder(spark, "cube")
+    for part in (cells, cells.limit(0)):
+        sinks.write_feature_cube(part, path, ["tile_x"])
+    found = cube.scan_cube(spark, path, ["red"], -9999, F.col("tile_x") == 1)
+    return found.groupBy("row", "col").agg(F.count(F.lit(1)).alias("n"), F.count("red").alias("known"), F.sum("red").cast("long").alias("red"))
+
+
+@registered("SELECT CAST(o_custkey AS BIGINT) AS id, max(o_totalprice) AS b0_max, count(*) AS n FROM orders GROUP BY ALL")
+def write_stats_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of statistics as CSV, read again by the columns that were written."""
+    stats = V.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("b0_max"))
+    path, kinds = shared_folder(spark, "csv"), {"id": "long", "n": "long", "b0_max": "double"}
+    columns = sinks.write_stats_csv(stats, path)
+    return spark.read.schema(", ".join(f"{c} {kinds[c]}" for c in columns)).csv(path, header=True, enforceSchema=False)

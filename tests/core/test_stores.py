@@ -81,7 +81,7 @@ def test_objects_in_tiles(spark):
         assert {(r.id, r.tile_x) for r in workflows.objects_in_tiles(objects, tiles, size).collect()} == {(1, 0), (3, 1)}
 
 
-@pytest.mark.parametrize("name", ["training_from_tiles", "training_report", "model_store", "export_vector", "register_product", "scene_metadata_s2", "prepare_metadata", "ingest_boundaries", "cell_places", "dataset_uuid", "shifted_products", "weighted_covariance", "change_distance_matched", "stored_training_matrix", "store_segments", "pair_dates_tables", "recipe_from_tables", "user_statistics_merged", "user_statistics_geometry"])
+@pytest.mark.parametrize("name", ["training_from_tiles", "training_report", "model_store", "export_vector", "register_product", "scene_metadata_s2", "prepare_metadata", "ingest_boundaries", "cell_places", "dataset_uuid", "shifted_products", "weighted_covariance", "change_distance_matched", "stored_training_matrix", "store_segments", "pair_dates_tables", "recipe_from_tables", "user_statistics_merged", "user_statistics_geometry", "scan_cube", "write_stats_csv"])
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
     for f in os.listdir(SMALL):
