@@ -24,8 +24,9 @@ def accuracy(matrix: DataFrame) -> DataFrame:
     return by_truth.join(by_pred, "label").join(F.broadcast(total), F.lit(True)).select("label", share("tp", "of_truth").alias("producers"), share("tp", "of_pred").alias("users"), share("right", "all").alias("overall"))
 
 
-def validation_report(rows: DataFrame) -> DataFrame:
-    """One row: number of rows, overall accuracy, and the classes' figures as JSON."""
+def validation_report(rows: DataFrame, count: str | None = None) -> DataFrame:
+    """One row: number of rows, overall accuracy, and the classes' figures as JSON. A row stands for as many as `count`, if given."""
     per = accuracy(confusion_matrix(rows))
     classes = F.to_json(F.sort_array(F.collect_list(F.struct("label", "producers", "users"))))
-    return per.agg(F.first("overall").alias("overall"), classes.alias("classes")).join(F.broadcast(rows.agg(F.count(F.lit(1)).alias("n_rows"))), F.lit(True))
+    n = F.count(F.lit(1)) if count is None else F.coalesce(F.sum(count), F.lit(0)).cast("long")
+    return per.agg(F.first("overall").alias("overall"), classes.alias("classes")).join(F.broadcast(rows.agg(n.alias("n_rows"))), F.lit(True))

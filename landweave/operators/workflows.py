@@ -122,10 +122,15 @@ def predict_objects(model: PipelineModel, cells: DataFrame, zones: DataFrame, ba
 
 
 def validate_map(valid: DataFrame, predicted: DataFrame, size: float, scale: float = 1.0) -> DataFrame:
-    """The accuracy report of predicted polygons against valid ones (geom, class), weighted by common area: n_rows, overall, classes (JSON)."""
-    pairs = spatial.overlap_area(valid.select("geom", "class"), predicted.select("geom", "class"), size, scale)
-    rows = regions.written(pairs.select(F.col("l_class").alias("truth"), F.col("r_class").alias("pred"), "weight"), "overlaps")
-    return accuracy.validation_report(rows)
+    """The accuracy report of predicted polygons against valid ones (geom, class), weighted by common area: n_rows, overall, classes (JSON).
+
+    Different geometries meet, and count as often as their classes have them.
+    """
+    areas = spatial.common_areas(spatial.different(valid), spatial.different(predicted), size, scale).select("l_key", "r_key", "weight")
+    count = lambda df, p, name: spatial.keyed(df.select("geom", "class")).groupBy(F.col("key").alias(f"{p}_key"), F.col("class").alias(name)).agg(F.count(F.lit(1)).alias(f"{p}_n"))
+    pairs = areas.join(count(valid, "l", "truth"), "l_key").join(count(predicted, "r", "pred"), "r_key").withColumn("n", F.col("l_n") * F.col("r_n"))
+    sums = pairs.groupBy("truth", "pred").agg(F.sum(F.col("weight") * F.col("n")).alias("weight"), F.sum("n").alias("n"))
+    return accuracy.validation_report(regions.written(sums, "overlaps"), "n")
 
 
 def store_segments(cells: DataFrame, path: str, name: str, algorithm: str, parameters: str, segment: str = "segment") -> DataFrame:
