@@ -21,7 +21,11 @@ def nodata_to_null(column: Column, nodata: float) -> Column:
 
 
 def null_to_nodata_int16(column: Column, nodata: int = -9999) -> Column:
-    """Null and what doesn't fit as nodata, the rest cut towards zero."""
+    """Null and what doesn't fit as nodata, the rest cut towards zero.
+
+    It is rounded to nine places first: a mean or deviation that is a whole number comes out a hair below or above it by the order of its rows.
+    """
+    column = F.round(column, 9)
     whole = F.when(column >= 0, F.floor(column)).otherwise(F.ceil(column))
     return F.coalesce(whole.try_cast("smallint"), F.lit(nodata).cast("smallint"))
 
