@@ -25,11 +25,11 @@ _ZONES = """zone AS (SELECT DISTINCT "row" // 3 AS zr, col // 4 AS zc, CAST("row
 
 
 def _tiled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """A cube of mean bands written by tile (8 rows by 10 columns), its tiles, rectangles of 3 by 4 cells, and their classes."""
+    """A cube of mean bands written by column of tiles (8 rows by 10 columns) in their order, its tiles, rectangles of 3 by 4 cells, and their classes."""
     cells = V.obs(spark, sf_dir).groupBy("row", "col").agg(F.avg("red").alias("red"), F.avg("nir").alias("nir"))
     keys = {"product": F.lit("mean"), "tile_x": F.floor(F.col("col") / 10).cast("int"), "tile_y": F.floor(F.col("row") / 8).cast("int")}
     path = shared_folder(spark, "cube")
-    cubes = sinks.write_feature_cube(cells.withColumns(keys), path)
+    cubes = sinks.write_feature_cube(cells.withColumns(keys), path, ["product", "tile_x"], ["tile_y"])  # a tile has 80 cells
     x, y = F.col("tile_x") * 10.0, F.col("tile_y") * -8.0
     tiles = cubes.select("tile_x", "tile_y").distinct().select("tile_x", "tile_y", x.alias("xmin"), (y - 8).alias("ymin"), (x + 10).alias("xmax"), y.alias("ymax"))
     zone = V.terrain(spark, sf_dir).where("row div 3 < 20").select(F.expr("row div 3").alias("zr"), F.expr("col div 4").alias("zc")).distinct()

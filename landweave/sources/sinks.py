@@ -42,9 +42,15 @@ def export_vector(objects: DataFrame, path: str, tags: DataFrame, name: str | No
     rows.select(feature_json(F.col("geom"), {"class": F.col("class"), "code": F.col("code")}).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_feature_cube(cube: DataFrame, path: str, partition: Sequence[str] = ("product", "tile_x", "tile_y")) -> DataFrame:
-    """Persist a recipe's result by product and tile; a cube that is there already is returned as it is."""
-    cube.write.mode("ignore").partitionBy(*partition).parquet(path)
+def write_feature_cube(cube: DataFrame, path: str, partition: Sequence[str] = ("product", "tile_x", "tile_y"), within: Sequence[str] = ()) -> DataFrame:
+    """Persist a recipe's result by product and tile; a cube that is there already is returned as it is.
+
+    Cells go to their partition's task first, a large partition to several: files are as many as partitions, not as partitions times
+    tasks. With `within`, for tiles too small for folders of their own, files hold runs of cells in the order of these columns.
+    """
+    keys = [*partition, *within]
+    dealt = cube.repartitionByRange(*keys).sortWithinPartitions(*keys) if within else cube.hint("rebalance", *partition)
+    dealt.write.mode("ignore").partitionBy(*partition).parquet(path)
     return cube.sparkSession.read.parquet(path)
 
 
