@@ -17,6 +17,9 @@ from landweave.operators.regions import forget, written, written_in_buckets
 #: Cells along a side of a block that is searched at once, about.
 SIDE = 64
 
+#: Cells in a bucket of blocks, about: each of them is a task in every round.
+BUCKET = 16_384
+
 
 def segment_slic(cells: DataFrame, bands: Sequence[str], step: int | None = None, compactness: float = 0.1, rounds: int = 10, n_segments: int | None = None, connected: bool = True, least: float = 0.5) -> DataFrame:
     """The cells (row, col, bands) with `segment`: the seed nearest in colour and space, made of one piece.
@@ -24,7 +27,7 @@ def segment_slic(cells: DataFrame, bands: Sequence[str], step: int | None = None
     Seeds start as the means of squares of `step` cells, or of as many cells as make about `n_segments` of them. In each round a cell
     chooses among the seeds of its own square and the eight around it, by the squared colour distance plus `compactness` squared times
     the squared distance in steps; ties go to the smaller seed. Seeds then move to the means of their cells. Blocks of cells are dealt
-    to buckets once; a round sends them their seeds and takes back sums by seed. Cells with a missing band are left out.
+    to buckets once, as many as the cells ask for; a round sends them their seeds and takes back sums by seed. Cells with a missing band are left out.
 
     With `connected` each segment is one 4-connected region, named by its smallest cell (row * 2^32 + col): pieces of fewer cells than
     `least` of an even share join the neighbour with the longest border, unless they have none. Without it segments are named by their seed.
@@ -32,9 +35,11 @@ def segment_slic(cells: DataFrame, bands: Sequence[str], step: int | None = None
     own = cells.dropna(subset=list(bands)).select("row", "col", *bands)
     if (step is None) == (n_segments is None):
         raise ValueError("either step or n_segments is needed")
-    step = max(1, round(math.sqrt(own.count() / n_segments))) if step is None else step
+    count = own.count()
+    step = max(1, round(math.sqrt(count / n_segments))) if step is None else step
     wide = max(1, SIDE // step)  # squares along a block's side
-    held = written_in_buckets(regions.blocks(own, [], step * wide), "blocks", ["br", "bc"])
+    number = min(int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + count // BUCKET)
+    held = written_in_buckets(regions.blocks(own, [], step * wide), "blocks", ["br", "bc"], number)
     square = lambda c: F.floor(F.col(c) / step).cast("int")
     names = ["row", "col", *bands]
     seeds = own.groupBy(square("row").alias("sr"), square("col").alias("sc")).agg(F.array(*[F.avg(c) for c in names]).alias("at"))
@@ -79,7 +84,7 @@ def segment_slic(cells: DataFrame, bands: Sequence[str], step: int | None = None
     def dealt(seeds: DataFrame) -> DataFrame:
         """Blocks with the seeds of their squares and those around."""
         met = F.transform(near, lambda o: F.struct(F.floor((F.col("sr") + o["i"]) / wide).cast("int").alias("br"), F.floor((F.col("sc") + o["j"]) / wide).cast("int").alias("bc")))
-        sent = seeds.select(F.explode(F.array_distinct(met)).alias("b"), "sr", "sc", "at").select("b.*", "sr", "sc", "at")
+        sent = seeds.select(F.explode(F.array_distinct(met)).alias("b"), "sr", "sc", "at").select("b.*", "sr", "sc", "at").repartition(number, "br", "bc")
         return held.join(sent.groupBy("br", "bc").agg(F.collect_list(F.struct("sr", "sc", "at")).alias("seeds")), ["br", "bc"])
 
     seeds = written(seeds, "seeds")

@@ -82,6 +82,29 @@ def test_segments_are_of_one_piece(spark, options, monkeypatch):
     assert all(found[p] == (piece // 1000 << 32) + piece % 1000 for p, piece in pieces.items())
 
 
+def test_few_cells_take_few_buckets(spark, monkeypatch):
+    monkeypatch.setattr(segments, "SIDE", 12)
+    df = spark.createDataFrame([(r, c, float((r // 9 + c // 7) % 3)) for r in range(24) for c in range(30)], "row int, col int, v double")
+    plans, bucketed, write = [], segments.written_in_buckets, segments.written
+    monkeypatch.setattr(segments, "written", lambda d, name: (plans.append(d._jdf.queryExecution().executedPlan().toString()), write(d, name))[1])
+    options = {"spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for size, most, moved in ((16_384, 1, [1, 1, 1]), (200, 4, [1, 2, 1])):
+            for k, v in options.items():
+                spark.conf.set(k, v)
+            plans.clear()
+            monkeypatch.setattr(segments, "BUCKET", size, raising=False)
+            files = []
+            monkeypatch.setattr(segments, "written_in_buckets", lambda *a, files=files: (found := bucketed(*a), files.extend(found.inputFiles()))[0])
+            assert segments.segment_slic(df, ["v"], 6, rounds=2, connected=False).count() == 720
+            assert len(files) <= most
+            assert [p.count("Exchange ") for p in plans] == moved  # the blocks never
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_segments_want_a_size(spark):
     with pytest.raises(ValueError):
         segments.segment_slic(spark.createDataFrame([], "row int, col int, v double"), ["v"])
