@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from landweave.functions import catalog as C
 from landweave.functions import geometry as G
+from landweave.functions.xml import xml_values
 
 # Names of the surface reflectance bands by instrument, of the granule's band files by suffix,
 # of the terrain and climate layers, and the pattern of a scene's metadata file.
@@ -19,11 +20,16 @@ LANDSAT_BANDS = {"TM": _TM, "ETM": _TM, "OLI_TIRS": _OLI}
 GRANULE_BANDS = {"blue": "B02", "green": "B03", "red": "B04", "re1": "B05", "re2": "B06", "re3": "B07", "nir": "B8A", "swir1": "B11", "swir2": "B12", "qual": "SCL"}
 TERRAIN_FILES = {"elevation": "srtm_mosaic", "slope": "slope_mosaic", "aspect": "aspect_mosaic"}
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-_LANDSAT_SCHEMA = """global_metadata struct<satellite: string, instrument: string, acquisition_date: string, scene_center_time: string,
-  projection_information: struct<corner_point: array<struct<_location: string, _x: double, _y: double>>, utm_proj_params: struct<zone_code: int>>>,
-  bands struct<band: array<struct<_name: string, file_name: string>>>"""
-_GRANULE_SCHEMA = """General_Info struct<SENSING_TIME: string>, Geometric_Info struct<Tile_Geocoding: struct<HORIZONTAL_CS_CODE: string,
-  Size: array<struct<_resolution: string, NROWS: int, NCOLS: int>>, Geoposition: array<struct<_resolution: string, ULX: double, ULY: double>>>>"""
+_GLOBAL, _PLACE, _GRID = "global_metadata", "global_metadata/projection_information", "Geometric_Info/Tile_Geocoding"
+_LANDSAT_PATHS = {
+    "platform": f"{_GLOBAL}/satellite", "instrument": f"{_GLOBAL}/instrument", "date": f"{_GLOBAL}/acquisition_date", "time": f"{_GLOBAL}/scene_center_time",
+    **{f"{at.lower()}{axis}": f"{_PLACE}/corner_point[@location='{at}']/@{axis}" for at in ("UL", "LR") for axis in "xy"}, "zone": f"{_PLACE}/utm_proj_params/zone_code",
+    **{b: f"bands/band[@name='{b}']/file_name" for b in sorted({*_TM.values(), *_OLI.values(), "pixel_qa"})},
+}
+_GRANULE_PATHS = {
+    "sensed": "General_Info/SENSING_TIME", "code": f"{_GRID}/HORIZONTAL_CS_CODE",
+    **{n.lower(): f"{_GRID}/Size[@resolution='20']/{n}" for n in ("NROWS", "NCOLS")}, **{n.lower(): f"{_GRID}/Geoposition[@resolution='20']/{n}" for n in ("ULX", "ULY")},
+}
 LANDSAT_XML = r"[A-Z0-9]{4}_[A-Z0-9]{4}_\d{6}_\d{8}_\d{8}_01_(T1|T2|RT)\.xml$"
 
 #: File patterns (on the base name) of products that their file names describe.
@@ -86,11 +92,13 @@ def _split(df: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame]:
     return df.where(whole).drop("n_metadata"), df.where(~whole).select("folder", reason.alias("reason"))
 
 
-def _parsed(files: DataFrame, xml: Column, schema: str, *aggs: Column) -> DataFrame:
-    """folder, n_metadata and `m`, the fields of its (first) metadata file: each is parsed once, before the shuffle, which carries no text."""
-    fields = F.when(xml, F.from_xml(F.col("content").cast("string"), schema, {"ignoreNamespace": "true"}))
-    read = files.select("folder", "path", fields.alias("m"), xml.alias("__xml"))
-    return read.groupBy("folder").agg(F.count_if("__xml").alias("n_metadata"), F.min_by("m", F.when(F.col("__xml"), F.col("path"))).alias("m"), *aggs)
+def _parsed(files: DataFrame, xml: Column, paths: dict[str, str], *aggs: Column) -> DataFrame:
+    """folder, n_metadata and `m`, the values of its (first) metadata file: each is parsed once, before the shuffle, which carries no text.
+
+    Folders are dealt first, so that values are sorted once and in small partitions; strings have no other aggregate.
+    """
+    read = files.select("folder", "path", xml_values(F.when(xml, F.col("content")), paths).alias("m"), xml.alias("__xml"))
+    return read.repartition("folder").groupBy("folder").agg(F.count_if("__xml").alias("n_metadata"), F.min_by("m", F.when(F.col("__xml"), F.col("path"))).alias("m"), *aggs)
 
 
 def scene_metadata_landsat(files: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -99,19 +107,14 @@ def scene_metadata_landsat(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     A folder has exactly one metadata file of the scene pattern; otherwise, or if a field is missing, it is a reject.
     """
     xml = F.col("path").rlike(LANDSAT_XML)
-    by = _parsed(files.withColumn("folder", folder_of(F.col("path"))), xml, _LANDSAT_SCHEMA)
-    by = by.select("folder", "n_metadata", "m.global_metadata", F.col("m.bands.band").alias("bands"))
-    place = F.col("global_metadata.projection_information")
-    corner = lambda where, axis: F.get(F.filter(place["corner_point"], lambda p: p["_location"] == where), F.lit(0))[f"_{axis}"]
-    band = lambda name: F.concat(F.col("folder"), F.lit("/"), F.get(F.filter("bands", lambda b: b["_name"] == name), F.lit(0))["file_name"])
-    rows = by.select(
-        "folder", "n_metadata", C.dataset_uuid(F.col("folder")).alias("id"),
-        F.try_to_timestamp(F.concat_ws(" ", "global_metadata.acquisition_date", F.substring("global_metadata.scene_center_time", 1, 8))).alias("acquired"),
-        F.col("global_metadata.instrument").alias("instrument"), F.col("global_metadata.satellite").alias("platform"), place["utm_proj_params"]["zone_code"].alias("zone"),
-        corner("UL", "x").alias("ulx"), corner("UL", "y").alias("uly"), corner("LR", "x").alias("lrx"), corner("LR", "y").alias("lry"), "bands",
+    m = F.col("m")
+    band = lambda name: F.concat(F.col("folder"), F.lit("/"), m[name])
+    rows = _parsed(files.withColumn("folder", folder_of(F.col("path"))), xml, _LANDSAT_PATHS).select(
+        "folder", "n_metadata", "m", C.dataset_uuid(F.col("folder")).alias("id"), F.try_to_timestamp(F.concat_ws(" ", m["date"], F.substring(m["time"], 1, 8))).alias("acquired"),
+        m["instrument"].alias("instrument"), m["platform"].alias("platform"), m["zone"].try_cast("int").alias("zone"), *[m[c].try_cast("double").alias(c) for c in ("ulx", "uly", "lrx", "lry")],
     )
     kinds = lambda b: F.coalesce(*[F.when(F.col("instrument") == i, band(names[b])) for i, names in LANDSAT_BANDS.items()])
-    rows = rows.withColumns({b: kinds(b) for b in _TM} | {"qual": band("pixel_qa")}).drop("bands")
+    rows = rows.withColumns({b: kinds(b) for b in _TM} | {"qual": band("pixel_qa")}).drop("m")
     return _split(_corners(rows), ["acquired", "zone", "ulx", "uly", "lrx", "lry", *_TM, "qual"])
 
 
@@ -125,16 +128,14 @@ def scene_metadata_s2(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     files = files.withColumn("folder", F.regexp_extract("path", "^(.*?)/GRANULE/", 1)).where("folder <> ''")
     image = path.rlike(r"GRANULE/.*/IMG_DATA/R20m/")
     aggs = [F.min(F.when(image & name.rlike(rf"{s}_20m\.jp2$"), path)).alias(b) for b, s in GRANULE_BANDS.items()]
-    by = _parsed(files, xml, _GRANULE_SCHEMA, *aggs)
-    grid = F.col("m.Geometric_Info.Tile_Geocoding")
-    at20 = lambda part, field: F.get(F.filter(grid[part], lambda g: g["_resolution"] == "20"), F.lit(0))[field]
-    code = grid["HORIZONTAL_CS_CODE"]
-    zone = F.regexp_extract(code, r"32[67](\d\d)$", 1).try_cast("int")
+    by, m = _parsed(files, xml, _GRANULE_PATHS, *aggs), F.col("m")
+    zone = F.regexp_extract(m["code"], r"32[67](\d\d)$", 1).try_cast("int")
+    size = lambda n: m[n].try_cast("int") * 20
     rows = by.withColumns({
-        "id": C.dataset_uuid(F.col("folder")), "acquired": F.try_to_timestamp(F.regexp_extract("m.General_Info.SENSING_TIME", r"^([^.Z]*)", 1)),
-        "instrument": F.lit("MSI"), "platform": F.lit("sentinel2"), "zone": F.when(code.rlike(r"327\d\d$"), -zone).otherwise(zone), "ulx": at20("Geoposition", "ULX"), "uly": at20("Geoposition", "ULY"),
+        "id": C.dataset_uuid(F.col("folder")), "acquired": F.try_to_timestamp(F.regexp_extract(m["sensed"], r"^([^.Z]*)", 1)),
+        "instrument": F.lit("MSI"), "platform": F.lit("sentinel2"), "zone": F.when(m["code"].rlike(r"327\d\d$"), -zone).otherwise(zone), "ulx": m["ulx"].try_cast("double"), "uly": m["uly"].try_cast("double"),
     })
-    rows = rows.withColumns({"lrx": F.col("ulx") + at20("Size", "NCOLS") * 20, "lry": F.col("uly") - at20("Size", "NROWS") * 20}).drop("m")
+    rows = rows.withColumns({"lrx": F.col("ulx") + size("ncols"), "lry": F.col("uly") - size("nrows")}).drop("m")
     return _split(_corners(rows), ["acquired", "zone", "lrx", "lry", *GRANULE_BANDS])
 
 
