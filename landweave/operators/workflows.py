@@ -124,11 +124,16 @@ def predict_objects(model: PipelineModel, cells: DataFrame, zones: DataFrame, ba
 def validate_map(valid: DataFrame, predicted: DataFrame, size: float, scale: float = 1.0) -> DataFrame:
     """The accuracy report of predicted polygons against valid ones (geom, class), weighted by common area: n_rows, overall, classes (JSON).
 
-    Different geometries meet, and count as often as their classes have them.
+    Different geometries meet, and count as often as their classes have them: a pair has the numbers of rows of each class.
     """
-    areas = spatial.common_areas(spatial.different(valid), spatial.different(predicted), size, scale).select("l_key", "r_key", "weight")
-    count = lambda df, p, name: spatial.keyed(df.select("geom", "class")).groupBy(F.col("key").alias(f"{p}_key"), F.col("class").alias(name)).agg(F.count(F.lit(1)).alias(f"{p}_n"))
-    pairs = areas.join(count(valid, "l", "truth"), "l_key").join(count(predicted, "r", "pred"), "r_key").withColumn("n", F.col("l_n") * F.col("r_n"))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        n = spatial.keyed(rows.select("geom", "class")).where("key is not null").groupBy("key", "class").agg(F.first("geom").alias("geom"), F.count(F.lit(1)).alias("n"))
+        return regions.written(n.groupBy("key").agg(F.first("geom").alias("geom"), F.collect_list(F.struct("class", "n")).alias("classes")), "shapes")
+
+    areas = spatial.common_areas(counted(valid), counted(predicted), size, scale)
+    pairs = areas.select("weight", "r_classes", F.explode("l_classes").alias("l")).select("weight", "l", F.explode("r_classes").alias("r"))
+    pairs = pairs.select(F.col("l.class").alias("truth"), F.col("r.class").alias("pred"), "weight", (F.col("l.n") * F.col("r.n")).alias("n"))
     sums = pairs.groupBy("truth", "pred").agg(F.sum(F.col("weight") * F.col("n")).alias("weight"), F.sum("n").alias("n"))
     return accuracy.validation_report(regions.written(sums, "overlaps"), "n")
 
