@@ -215,7 +215,5 @@ def segment_workflow(polygons: DataFrame, cells: DataFrame, bands: Sequence[str]
     shape = polygons.select("id", G.polygon_area(g).alias("area"), G.polygon_perimeter(g).alias("perimeter"), G.bbox_perimeter(g).alias("__box"))
     shape = shape.withColumns(G.shape_metrics(F.col("area"), F.col("perimeter"), F.col("__box"))).drop("__box")
     stats = spatial.region_band_stats(cells, bands, "id").join(shape, "id")
-    first = spatial.first_relevant(polygons.select("id", "geom"), truth.select("id", "geom", "class"), size)
-    quality = spatial.overlap_quality(F.col("l_area"), F.col("r_area"), F.col("weight"))
-    matched = first.select(F.col("l_id").alias("id"), F.col("r_class").alias("class"), *[F.round(c, 3).alias(n) for n, c in quality.items()])
-    return stats.join(matched, "id", "left")
+    first = spatial.match_first_relevant(polygons.select("id", "geom"), truth.select("id", "geom", "class"), size)
+    return stats.join(first.drop("r_id").withColumnRenamed("r_class", "class"), "id", "left")
